@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from .bpe import op5_bpe
+from .decontamination import op1_decontamination
+from .secrets import op9_secrets
 from .token_counts import op8_token_counts
+from .toxicity import op3_toxicity
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
+    "op3_toxicity": op3_toxicity,
     "op5_bpe": op5_bpe,
     "op8_token_counts": op8_token_counts,
+    "op9_secrets": op9_secrets,
 }
 ORACLES: dict[str, str] = {}
