@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from .bpe import op5_bpe
 from .decontamination import op1_decontamination
+from .licences import OP7_SQL, op7_licences
+from .line_dedup import OP6_SQL, op6_line_dedup
 from .secrets import op9_secrets
 from .token_counts import op8_token_counts
 from .toxicity import op3_toxicity
@@ -12,7 +14,12 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_toxicity": op3_toxicity,
     "op5_bpe": op5_bpe,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_licences": op7_licences,
     "op8_token_counts": op8_token_counts,
     "op9_secrets": op9_secrets,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_line_dedup": OP6_SQL,
+    "op7_licences": OP7_SQL,
+}
