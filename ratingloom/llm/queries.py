@@ -6,6 +6,7 @@ from .bpe import op5_bpe
 from .decontamination import op1_decontamination
 from .licences import OP7_SQL, op7_licences
 from .line_dedup import OP6_SQL, op6_line_dedup
+from .neighbours import op10_neighbours
 from .secrets import op9_secrets
 from .token_counts import op8_token_counts
 from .toxicity import op3_toxicity
@@ -18,6 +19,7 @@ QUERIES = {
     "op7_licences": op7_licences,
     "op8_token_counts": op8_token_counts,
     "op9_secrets": op9_secrets,
+    "op10_neighbours": op10_neighbours,
 }
 ORACLES: dict[str, str] = {
     "op6_line_dedup": OP6_SQL,
