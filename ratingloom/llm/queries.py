@@ -6,6 +6,7 @@ from .bpe import op5_bpe
 from .decontamination import op1_decontamination
 from .licences import OP7_SQL, op7_licences
 from .line_dedup import OP6_SQL, op6_line_dedup
+from .near_dedup import op4_near_dedup
 from .neighbours import op10_neighbours
 from .secrets import op9_secrets
 from .token_counts import op8_token_counts
@@ -14,6 +15,7 @@ from .toxicity import op3_toxicity
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_toxicity": op3_toxicity,
+    "op4_near_dedup": op4_near_dedup,
     "op5_bpe": op5_bpe,
     "op6_line_dedup": op6_line_dedup,
     "op7_licences": op7_licences,
