@@ -20,7 +20,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, read_table, slices
+from .rolling import Rolling, mixed
 
 COORDINATES = 32
 MATCHES = 13
@@ -39,38 +39,21 @@ BLOCK_BYTES = 4_000_000
 COLUMNS = 8_192  # of an incidence matrix at a time
 BROADCAST_ROWS = 1_000_000  # keys of 40 bytes: what may be broadcast after it was counted
 
-_random = np.random.default_rng(20_240_229)
-BYTE_CODE = _random.integers(1, 1 << 63, 256, np.uint64)
-BASE = np.uint64(0x9E3779B97F4A7C15)
-INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_random = np.random.default_rng(7_919)
 STEPS = _random.integers(1, 1 << 63, 64, np.uint64) | np.uint64(1)
-FACTOR = _random.integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
-SHIFT = _random.integers(1, 1 << 63, 256, np.uint64)
+FACTOR = _random.integers(1, 1 << 63, COORDINATES, np.uint64) | np.uint64(1)
+SHIFT = _random.integers(1, 1 << 63, COORDINATES, np.uint64)
 IS_WORD = np.array([not (b == 32 or 9 <= b <= 13) for b in range(256)])
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(32))
-
-
-@lru_cache(maxsize=1)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    ones = lambda b: np.concatenate([[np.uint64(1)], np.full((1 << bits) - 1, b, np.uint64)])
-    return np.cumprod(ones(BASE)), np.cumprod(ones(INVERSE))
-
-
 def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
     """The sorted, distinct 64-bit hashes of each text's shingles of ``width`` words; of all its words, if
     they are fewer.  Words are runs without ASCII white space, with A-Z lower-cased."""
     raw = [b"" if t is None else t.encode().lower() for t in texts]
     whole = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
-    up, down = _powers(max(21, int(len(whole)).bit_length()))
     change = np.diff(IS_WORD[whole].astype(np.int8), prepend=0)
     begin, end = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE_CODE[whole] * up[: len(whole)])])
-    word = mixed((total[end] - total[begin]) * down[begin])
+    word = Rolling(whole).of(begin, end)
     n = max(0, len(word) - width + 1)
     run = np.zeros(n, np.uint64)
     for j in range(width):

@@ -9,11 +9,13 @@ from .line_dedup import OP6_SQL, op6_line_dedup
 from .near_dedup import op4_near_dedup
 from .neighbours import op10_neighbours
 from .secrets import op9_secrets
+from .suffix_dedup import op2_suffix_dedup
 from .token_counts import op8_token_counts
 from .toxicity import op3_toxicity
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_near_dedup": op4_near_dedup,
     "op5_bpe": op5_bpe,

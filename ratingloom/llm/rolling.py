@@ -1,0 +1,41 @@
+"""Hashes of all substrings of a byte array from one prefix sum."""
+
+from __future__ import annotations
+
+from functools import lru_cache
+
+import numpy as np
+
+_random = np.random.default_rng(20_240_229)
+BYTE_CODE = _random.integers(1, 1 << 63, 256, np.uint64)
+BASE = 0x9E3779B97F4A7C15
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Spread every bit of 64-bit values over all others."""
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))
+
+
+@lru_cache(maxsize=1)
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    powers = lambda b: np.cumprod(np.append(np.uint64(1), np.full((1 << bits) - 1, b, np.uint64)), dtype=np.uint64)
+    return powers(BASE), powers(pow(BASE, -1, 1 << 64))
+
+
+class Rolling:
+    """``of(begin, end)`` is the hash of the bytes from begin to end, for arrays of places."""
+
+    def __init__(self, data: np.ndarray):
+        self.up, self.down = _powers(max(20, int(len(data) + 1).bit_length()))
+        self.total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(BYTE_CODE[data] * self.up[: len(data)], out=self.total[1:])
+
+    def of(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mixed((self.total[end] - self.total[begin]) * self.down[begin])
+
+    def grams(self, k: int) -> np.ndarray:
+        """Hashes of all substrings of ``k`` bytes."""
+        n = max(0, len(self.total) - k)
+        return mixed((self.total[k : k + n] - self.total[:n]) * self.down[:n])
