@@ -5,12 +5,18 @@ turned into single blanks) and compared with licence templates by the Dice coeff
 word bigrams, 2 |A and B| / (|A| + |B|).  A template of m bigrams can only reach the threshold t against
 a unit of between m t / (2 - t) and m (2 - t) / t bigrams, so a unit meets just the templates whose bounds
 hold its size, found by an equality join on that size with a small broadcast table.
+
+To reach t a unit has to hold at least m t / (2 - t) of the template's bigrams, so of any few more than the
+rest at least one.  Such few bigrams are the template's *keys*: texts and lines without both words of any
+key are passed over before they are normalised.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +61,27 @@ def size_bounds(m: int, threshold: float) -> range:
     return range(least, most + 1)
 
 
+LETTERS = "etaoinshrdlcumwfgypbvkjxqz"  # from common to rare
+
+
+def key_pairs(templates: dict[str, str], threshold: float) -> list[tuple[str, str]]:
+    """Bigrams of which every unit that matches some template holds one at least: as many of each
+    template's as it takes, the rarest by their letters first."""
+    out: set[str] = set()
+    for own in map(template_bigrams, templates.values()):
+        if own:
+            spare = len(own) - size_bounds(len(own), threshold)[0]
+            out.update(sorted(own, key=lambda b: (-sum(LETTERS.find(c) + 1 for c in b), b))[: spare + 1])
+    return sorted(tuple(sorted(b.split(), key=lambda w: (-len(w), w))) for b in out)
+
+
+def holds_key(text: Column, keys: list[tuple[str, str]]) -> Column:
+    """Whether a text may hold a key bigram, as it has both words; ``lower`` also maps a few other letters
+    to ASCII, which only lets more through."""
+    has = lambda t: reduce(or_, [F.contains(t, F.lit(a)) & F.contains(t, F.lit(b)) for a, b in keys], F.lit(False))
+    return F.exists(F.array(F.lower(text)), has)
+
+
 def candidates(spark: SparkSession, templates: dict[str, str], threshold: float) -> DataFrame:
     """For each size the templates that a unit of that size may match: a row a size, so its size is
     bounded by the longest template."""
@@ -84,7 +111,9 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     lines = F.split(text, "\n", -1)
     units = F.when(F.size(lines) > 1, F.concat(F.array(text), lines)).otherwise(F.array(F.lit(None).cast("string"), text))
-    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.posexplode(units).alias("line", "unit"))
+    keys = key_pairs(templates or TEMPLATES, threshold)
+    rows = docs.filter(holds_key(text, keys)).select(F.col(f"`{id_col}`").alias("_id"), F.posexplode(units).alias("line", "unit"))
+    rows = rows.filter(holds_key(F.col("unit"), keys))
     normal = F.trim(F.regexp_replace(ascii_lower(F.col("unit")), "[^a-z0-9]+", " "))
     # a unit of n words has n - 1 bigrams at most
     worded = rows.select("_id", "line", normal.alias("normal")).filter(F.length("normal") - F.length(F.translate("normal", " ", "")) >= least)
