@@ -1,4 +1,398 @@
-"""Every query of the rating and linked-view operators, with its SQL."""
+"""Every query of the rating and linked-view operators over the driver's tables, with its SQL.
+
+A player is a customer or a user, a period the half-year of an order, a rating a total or a value.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ratingloom.functions import scalars as S
+from ratingloom.operators import audits, bands, linked, ratings, reshape
+from ratingloom.sources import pages as sources
+from ratingloom.streaming import feeds
 
 QUERIES: dict = {}
 ORACLES: dict = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+EXPECTED = "least(0.9, greatest(0.1, 1.0 / (1.0 + pow(10.0, ({opp} - {own}) / 400.0))))"
+PERIODS = [f"{y}P{p}" for y in range(1992, 1999) for p in (1, 2)]
+PERIOD_SQL = "(year(o_orderdate)::VARCHAR || 'P' || (CASE WHEN month(o_orderdate) <= 6 THEN '1' ELSE '2' END))"
+BAND_SQL = "CASE WHEN {r} IS NULL OR isnan({r}) THEN '<1600' WHEN {r} > 2200 THEN '>2200' WHEN {r} >= 2000 THEN '2000-2200' WHEN {r} >= 1800 THEN '1800-2000' WHEN {r} >= 1600 THEN '1600-1800' ELSE '<1600' END"
+LATEST_SQL = "SELECT o_custkey, arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS latest FROM orders GROUP BY o_custkey"
+RATED_SQL = f"SELECT o_custkey, latest, 1200.0::DOUBLE + latest / 200.0 AS rating FROM ({LATEST_SQL})"
+
+
+# Ratings ------------------------------------------------------------------------------------------
+
+
+def _event_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    score = F.when(F.col("event_type") == "purchase", 1.0).when(F.col("event_type") == "click", 0.5).otherwise(0.0)
+    return e.select("event_id", "user_id", "ts", score.alias("score"), (1300.0 + F.coalesce("value", F.lit(0.0))).alias("opponent"), F.lit(1500).alias("opening"), F.lit(24).alias("k"))
+
+
+@query(f"""
+SELECT event_id, user_id, CAST(floor(1500 + CAST(sum(CAST(24 * (score - {EXPECTED.format(opp='opp', own='1500')}) AS DECIMAL(18,6))) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS DOUBLE) + 0.5) AS BIGINT) AS new_rating
+FROM (SELECT *, CASE event_type WHEN 'purchase' THEN 1.0::DOUBLE WHEN 'click' THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS score, 1300.0::DOUBLE + coalesce(value, 0.0) AS opp FROM events)
+""")
+def rating_running(spark, sf_dir):
+    games = _event_games(spark, sf_dir)
+    return ratings.running_rating(games, ["user_id"], ["ts", "event_id"], "score", "opponent", "opening", "k").select("event_id", "user_id", "new_rating")
+
+
+def _period(day: str) -> Column:
+    return F.concat(F.year(day).cast("string"), F.lit("P"), F.when(F.month(day) <= 6, "1").otherwise("2"))
+
+
+def _order_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    score = F.when(F.col("o_orderstatus") == "F", 1.0).when(F.col("o_orderstatus") == "P", 0.5).otherwise(0.0)
+    return o.select("o_orderkey", "o_custkey", "o_orderdate", _period("o_orderdate").alias("period"), score.alias("score"), (1000.0 + F.pmod(F.col("o_orderkey"), F.lit(1000))).alias("opponent"))
+
+
+def _openings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    opening = (1500 + F.floor(F.col("c_acctbal") / 20)).cast("int")
+    return c.select(F.col("c_custkey").alias("o_custkey"), opening.alias("opening"), F.when(opening >= 1600, 24).otherwise(32).alias("k"))
+
+
+ORDER_GAMES = f"""
+games AS (SELECT o_orderkey, o_custkey, {PERIOD_SQL} AS period, CASE o_orderstatus WHEN 'F' THEN 1.0::DOUBLE WHEN 'P' THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS score, 1000.0::DOUBLE + (o_orderkey % 1000) AS opp FROM orders),
+openings AS (SELECT c_custkey AS o_custkey, CAST(1500 + floor(c_acctbal / 20) AS INTEGER) AS opening FROM customer),
+factors AS (SELECT *, CASE WHEN opening >= 1600 THEN 24 ELSE 32 END AS k FROM openings)"""
+CLOSED = f"""{ORDER_GAMES},
+closed AS (SELECT o_custkey, period, max(opening) AS opening, count(*) AS n_games, CAST(floor(max(opening) + CAST(sum(CAST(k * (score - {EXPECTED.format(opp='opp', own='opening')}) AS DECIMAL(18,6))) AS DOUBLE) + 0.5) AS BIGINT) AS closing FROM games JOIN factors USING (o_custkey) GROUP BY o_custkey, period)"""
+
+
+@query(f"WITH {CLOSED} SELECT o_custkey, period, opening, n_games, closing FROM closed")
+def rating_closing(spark, sf_dir):
+    games = ratings.attach_periods(_order_games(spark, sf_dir), _openings(spark, sf_dir), ["o_custkey"])
+    return ratings.closing_rating(games, ["o_custkey", "period"], "score", "opponent", "opening", "k")
+
+
+@query(f"WITH {CLOSED} SELECT o_custkey, period, closing, lag(closing) OVER (PARTITION BY o_custkey ORDER BY period) AS carried FROM closed")
+def rating_carry(spark, sf_dir):
+    return ratings.carried_opening(rating_closing(spark, sf_dir), "o_custkey", "period").select("o_custkey", "period", "closing", "carried")
+
+
+@query(f"""WITH RECURSIVE {ORDER_GAMES},
+nos AS (SELECT o_custkey, period, row_number() OVER (PARTITION BY o_custkey ORDER BY period) AS nr FROM (SELECT DISTINCT o_custkey, period FROM games JOIN factors USING (o_custkey))),
+lists AS (SELECT o_custkey, period, list(score) AS s, list(opp) AS o FROM games GROUP BY o_custkey, period),
+chain AS (
+  SELECT n.o_custkey, n.nr, n.period, f.opening::BIGINT AS opening, CAST(floor(f.opening + CAST(list_sum([CAST(f.k * (l.s[i] - {EXPECTED.format(opp='l.o[i]', own='f.opening')}) AS DECIMAL(18,6)) for i in range(1, len(l.s) + 1)]) AS DOUBLE) + 0.5) AS BIGINT) AS closing, f.k
+  FROM nos n JOIN factors f USING (o_custkey) JOIN lists l ON l.o_custkey = n.o_custkey AND l.period = n.period WHERE n.nr = 1
+  UNION ALL
+  SELECT n.o_custkey, n.nr, n.period, c.closing AS opening, CAST(floor(c.closing + CAST(list_sum([CAST(c.k * (l.s[i] - {EXPECTED.format(opp='l.o[i]', own='c.closing')}) AS DECIMAL(18,6)) for i in range(1, len(l.s) + 1)]) AS DOUBLE) + 0.5) AS BIGINT) AS closing, c.k
+  FROM chain c JOIN nos n ON n.o_custkey = c.o_custkey AND n.nr = c.nr + 1 JOIN lists l ON l.o_custkey = n.o_custkey AND l.period = n.period)
+SELECT o_custkey, period, opening, closing FROM chain""")
+def rating_chained(spark, sf_dir):
+    games = ratings.attach_periods(_order_games(spark, sf_dir), _openings(spark, sf_dir), ["o_custkey"])
+    return ratings.chained_closing(games, "o_custkey", "period", "score", "opponent", "opening", "k")
+
+
+# Bands and series ---------------------------------------------------------------------------------
+
+
+@query(LATEST_SQL)
+def latest_per_key(spark, sf_dir):
+    return bands.latest(table(spark, sf_dir, "orders"), "o_custkey", "o_totalprice", ["o_orderdate", "o_orderkey"])
+
+
+def _rated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest_per_key(spark, sf_dir).withColumn("rating", 1200.0 + F.col("latest") / 200.0)
+
+
+@query(f"SELECT o_custkey, rating, {BAND_SQL.format(r='rating')} AS band FROM ({RATED_SQL})")
+def band_assign(spark, sf_dir):
+    return _rated(spark, sf_dir).select("o_custkey", "rating", bands.band(F.col("rating")).alias("band"))
+
+
+@query(f"""WITH b(band_no, band) AS (VALUES (0, '>2200'), (1, '2000-2200'), (2, '1800-2000'), (3, '1600-1800'), (4, '<1600')),
+m AS (SELECT {BAND_SQL.format(r='rating')} AS band, count(*) AS n, string_agg(c_name, ',' ORDER BY lower(c_name), c_name) AS names FROM ({RATED_SQL}) JOIN customer ON c_custkey = o_custkey GROUP BY 1)
+SELECT b.band_no::INTEGER AS band_no, b.band, coalesce(n, 0)::INTEGER AS n_members, coalesce(names, '') AS names FROM b LEFT JOIN m USING (band)""")
+def band_members(spark, sf_dir):
+    named = band_assign(spark, sf_dir).join(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name"), "o_custkey")
+    return bands.band_members(named, "c_name").select("band_no", "band", F.size("members").alias("n_members"), F.array_join("members", ",").alias("names"))
+
+
+@query(f"SELECT o_custkey, band, CASE WHEN band = '1800-2000' THEN 'shown' ELSE 'legendonly' END AS visible FROM (SELECT o_custkey, {BAND_SQL.format(r='rating')} AS band FROM ({RATED_SQL}))")
+def band_visibility(spark, sf_dir):
+    return bands.visibility(band_assign(spark, sf_dir), "1800-2000").select("o_custkey", "band", "visible")
+
+
+def _values(rows) -> str:
+    text = lambda v: "NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v)
+    return ", ".join("(" + ", ".join(map(text, r)) + ")" for r in rows)
+
+
+@query(f"""WITH o(overlay, since, lo, hi) AS (VALUES {_values(bands.OVERLAYS)})
+SELECT overlay, count(*) AS n_members, min(rating) AS least, max(rating) AS greatest FROM ({RATED_SQL}) JOIN o ON (lo IS NULL OR rating >= lo) AND (hi IS NULL OR rating <= hi) GROUP BY overlay""")
+def overlay_bands(spark, sf_dir):
+    overlays = spark.createDataFrame(bands.OVERLAYS, "overlay string, since int, lo int, hi int")
+    return bands.overlay_members(_rated(spark, sf_dir), "rating", overlays).groupBy("overlay").agg(F.count(F.lit(1)).alias("n_members"), F.min("rating").alias("least"), F.max("rating").alias("greatest"))
+
+
+@query("""SELECT user_id, count(*)::INTEGER AS n, md5(string_agg(event_id::VARCHAR, ',' ORDER BY ts, event_id)) AS order_md5, list(value ORDER BY ts, event_id)[1] AS first_value, list(value ORDER BY ts, event_id)[-1] AS last_value FROM events GROUP BY user_id""")
+def key_series(spark, sf_dir):
+    s = reshape.series(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], {"ids": "event_id", "values": "value"})
+    ids = F.transform("ids", lambda i: i.cast("string"))
+    return s.select("user_id", F.size("ids").alias("n"), F.md5(F.array_join(ids, ",")).alias("order_md5"), F.get("values", F.lit(0)).alias("first_value"), F.element_at("values", -1).alias("last_value"))
+
+
+@query("SELECT c_name, place, place % 45 AS colour_no FROM (SELECT c_name, row_number() OVER (ORDER BY lower(c_name), c_name) - 1 AS place FROM (SELECT DISTINCT c_name FROM customer))")
+def palette_assign(spark, sf_dir):
+    return bands.palette_index(table(spark, sf_dir, "customer"), "c_name", 45)
+
+
+@query("""SELECT o_orderkey, o_orderpriority || ': ' || CAST(CAST(round(o_totalprice, 0) AS BIGINT) AS VARCHAR) AS hover, floor(o_totalprice * 10 + 0.5) / 10.0::DOUBLE AS rounded, CASE WHEN length(o_orderkey::VARCHAR) >= 6 THEN o_orderkey::VARCHAR ELSE lpad(o_orderkey::VARCHAR, 6, '0') END AS padded FROM orders""")
+def hover_label(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", S.hover_label(F.col("o_orderpriority"), F.col("o_totalprice")).alias("hover"), S.round_half_up(F.col("o_totalprice"), 1).alias("rounded"), S.zero_pad(F.col("o_orderkey").cast("string"), 6).alias("padded"))
+
+
+# Reshape ------------------------------------------------------------------------------------------
+
+INDEXED = f"""indexed AS (SELECT o_custkey, {PERIOD_SQL} AS period, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)::INTEGER AS idx FROM orders),
+joined AS (SELECT *, lag(period) OVER (PARTITION BY o_custkey ORDER BY idx) AS before FROM indexed),
+connected AS (SELECT o_custkey, idx, period, o_totalprice FROM joined UNION ALL SELECT o_custkey, idx, before, o_totalprice FROM joined WHERE before <> period)"""
+
+
+def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", _period("o_orderdate").alias("period"), "o_totalprice")
+    games = reshape.game_index(o, "o_custkey", ["o_orderdate", "o_orderkey"])
+    return reshape.wide(reshape.with_connectors(games, "o_custkey", "idx", "period"), ["o_custkey", "idx"], "period", PERIODS, "o_totalprice")
+
+
+@query(f"""WITH {INDEXED} SELECT o_custkey, idx, {', '.join(f"max(o_totalprice) FILTER (WHERE period = '{p}') AS \"{p}\"" for p in PERIODS)} FROM connected GROUP BY o_custkey, idx""")
+def wide_by_period(spark, sf_dir):
+    return _wide(spark, sf_dir)
+
+
+@query(f"WITH {INDEXED} SELECT o_custkey, idx, period, max(o_totalprice) AS total FROM connected WHERE period IN ({', '.join(repr(p) for p in PERIODS)}) GROUP BY ALL")
+def long_from_wide(spark, sf_dir):
+    return reshape.long(_wide(spark, sf_dir), ["o_custkey", "idx"], PERIODS, "period", "total")
+
+
+@query("SELECT user_id, event_id AS ids, event_type AS kinds FROM events")
+def rows_from_columns(spark, sf_dir):
+    s = reshape.series(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], {"ids": "event_id", "kinds": "event_type"})
+    return reshape.rows_from_columns(s, ["user_id"], ["ids", "kinds"])
+
+
+@query("SELECT label, (i - 1)::INTEGER AS dim, count(*) AS n, min(embedding[i]) AS least, max(embedding[i]) AS greatest FROM embeddings, range(1, 65) t(i) GROUP BY label, i")
+def transpose_vectors(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").withColumn("row", F.struct("label", "vec_id"))
+    long = reshape.transposed_long(e, "row", "embedding")
+    return long.groupBy(F.col("row.label").alias("label"), "dim").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("least"), F.max("value").alias("greatest"))
+
+
+# Linked views -------------------------------------------------------------------------------------
+
+
+@query("SELECT DISTINCT event_id FROM events WHERE value BETWEEN 20 AND 40")
+def range_keys(spark, sf_dir):
+    return linked.range_keys(table(spark, sf_dir, "events"), "event_id", "value", 20, 40)
+
+
+@query("SELECT DISTINCT p_partkey FROM part WHERE p_brand IN ('Brand#11', 'Brand#23', 'Brand#34')")
+def group_keys(spark, sf_dir):
+    return linked.group_keys(table(spark, sf_dir, "part"), ["Brand#11", "Brand#23", "Brand#34"], "p_brand", "p_partkey")
+
+
+@query("SELECT DISTINCT l_partkey AS key FROM lineitem WHERE l_quantity >= 25 INTERSECT SELECT l_partkey FROM lineitem WHERE l_discount >= 0.05 INTERSECT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R'")
+def handles_intersect(spark, sf_dir):
+    l = table(spark, sf_dir, "lineitem")  # noqa: E741
+    of = lambda name, cond: l.filter(cond).select(F.lit(name).alias("handle_id"), F.col("l_partkey").alias("key"))
+    keys = of("quantity", F.col("l_quantity") >= 25).unionByName(of("discount", F.col("l_discount") >= 0.05)).unionByName(of("flag", F.col("l_returnflag") == "R")).unionByName(of("cleared", F.col("l_tax") > 1))
+    handles = linked.clear_handle(spark.createDataFrame([("quantity",), ("discount",), ("flag",), ("cleared",)], "handle_id string"), "cleared")
+    return linked.intersect_handles(handles, keys)
+
+
+def _order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    item = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("s"))
+    of = lambda name: F.transform("s", lambda x: x[name])
+    return lines.select("l_orderkey", of("l_linenumber").alias("line"), of("l_partkey").alias("part"), of("l_suppkey").alias("supp"), of("l_quantity").alias("quantity"))
+
+
+@query("""WITH k AS (SELECT l_orderkey, list(l_partkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS p, list(l_suppkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS s FROM lineitem GROUP BY 1),
+m AS (SELECT l_orderkey, CASE l_orderkey % 3 WHEN 0 THEN 'nested' WHEN 1 THEN 'simple' ELSE 'flat' END AS kind, len(p) AS n, [i - 1 for i in range(1, len(p) + 1) if p[i] < 400] AS flat, len([x for x in p if x >= 400]) = 0 AS every, [i - 1 for i in range(1, len(p) + 1) if p[i] < 400 AND s[i] < 400] AS nested FROM k)
+SELECT l_orderkey, kind, array_to_string(CASE kind WHEN 'nested' THEN nested WHEN 'simple' THEN CASE WHEN every THEN range(0, n) ELSE [] END ELSE flat END, ',') AS hits FROM m""")
+def match_modes(spark, sf_dir):
+    k = _order_keys(spark, sf_dir)
+    nested = F.zip_with("part", "supp", lambda p, s: F.array(p, s))
+    kind = F.when(F.col("l_orderkey") % 3 == 0, "nested").when(F.col("l_orderkey") % 3 == 1, "simple").otherwise("flat")
+    needles = F.sequence(F.lit(0).cast("long"), F.lit(399).cast("long"))
+    hits = linked.matches(F.col("kind"), F.col("part"), F.col("nested"), needles)
+    rows = k.withColumn("nested", nested).withColumn("kind", kind)
+    return rows.select("l_orderkey", "kind", F.array_join(F.transform(hits, lambda i: i.cast("string")), ",").alias("hits"))
+
+
+@query("""SELECT l_orderkey, count(*)::INTEGER AS n, string_agg(l_partkey::VARCHAR, ',' ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS parts, string_agg(l_linenumber::VARCHAR, ',' ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS lines FROM lineitem WHERE l_partkey < 400 GROUP BY 1""")
+def subset_parallel(spark, sf_dir):
+    traces = _order_keys(spark, sf_dir).withColumn("set", F.lit("parts")).withColumn("key", F.col("part"))
+    cut = linked.filter_traces(traces, "parts", F.sequence(F.lit(0).cast("long"), F.lit(399).cast("long")))
+    text = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+    return cut.select("l_orderkey", F.size("part").alias("n"), text("part").alias("parts"), text("line").alias("lines"))
+
+
+@query("""WITH w AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events), b AS (SELECT min(d) AS first FROM w),
+o AS (SELECT user_id FROM w, b WHERE d = first + 7), n AS (SELECT user_id FROM w, b WHERE d = first + 14)
+SELECT user_id, 'removed' AS change FROM o WHERE user_id NOT IN (SELECT user_id FROM n) UNION ALL SELECT user_id, 'added' FROM n WHERE user_id NOT IN (SELECT user_id FROM o)""")
+def key_diff(spark, sf_dir):
+    days = table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day")).distinct()
+    first = days.agg(F.min("day").alias("first"))
+    of = lambda n: days.join(F.broadcast(first), F.col("day") == F.date_add("first", n)).select("user_id")
+    return linked.key_diff(of(7), of(14), "user_id")
+
+
+@query("SELECT l_returnflag, l_partkey, count(*) AS n_points FROM lineitem WHERE l_quantity > 45 GROUP BY 1, 2")
+def points_to_keys(spark, sf_dir):
+    return linked.points_to_keys(table(spark, sf_dir, "lineitem").filter("l_quantity > 45"), "l_returnflag", "l_partkey")
+
+
+@query("SELECT l_returnflag, min(l_orderkey * 10 + l_linenumber) AS first_seen FROM lineitem GROUP BY 1")
+def distinct_sets(spark, sf_dir):
+    return linked.distinct_sets(table(spark, sf_dir, "lineitem").withColumn("place", F.col("l_orderkey") * 10 + F.col("l_linenumber")), "l_returnflag", "place")
+
+
+@query("""WITH c AS (SELECT *, sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC ROWS UNBOUNDED PRECEDING) AS later FROM events)
+SELECT user_id, event_type, arg_min(event_id, (ts, event_id)) AS first_id FROM c WHERE later = 0 GROUP BY 1, 2""")
+def selection_accumulate(spark, sf_dir):
+    kept = linked.accumulate_selection(table(spark, sf_dir, "events"), "user_id", "event_type", ["ts", "event_id"], F.col("event_type") == "signup")
+    return kept.select("user_id", "event_type", F.col("first_seen.event_id").alias("first_id"))
+
+
+@query("SELECT a.p_partkey, count(*) AS n_members, min(b.p_partkey) AS least, max(b.p_partkey) AS greatest FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size GROUP BY 1")
+def legend_expand(spark, sf_dir):
+    parts = table(spark, sf_dir, "part").withColumn("legend", F.concat_ws("/", "p_brand", "p_size"))
+    members = linked.expand_legend(parts, "p_partkey", "legend")
+    return members.groupBy("p_partkey").agg(F.count(F.lit(1)).alias("n_members"), F.min("member").alias("least"), F.max("member").alias("greatest"))
+
+
+@query("""WITH o AS (SELECT 'original' AS kind, p_partkey, p_name AS name, 'blue' AS colour, p_brand AS set_name, CASE WHEN p_size > 5 THEN p_size / 50.0::DOUBLE ELSE 1.0 END AS opacity FROM part)
+SELECT kind, p_partkey, name, colour, set_name, CASE WHEN set_name IN (SELECT p_brand FROM part WHERE p_partkey % 97 = 0) THEN opacity * 0.2 ELSE opacity END AS opacity FROM o
+UNION ALL SELECT 'selected', p_partkey, name, 'red', set_name, opacity FROM o WHERE p_partkey % 97 = 0""")
+def selection_overlay(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    size = F.when(F.col("p_size") > 5, F.col("p_size") / F.lit(50.0))
+    traces = p.select(F.struct("p_partkey", "p_brand").alias("key"), F.col("p_name").alias("name"), F.lit("blue").alias("colour"), size.alias("opacity"))
+    chosen = traces.filter(F.col("key.p_partkey") % 97 == 0)
+    both = linked.selection_overlay(traces.withColumn("key", F.col("key").cast("struct<p_partkey:string,p_brand:string>")).withColumn("key", F.concat_ws("|", "key.p_partkey", "key.p_brand")), chosen.select(F.concat_ws("|", F.col("key.p_partkey").cast("string"), "key.p_brand").alias("key")), "key", "red")
+    out = both.withColumn("set_name", F.substring_index("key", "|", -1))
+    dimmed = linked.dim_rest(out, chosen.select(F.col("key.p_brand").alias("set_name")), "set_name", 0.2)
+    return dimmed.select("kind", F.substring_index("key", "|", 1).cast("long").alias("p_partkey"), "name", "colour", "set_name", "opacity")
+
+
+CHANGE_SQL = "SELECT event_id, user_id, old_value, event_type FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS old_value FROM events) WHERE event_type IS DISTINCT FROM old_value"
+
+
+@query(CHANGE_SQL)
+def change_only(spark, sf_dir):
+    return linked.change_only(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], "event_type").select("event_id", "user_id", "old_value", "event_type")
+
+
+@query("SELECT event_id FROM (SELECT event_id, row_number() OVER (PARTITION BY user_id, event_type, props ORDER BY ts, event_id) AS nr FROM events) WHERE nr = 1")
+def history_dedupe(spark, sf_dir):
+    return linked.first_of_history(table(spark, sf_dir, "events"), S.fingerprint("user_id", "event_type", "props"), ["ts", "event_id"]).select("event_id")
+
+
+SESSIONS = """WITH g AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts >= lag(ts) OVER w + INTERVAL 2 HOUR THEN 1 ELSE 0 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS burst FROM g)
+SELECT user_id, {pick}(event_id, (ts, event_id)) AS event_id, count(*) AS n_events FROM s GROUP BY user_id, burst"""
+
+
+@query(SESSIONS.format(pick="arg_max"))
+def debounce_last(spark, sf_dir):
+    return linked.debounce(table(spark, sf_dir, "events"), "user_id", "ts", "event_id", "2 hours")
+
+
+@query(SESSIONS.format(pick="arg_min"))
+def debounce_first(spark, sf_dir):
+    return linked.debounce(table(spark, sf_dir, "events"), "user_id", "ts", "event_id", "2 hours", first=True)
+
+
+# Sources, labels, audits --------------------------------------------------------------------------
+
+
+@query(r"""WITH a AS (SELECT page_id, regexp_extract_all(html, '(?is)<a\s[^>]*href\s*=\s*["''][^"'']*["''][^>]*>.*?</a>') AS m FROM pages),
+u AS (SELECT page_id, unnest(m) AS mark, unnest(range(1, len(m) + 1))::INTEGER AS nr FROM a)
+SELECT page_id, nr, regexp_extract(mark, '(?is)href\s*=\s*["'']([^"'']*)["'']', 1) AS href, trim(regexp_replace(regexp_replace(mark, '<[^>]*>', '', 'g'), '\s+', ' ', 'g')) AS text FROM u""")
+def page_links(spark, sf_dir):
+    return sources.extract_links(table(spark, sf_dir, "pages"), "page_id").select("page_id", "nr", "href", "text")
+
+
+@query("""SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, (epoch_us(ts) // 1000) / 1000.0::DOUBLE AS seconds, strftime(ts + INTERVAL 2 HOUR, '%H:%M') AS label, CAST(strptime(strftime(ts, '%d/%m/%Y'), '%d/%m/%Y') AS DATE) AS parsed FROM events""")
+def date_labels(spark, sf_dir):
+    ts = F.col("ts").cast("timestamp")
+    millis = F.unix_millis(ts)
+    return table(spark, sf_dir, "events").select("event_id", S.utc_day(millis).alias("day"), S.millis_to_seconds(millis).alias("seconds"), S.time_label(ts, "Etc/GMT-2", "HH:mm").alias("label"), S.day_first_date(F.date_format(ts, "dd/MM/yyyy")).alias("parsed"))
+
+
+@query(r"""SELECT event_id, CASE WHEN trim(d) = '' THEN 0.0 ELSE coalesce(TRY_CAST(d AS DOUBLE), 'nan'::DOUBLE) END AS number, nullif(trim(regexp_replace(props, '\s+', ' ', 'g')), '') AS cleaned FROM (SELECT *, regexp_extract(props, '(\d+)', 1) AS d FROM events)""")
+def coerce_numbers(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", S.to_number(F.regexp_extract("props", r"(\d+)", 1)).alias("number"), S.clean_cell(F.col("props")).alias("cleaned"))
+
+
+@query("SELECT DISTINCT a.l_orderkey, a.l_partkey, a.l_suppkey FROM lineitem a JOIN lineitem b ON a.l_partkey = b.l_suppkey AND a.l_suppkey = b.l_partkey AND year(a.l_shipdate) = year(b.l_shipdate)")
+def audit_mirror(spark, sf_dir):
+    games = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", F.year("l_shipdate").alias("season"), "l_quantity")
+    return audits.mirrored(games, "l_partkey", "l_suppkey", "season", "l_quantity").select("l_orderkey", "l_partkey", "l_suppkey").distinct()
+
+
+@query("SELECT user_id, event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY ALL HAVING count(*) > 1")
+def audit_duplicates(spark, sf_dir):
+    return audits.duplicates(table(spark, sf_dir, "events").withColumn("day", F.to_date("ts")), ["user_id", "event_type", "day"])
+
+
+@query("SELECT event_id, CASE WHEN CAST(ts AS DATE) NOT BETWEEN DATE '2024-01-02' AND DATE '2024-01-28' THEN 'outside' ELSE 'out of order' END AS fault FROM (SELECT *, lag(CAST(ts AS DATE)) OVER (PARTITION BY user_id ORDER BY event_id) AS above FROM events) WHERE CAST(ts AS DATE) NOT BETWEEN DATE '2024-01-02' AND DATE '2024-01-28' OR CAST(ts AS DATE) < above")
+def audit_order(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").cast("string").alias("raw"), F.to_date("ts").alias("day"), F.to_date(F.lit("2024-01-02")).alias("first"), F.to_date(F.lit("2024-01-28")).alias("last"))
+    return audits.date_faults(e, "user_id", "event_id", "raw", "day", "first", "last").select("event_id", "fault")
+
+
+# Streams ------------------------------------------------------------------------------------------
+
+
+@query(CHANGE_SQL)
+def stream_change(spark, sf_dir):
+    feed = feeds.read_feed(spark, sf_dir, "events")
+    return feeds.drain(feeds.changes(feed, "user_id", "ts", "event_id", "event_type")).select("event_id", "user_id", "old_value", "event_type")
+
+
+@query()
+def stream_debounce(spark, sf_dir):
+    feed = feeds.read_feed(spark, sf_dir, "events")
+    return feeds.drain(feeds.debounced(feed, "user_id", "ts", "event_id", "2 hours", "1 hour"))
+
+
+@query("SELECT DISTINCT user_id, event_type, props FROM events")
+def stream_dedupe(spark, sf_dir):
+    feed = feeds.read_feed(spark, sf_dir, "events")
+    return feeds.drain(feeds.deduplicated(feed, "ts", "3650 days", ["user_id", "event_type", "props"]).select("user_id", "event_type", "props"))
+
+
+@query(f"WITH {CLOSED} SELECT o_custkey, period, n_games, closing FROM closed")
+def stream_closing(spark, sf_dir):
+    feed = feeds.read_feed(spark, sf_dir, "orders")
+    score = F.when(F.col("o_orderstatus") == "F", 1.0).when(F.col("o_orderstatus") == "P", 0.5).otherwise(0.0)
+    games = feed.select("o_custkey", _period("o_orderdate").alias("period"), score.alias("score"), (1000.0 + F.pmod(F.col("o_orderkey"), F.lit(1000))).alias("opponent"))
+    periods = table(spark, sf_dir, "orders").select("o_custkey", _period("o_orderdate").alias("period")).distinct().join(_openings(spark, sf_dir), "o_custkey")
+    return feeds.drain(feeds.closings(games, periods, ["o_custkey", "period"], "score", "opponent", "opening", "k"), ["o_custkey", "period"])
