@@ -37,7 +37,9 @@ PERCENT = 80
 BLOCK = 1_000
 BLOCK_BYTES = 4_000_000
 COLUMNS = 8_192  # of an incidence matrix at a time
-BROADCAST_ROWS = 1_000_000  # keys of 40 bytes: what may be broadcast after it was counted
+FILE_ROWS = 250_000
+STAR_ROWS = 300_000  # edges, of 32 bytes, up to which least neighbours are broadcast
+BROADCAST_ROWS = 300_000  # keys of 40 bytes: what may be broadcast after it was counted
 
 _random = np.random.default_rng(7_919)
 STEPS = _random.integers(1, 1 << 63, 64, np.uint64) | np.uint64(1)
@@ -230,24 +232,40 @@ def confirmed(members: DataFrame, width: int, percent: int) -> DataFrame:
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """node and label (its component's smallest node) of every node of ``edges`` (a, b) but those that are
-    their own label, by large-star and small-star steps until the stars stay the same."""
+    their own label.
+
+    Large-star and small-star steps run until every node has one parent, then parents are followed, twice as
+    far each time, to the roots.  Tables are kept in few files, by their counted rows, and the table of
+    least neighbours is broadcast while it is counted as small.
+    """
     now = scratch.save(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    mark = None
-    while True:
+
+    def measured() -> tuple[int, bool]:
+        n, nodes = now.agg(F.count(F.lit(1)), F.count_distinct("u")).first()
+        return n, n == nodes
+
+    def step(new: DataFrame) -> DataFrame:
+        saved = scratch.save(new.coalesce(max(1, -(-n // FILE_ROWS))))
+        scratch.drop(now)
+        return saved
+
+    n, one_parent = measured()
+    small = lambda df: F.broadcast(df) if n <= STAR_ROWS else df
+    while not one_parent:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = scratch.save(large)
+        large = both.join(small(least), "u").filter("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
-        small = joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        new = scratch.save(small)
-        scratch.drop(now, large)
-        now = new
-        found = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(found) == mark:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("label"))
-        mark = tuple(found)
+        rest = large.join(small(least), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        now = step(rest.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        n, one_parent = measured()
+    while n:
+        above = now.select(F.col("u").alias("v"), F.col("v").alias("w"))
+        now = step(now.join(small(above), "v", "left").select("u", F.coalesce("w", "v").alias("v"), F.col("w").isNotNull().alias("moved")))
+        if not now.agg(F.max("moved")).first()[0]:
+            break
+        now = now.drop("moved")
+    return now.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
 def prefixes(classes: DataFrame, scratch: Scratch) -> DataFrame:
@@ -306,7 +324,12 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = spread.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).filter("lo > 0")
     more = scratch.save(confirmed(rest.join(texts, "node"), width, percent))
     if not more.isEmpty():
-        labels = components(links.unionByName(more), scratch)
+        # the labels found so far stand for their components
+        of = lambda x: labels.select(F.col("node").alias(x), F.col("label").alias(f"to_{x}"))
+        raised = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("to_a", "a").alias("a"), F.coalesce("to_b", "b").alias("b"))
+        higher = components(raised, scratch)
+        top = labels.join(higher.select(F.col("node").alias("label"), F.col("label").alias("top")), "label", "left").select("node", F.coalesce("top", "label").alias("label"))
+        labels = scratch.save(top.unionByName(higher.join(labels, "node", "left_anti")))
     named = classes.select("node", "least").join(labels, "node", "left").select("node", "least", F.coalesce("label", "node").alias("label"))
     smallest = named.groupBy("label").agg(F.min("least").alias("component_id"))
     of_node = scratch.save(named.join(smallest, "label").select("node", "component_id"))
