@@ -9,6 +9,7 @@ Fitting (on the driver, on a bounded sample of labelled rows):
 * A sentence is a bag of windows of ``WINDOW`` characters and stands for its best one.  Sentences of
   documents labelled clean are negative; of a toxic document, the ``WITNESSES`` best windows are positive.
   The first choice of windows goes by the log-odds of plain subsequences, later ones by the last model.
+* Positive windows are also fitted on with characters put in, so that spread insults are learnt.
 * ``LANDMARKS`` windows are landmarks.  Their kernel matrix gives the Nystroem map of any window, and a
   linear machine with squared hinge loss is fitted on the mapped windows.
 * The machine's function of a window, sum_j alpha_j K(window, landmark_j) + b, is linear in the window's
@@ -29,11 +30,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch, read_table, slices
+from .common import read_table, slices
 
 ORDER = 4
 SPAN = 6
-DECAY = 0.5
+DECAY = 0.7
 WINDOW = 12
 LANDMARKS = 320
 WITNESSES = 3
@@ -165,7 +166,8 @@ def fit(texts: list[str], toxic: list[int], seed: int = 7) -> Model:
     bias = 0.0
     for _ in range(ROUNDS):
         windows, positive = choose(codes, label, ~held, weight, rng)
-        weight, bias = machine(windows, positive, rng)
+        spread = gapped(windows[positive], rng)
+        weight, bias = machine(np.concatenate([windows, spread]), np.append(positive, np.ones(len(spread), bool)), rng)
     model = Model(weight, bias, np.zeros(4))
     figures = np.array([model.figures(t) for t in texts])
     use = held if min((held & label).sum(), (held & ~label).sum()) >= 10 else np.ones(len(texts), bool)
@@ -213,6 +215,17 @@ def choose(codes: list[np.ndarray], label: np.ndarray, use: np.ndarray, weight:
     return np.concatenate(windows), np.array(positive)
 
 
+def gapped(windows: np.ndarray, rng) -> np.ndarray:
+    """Windows with one to three characters put in at random: every place may be a gap from then on."""
+    out = np.zeros_like(windows)
+    width = windows.shape[1]
+    for row, w in enumerate(windows):
+        keep = np.ones(width, bool)
+        keep[rng.integers(1, width, rng.integers(1, 4))] = False
+        out[row, keep] = w[: keep.sum()]
+    return out
+
+
 def machine(windows: np.ndarray, positive: np.ndarray, rng) -> tuple[np.ndarray, float]:
     """The weight of every subsequence, and the bias, of a machine on Nystroem features."""
     half = LANDMARKS // 2
