@@ -38,7 +38,7 @@ from .rolling import Rolling, mixed
 LENGTH = 200
 GRAM = 32
 STRIDE = 16
-BROADCAST_ROWS = 1_000_000  # rows of under 100 bytes: what may be broadcast after it was counted
+SLOTS = 1 << 19
 
 
 def anchors_of(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -80,17 +80,27 @@ def find_anchors(rows: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def with_text(rows: DataFrame, keyed: DataFrame, how: str) -> DataFrame:
-    """``rows`` joined with ``keyed`` on id and print; ``keyed`` is broadcast if it was counted as small."""
-    if keyed.count() <= BROADCAST_ROWS:
-        keyed = F.broadcast(keyed)
-    keyed = keyed.withColumnsRenamed({"id": "_id", "print": "_print"})
-    return rows.join(keyed, F.col("id").eqNullSafe(F.col("_id")) & (F.col("print") == F.col("_print")), how).drop("_id", "_print")
+    """``rows`` joined with the saved table ``keyed`` on id and print, inner or left.
 
-
-def contexts(rows: DataFrame, records: DataFrame, length: int) -> DataFrame:
+    Only rows whose key falls into a slot that ``keyed`` fills take part in the shuffle.  The slots are
+    broadcast: they are ``SLOTS`` numbers at most, whatever the data; with more keys more rows pass.
+    """
+    slot = F.pmod(F.xxhash64("id", "print"), F.lit(SLOTS)).cast("int")
+    slots = F.broadcast(keyed.select(slot.alias("_slot")).distinct())
+    slotted = rows.withColumn("_slot", slot)
+    renamed = keyed.withColumnsRenamed({"id": "_id", "print": "_print"})
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("print") == F.col("_print"))
+    near = slotted.join(slots, "_slot", "left_semi").join(renamed.hint("merge"), same, how).drop("_id", "_print", "_slot")
+    if how == "inner":
+        return near
+    far = slotted.join(slots, "_slot", "left_anti").drop("_slot")
+    return near.unionByName(far, allowMissingColumns=True)
+
+
+def contexts(rows: DataFrame, records: DataFrame, length: int, scratch: Scratch) -> DataFrame:
     """``records`` with ``context``, the bytes that their windows cover."""
     own = F.struct("place", "lo", "hi", "bucket", "single")
-    wanted = records.groupBy("id", "print").agg(F.collect_list(own).alias("records"))
+    wanted = scratch.save(records.groupBy("id", "print").agg(F.collect_list(own).alias("records")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["place", "lo", "hi", "bucket", "single"]
@@ -178,7 +188,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     records = placed.filter("open").withColumn("single", F.col("n") == 1)
     one = records.filter("single").unionByName(records.filter("not single").dropDuplicates(["bucket", "name"]))
-    found = scratch.save(contexts(rows, one.select("id", "print", "place", "lo", "hi", "bucket", "single"), length))
+    found = scratch.save(contexts(rows, one.select("id", "print", "place", "lo", "hi", "bucket", "single"), length, scratch))
 
     every = pieces(found, length, STRIDE)
     cores = every.groupBy("bucket", "core").agg(F.count(F.lit(1)).alias("n"), F.max("single").alias("some")).filter("n > 1 and some").select("bucket", "core")
