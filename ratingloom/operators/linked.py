@@ -159,6 +159,16 @@ def point_keys(kind: Column, keys: Column, number: Column) -> Column:
     return F.when(kind == "simple", whole).otherwise(F.coalesce(F.get(keys, number), F.array().cast("array<string>")))
 
 
+def point_keys_at_pair(keys: Column, row: Column, column: Column) -> Column:
+    """The key of a point numbered by row and column of a nested list."""
+    return F.get(F.get(keys, row), column)
+
+
+def point_keys_at_list(keys: Column, numbers: Column) -> Column:
+    """The keys of a point that stands for several numbers."""
+    return subset(keys, numbers)
+
+
 def points_to_keys(points: DataFrame, set_col: str, key: str) -> DataFrame:
     """How often each key of each set is selected; points without key or set are skipped."""
     return points.filter(F.col(set_col).isNotNull() & F.col(key).isNotNull()).groupBy(set_col, key).agg(F.count(F.lit(1)).alias("n_points"))
@@ -183,6 +193,15 @@ def selection_overlay(traces: DataFrame, selected: DataFrame, key: str, colour:
     return originals.unionByName(copies)
 
 
+def selected_copies(traces: DataFrame, id_col: str, chosen_set: str, needles: Column, colour: str) -> DataFrame:
+    """Copies of the set's matching traces, cut to their matches, in the selection's colour and with a link to
+    the original; name and legend group default to the keys, joined."""
+    label = F.concat_ws("<br />", needles)
+    cut = filter_traces(traces.withColumn("_original", F.col(id_col)), chosen_set, needles)
+    named = cut.withColumns({c: first_non_empty(F.col(c), label) for c in ("name", "legendgroup")})
+    return named.withColumns({"colour": F.lit(colour), "opacity": opacity(F.col("opacity"))})
+
+
 def dim_rest(overlay: DataFrame, sets_selected: DataFrame, set_col: str, factor: float) -> DataFrame:
     """Opacity of originals whose set has a selection times the factor; 1 changes nothing."""
     mark = sets_selected.select(set_col).distinct().withColumn("_dim", F.lit(True))

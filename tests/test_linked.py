@@ -54,12 +54,24 @@ def test_filter_traces(spark):
     assert linked.filter_traces(traces, "s", F.array().cast("array<string>")).count() == 0
 
 
+def test_selected_copies_and_dimming(spark):
+    rows = [(1, "s", ["a", "b"], [1, 2], None, "g", None), (2, "s", ["c"], [3], "n", None, 0.0), (3, "t", ["a"], [4], "m", None, 0.5)]
+    traces = spark.createDataFrame(rows, "i int, set string, key array<string>, x array<int>, name string, legendgroup string, opacity double")
+    got = linked.selected_copies(traces, "i", "s", F.array(F.lit("b"), F.lit("c")), "red").orderBy("i").collect()
+    assert [(r["_original"], r.x, r.name, r.legendgroup, r.colour, r.opacity) for r in got] == [(1, [2], "b<br />c", "g", "red", 1.0), (2, [3], "n", "b<br />c", "red", 0.0)]
+    overlay = traces.select("i", "set", F.lit("original").alias("kind"), F.coalesce("opacity", F.lit(1.0)).alias("opacity"))
+    dim = linked.dim_rest(overlay, traces.filter("set = 's'"), "set", 0.2).orderBy("i").collect()
+    assert [r.opacity for r in dim] == [0.2, 0.0, 0.5]
+
+
 def test_legend_and_points(spark):
     traces = spark.createDataFrame([(1, "g"), (2, "g"), (3, None)], "i int, g string")
     assert sorted(tuple(r) for r in linked.expand_legend(traces, "i", "g").collect()) == [(1, 1), (1, 2), (2, 1), (2, 2), (3, 3)]
     row = spark.createDataFrame([([["a"], ["b", "c"]],)], "k array<array<string>>")
     got = row.select(linked.point_keys(F.lit("simple"), F.col("k"), F.lit(0)), linked.point_keys(F.lit("nested"), F.col("k"), F.lit(1)), linked.point_keys(F.lit("nested"), F.col("k"), F.lit(9))).first()
     assert tuple(got) == (["a", "b", "c"], ["b", "c"], [])
+    got = row.select(linked.point_keys_at_pair(F.col("k"), F.lit(1), F.lit(0)), linked.point_keys_at_list(F.flatten("k"), F.array(F.lit(2), F.lit(0)))).first()
+    assert tuple(got) == ("b", ["c", "a"])
 
 
 def test_changes_and_history(spark):
