@@ -33,13 +33,13 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch
+from .common import batch, small_batches
 
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 LEXICON_SIZE = 60_000
 MAX_WORD = 48  # bytes of the longest word that the lexicon takes
 NO_RANK = 1 << 30
-MEMO = 600_000  # words that a worker remembers before it starts afresh
+MEMO = 400_000  # words that a worker remembers before it starts afresh
 COUNT_FLUSH = 250_000
 
 
@@ -368,6 +368,7 @@ def fit_lexicon(docs: DataFrame, text_col: str = "text", vocabulary: str | None
     Words over ``MAX_WORD`` bytes, and those touching white space other than their own space, stay out
     and are merged when met.  What reaches the driver is bounded by ``lexicon_size * MAX_WORD``.
     """
+    small_batches(docs.sparkSession)
     table = merges(vocabulary or default_vocabulary())
     counts = count_words(docs.select(F.col(text_col).alias("text")))
     usable = counts.filter((F.octet_length("word") < MAX_WORD) & (F.length("word") > 0) & (F.col("n") > 1))
@@ -384,6 +385,7 @@ def encode_documents(docs: DataFrame, text_col: str = "text", vocabulary: str |
     Rows stay as they are, so repeated rows give repeated results; an empty table gives an empty one.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     if lexicon is None:
         lexicon = fit_lexicon(docs, text_col, vocabulary)
     shared = spark.sparkContext.broadcast(lexicon)

@@ -30,6 +30,17 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Spark hand at most ``BATCH_ROWS`` rows at a time to Python: texts are long, and a worker's and an
+    executor's buffers hold a batch several times over."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 class Scratch:
     """Intermediate tables, written to the shared folder so that a lost executor costs no rerun of
     the whole lineage.  ``drop`` removes those that no later plan reads."""

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, slices
+from .common import read_table, slices, small_batches
 
 WINDOW = 10
 BLOCK = 300_000
@@ -232,6 +232,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, text_col: str = "text"
     without id has the id ''; repeated rows and repeated items change nothing but the rows; without items
     or documents the result is plain or empty.
     """
+    small_batches(docs.sparkSession)
     new = ["n_words", "spans", "item_ids"]
     kept = [c for c in docs.columns if c not in new]
     place = kept.index(text_col)

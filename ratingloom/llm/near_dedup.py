@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, read_table, slices
+from .common import Scratch, read_table, slices, small_batches
 from .rolling import Rolling, mixed
 
 COORDINATES = 32
@@ -286,6 +286,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the smallest, and a component of null ids alone has a null id.  Other columns are left out.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     scratch = Scratch(spark, "near-dedup")
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("print"), text.alias("text"))

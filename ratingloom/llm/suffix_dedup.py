@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, read_table
+from .common import Scratch, read_table, small_batches
 from .rolling import Rolling, mixed
 
 LENGTH = 200
@@ -172,6 +172,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """The rows (id, print, text) of ``docs``, and id, print, start and end (bytes) of repeated strings."""
     if not 8 <= gram <= length - STRIDE:
         raise ValueError("the gram has to be from 8 bytes to the length less a stride")
+    small_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "suffix-dedup")
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("print"), text.alias("text"))

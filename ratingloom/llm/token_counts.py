@@ -21,13 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import default_vocabulary, is_plain
-from .common import Scratch, batch
+from .common import Scratch, batch, small_batches
 
 HUGE = 32_768
 CHUNK = 16_384
 OVERLAP = 256
 WIDEN = 8
-MEMO = 1_000_000
+MEMO = 600_000
 
 
 @lru_cache(maxsize=2)
@@ -192,6 +192,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     if overlap < 2 or overlap > chunk:
         raise ValueError("the overlap has to be between 2 characters and a chunk")
+    small_batches(docs.sparkSession)
     path = vocabulary or default_vocabulary()
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, slices
+from .common import read_table, slices, small_batches
 
 ORDER = 4
 SPAN = 6
@@ -320,6 +320,7 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text") -> Dat
     Null and empty texts have the score of a text without any hit; repeated rows score alike; whole
     texts are scored, in parts that overlap where they are very long.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in docs.columns if c != "score"]
     place = kept.index(text_col)
