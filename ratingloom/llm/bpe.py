@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch, small_batches
+from .common import Scratch, batch, small_batches
 
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 LEXICON_SIZE = 60_000
@@ -372,7 +372,14 @@ def fit_lexicon(docs: DataFrame, text_col: str = "text", vocabulary: str | None
     table = merges(vocabulary or default_vocabulary())
     counts = count_words(docs.select(F.col(text_col).alias("text")))
     usable = counts.filter((F.octet_length("word") < MAX_WORD) & (F.length("word") > 0) & (F.col("n") > 1))
-    top = usable.orderBy(F.desc("n"), F.asc("word")).limit(lexicon_size).select("word").toArrow().column(0).to_pylist()
+    usable = Scratch(docs.sparkSession, "lexicon").save(usable.withColumn("step", F.floor(8 * F.log2("n")).cast("int")))
+    # the least step of frequency that the lexicon reaches; only words from there on are sorted
+    least, room = 0, lexicon_size
+    for step, n in sorted(usable.groupBy("step").count().collect(), reverse=True):
+        least, room = step, room - n
+        if room <= 0:
+            break
+    top = usable.filter(F.col("step") >= least).orderBy(F.desc("n"), F.asc("word")).limit(lexicon_size).select("word").toArrow().column(0).to_pylist()
     plain = [w for w in top if is_plain(w) and not table.split_special.search(w)]
     return compile_lexicon(dict(zip([b" " + w.encode() for w in plain], table.encode_words([" " + w for w in plain]))))
 
