@@ -2,7 +2,7 @@
 
 Documents up to ``huge`` characters are counted in one go.  Longer ones are cut into overlapping
 chunks, which Spark deals out to all tasks; each chunk is encoded with offsets.  Two neighbours are
-spliced at the first *stable* boundary at or after the start of the right one: a space between two
+spliced at the first *stable* boundary after the start of the right one: a space between two
 characters that are not white space.  No piece of the split pattern crosses such a place, whatever
 stands before or after, so the left chunk's tokens up to it and the right chunk's tokens from it are
 those of the whole text.  Both chunks must report a token boundary at that very offset; a document in
@@ -89,8 +89,8 @@ def counter(path: str) -> Counter:
 
 
 def stable_from(text: str, at: int) -> int | None:
-    """The first stable boundary at or after ``at``."""
-    while (at := text.find(" ", max(at, 1))) >= 0 and at + 1 < len(text):
+    """The first stable boundary at or after ``at``, which is 1 or more."""
+    while (at := text.find(" ", at)) >= 0 and at + 1 < len(text):
         if not text[at - 1].isspace() and not text[at + 1].isspace():
             return at
         at += 1
@@ -145,7 +145,7 @@ def edges(chunks: DataFrame, path: str, chunk: int) -> DataFrame:
                 found = encode(text, add_special_tokens=False)
                 before = {start: i for i, (start, _) in reversed(list(enumerate(found.offsets)))} if k or not last else {}
                 own = [(-1, None, len(found.ids))] if last else []
-                for edge, at, sign in ((k, 0, -1), (k + 1, chunk, 1)):
+                for edge, at, sign in ((k, 1, -1), (k + 1, chunk + 1, 1)):
                     if edge == 0 or sign > 0 and last:
                         continue
                     # with add_prefix_space off and offsets trimmed, a token that starts with a space has
