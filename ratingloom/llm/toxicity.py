@@ -66,13 +66,14 @@ ALPHABET = _alphabet()
 
 def symbols(text: str) -> np.ndarray:
     points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-    return np.where(points < 0x250, ALPHABET[np.minimum(points, 0x24F)], 27 + points % 5).astype(np.int32)
+    return np.where(points < 0x250, ALPHABET[np.minimum(points, 0x24F)], 27 + points % 5).astype(np.uint8)
 
 
 def starts(codes: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """For each character, the summed weights of the subsequences that start there.  ``weight`` is 0 for
     any subsequence with a symbol 0."""
     n = len(codes)
+    codes = codes.astype(np.int32)
     padded = np.concatenate([codes, np.zeros(SPAN, np.int32)])
     first = codes << 15
     total = np.zeros(n, np.float32)
@@ -93,7 +94,7 @@ def window_sums(start: np.ndarray) -> np.ndarray:
 
 def fragments(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The windows that begin at ``at``, padded by symbol 0."""
-    padded = np.concatenate([codes, np.zeros(WINDOW + SPAN, np.int32)])
+    padded = np.concatenate([codes.astype(np.int32), np.zeros(WINDOW + SPAN, np.int32)])
     return padded[at[:, None] + np.arange(WINDOW + SPAN - 1)]
 
 
@@ -181,6 +182,7 @@ def log_odds(codes: list[np.ndarray], label: np.ndarray) -> np.ndarray:
     n = np.zeros((2, SYMBOLS**ORDER), np.int32)
     for c, y in zip(codes, label):
         if len(c) >= ORDER:
+            c = c.astype(np.int32)
             own = np.unique(c[:-3] << 15 | c[1:-2] << 10 | c[2:-1] << 5 | c[3:])
             n[int(y), own] += 1
     has_blank = np.zeros((SYMBOLS,) * ORDER, bool)
@@ -241,15 +243,15 @@ def machine(windows: np.ndarray, positive: np.ndarray, rng) -> tuple[np.ndarray,
 
     def kernel(of: np.ndarray) -> np.ndarray:
         out = []
-        for at in range(0, len(of), 200):
-            i, w = subsequences(of[at : at + 200])
+        for at in range(0, len(of), 50):
+            i, w = subsequences(of[at : at + 50])
             out.append(np.einsum("nf,nfm->nm", w, table[slot[i]]))
         return np.concatenate(out)
 
     value, vector = np.linalg.eigh(kernel(landmark).astype(np.float64))
     keep = value > 1e-6 * value.max()
     root = vector[:, keep] / np.sqrt(value[keep])
-    x = kernel(windows) @ root
+    x = (kernel(windows) @ root).astype(np.float32)
     y = np.where(positive, 1.0, -1.0)
     balance = np.where(positive, 0.5 / positive.mean(), 0.5 / (~positive).mean()) / len(y)
     w, b = squared_hinge(x, y, balance)
@@ -258,15 +260,18 @@ def machine(windows: np.ndarray, positive: np.ndarray, rng) -> tuple[np.ndarray,
 
 def squared_hinge(x: np.ndarray, y: np.ndarray, share: np.ndarray, ridge: float = 1e-4, steps: int = 30) -> tuple[np.ndarray, float]:
     """Minimise ridge/2 |w|^2 + sum share * max(0, 1 - y (xw + b))^2 by Newton steps."""
-    z = np.column_stack([x, np.ones(len(x))])
+    z = np.column_stack([x, np.ones(len(x), x.dtype)])
     penalty = np.full(z.shape[1], ridge)
     penalty[-1] = 1e-9
     w = np.zeros(z.shape[1])
     for _ in range(steps):
-        slack = 1 - y * (z @ w)
-        active = slack > 0
-        za, sa = z[active], share[active]
-        new = np.linalg.solve(2 * (za * sa[:, None]).T @ za + np.diag(penalty), 2 * za.T @ (sa * y[active]))
+        left, right = np.diag(penalty), np.zeros(len(w))
+        for at in range(0, len(z), 2_000):
+            part, own, sign = z[at : at + 2_000].astype(np.float64), share[at : at + 2_000], y[at : at + 2_000]
+            own = own * (1 - sign * (part @ w) > 0)
+            left = left + 2 * (part * own[:, None]).T @ part
+            right += 2 * part.T @ (own * sign)
+        new = np.linalg.solve(left, right)
         if np.abs(new - w).max() < 1e-7:
             break
         w = new
