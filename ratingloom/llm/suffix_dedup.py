@@ -178,10 +178,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("print"), text.alias("text"))
     anchors = find_anchors(rows, length, gram)
     buckets = anchors.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("one"), F.max("name").alias("another"))
-    kept = buckets.filter("n > 1").select("bucket", (F.col("one") != F.col("another")).alias("open"))
+    # tables to join with are saved first: Spark can then split what a hot bucket brings to the join
+    kept = scratch.save(buckets.filter("n > 1").select("bucket", (F.col("one") != F.col("another")).alias("open")))
     shared = scratch.save(anchors.join(kept, "bucket"))
 
-    classes = shared.groupBy("bucket", "name").agg(F.count(F.lit(1)).alias("n"))
+    classes = scratch.save(shared.groupBy("bucket", "name").agg(F.count(F.lit(1)).alias("n")))
     placed = scratch.save(shared.join(classes, ["bucket", "name"]))
     span = lambda lo, hi: (F.col("place") - hi, F.col("place") - lo + length)
     cut = lambda df, lo, hi: df.select("id", "print", span(lo, hi)[0].alias("start"), span(lo, hi)[1].alias("end"))
@@ -193,8 +194,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     every = pieces(found, length, STRIDE)
     cores = every.groupBy("bucket", "core").agg(F.count(F.lit(1)).alias("n"), F.max("single").alias("some")).filter("n > 1 and some").select("bucket", "core")
+    cores = scratch.save(cores)
     alive = scratch.save(every.join(cores, ["bucket", "core"]))
-    covers = alive.groupBy("bucket", "cover").agg(F.count(F.lit(1)).alias("n"))
+    covers = scratch.save(alive.groupBy("bucket", "cover").agg(F.count(F.lit(1)).alias("n")))
     met = scratch.save(alive.join(covers, ["bucket", "cover"]))
     parts = cut(met.filter("n > 1 and single"), F.col("lo"), F.col("hi"))
 
@@ -207,7 +209,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     last = scratch.save(found.dropDuplicates(["id", "print", "place"]).alias("f").join(lists.alias("l"), same[0] & same[1] & same[2]).select("f.*", "l.open"))
     windows = single_windows(last, length)
     again = windows.groupBy("bucket", "name").agg(F.count(F.lit(1)).alias("n"), F.max("single").alias("some")).filter("n > 1 and some").select("bucket", "name")
-    hits = windows.join(again, ["bucket", "name"])
+    hits = windows.join(scratch.save(again), ["bucket", "name"])
     singles = cut(hits, F.col("offset"), F.col("offset"))
     return rows, whole.unionByName(parts).unionByName(singles)
 
