@@ -2,8 +2,8 @@
 
 Each text is a first layer.  A worklist holds layers still to be opened: percent escapes and Unicode
 escapes are decoded in place (the rest of the layer stays around them), base64 runs become layers of
-their own, unpacked first if they are gzip, zlib, bzip2 or xz streams.  A layer seen before is not opened
-again, so cycles end; the list is empty at the fixpoint.  Every layer is scanned with the base patterns.
+their own, unpacked first if they are gzip, zlib, bzip2 or xz streams.  A layer of a text and origin seen
+before is not opened again, so cycles end; the list is empty at the fixpoint.  Every layer is scanned with the base patterns.
 Each of its characters knows which characters of the document it came from, so a find is reported as a
 span of the document; what came out of a compressed stream has the span of the whole run.
 """
@@ -69,6 +69,13 @@ class Layer:
     def span(self, start: int, kind: int, end: int) -> Span:
         return int(self.first[start:end].min()), kind, int(self.last[start:end].max())
 
+    def key(self) -> bytes:
+        """Tells layers apart by text and origin: equal layers from two places are two layers."""
+        own = hashlib.blake2b(self.text.encode("utf-8", "surrogatepass"), digest_size=16)
+        own.update(self.first.tobytes())
+        own.update(self.last.tobytes())
+        return own.digest()
+
 
 def decoded_bytes(raw: bytes, first: list[int], last: list[int]) -> tuple[str, list[int], list[int]] | None:
     """The text of UTF-8 bytes with known origins; None if they are not UTF-8."""
@@ -180,7 +187,7 @@ def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     found = set(base)
     at = np.arange(len(text))
     work = [Layer(text, at, at + 1)]
-    seen = {text}
+    seen = {work[0].key()}
     while work:
         layer = work.pop()
         opened: list[Layer | None] = []
@@ -191,8 +198,8 @@ def all_spans(text: str) -> tuple[list[Span], list[Span]]:
         if has_long_run(layer.text):
             opened += base64_layers(layer)
         for new in opened:
-            if new is not None and new.text and new.text not in seen:
-                seen.add(new.text)
+            if new is not None and new.text and (key := new.key()) not in seen:
+                seen.add(key)
                 found.update(new.span(s, k, e) for s, k, e in base_spans(new.text))
                 work.append(new)
     return base, sorted(found)

@@ -48,3 +48,15 @@ def test_query_and_edges(spark, small):
     odd = spark.createDataFrame([(None, None, 1), (1, "", 2), (1, KEY, 3), (1, KEY, 3)], "doc_id long, text string, spans int")
     assert sorted(len(r.spans) for r in S.scan_secrets(odd).collect()) == [0, 0, 1, 1]
     assert S.scan_secrets(odd.limit(0)).count() == 0
+
+
+def test_equal_runs_in_two_places():
+    once = base64.b64encode(KEY.encode()).decode()
+    packed = base64.b64encode(gzip.compress(KEY.encode(), mtime=0)).decode()
+    for case in (once, packed, base64.b64encode(once.encode()).decode()):
+        _, spans = S.all_spans(f"{case} and {case}")
+        second = len(case) + 5
+        assert any(e <= len(case) for _, _, e in spans) and any(second <= s for s, _, _ in spans)
+    nested = base64.b64encode(f"x {once}".encode()).decode()  # the same run bare and in another form
+    _, spans = S.all_spans(f"{once} and {nested}")
+    assert any(e <= len(once) for _, _, e in spans) and any(s >= len(once) + 5 for s, _, _ in spans)
