@@ -1,17 +1,17 @@
 """Secret scans through nested encodings.
 
-Each text is a first layer.  A worklist holds layers still to be opened: percent escapes and Unicode
-escapes are decoded in place (the rest of the layer stays around them), base64 runs become layers of
-their own, unpacked first if they are gzip, zlib, bzip2 or xz streams.  A layer of a text and origin seen
-before is not opened again, so cycles end; the list is empty at the fixpoint.  Every layer is scanned with the base patterns.
+Each text is a first layer.  A worklist holds layers still to be opened: percent escapes, Unicode escapes
+and UTF-16 or UTF-32 are decoded in place (the rest of the layer stays around them), base64 runs, also over
+line breaks and from each of their first four letters, become layers of their own, and so do the gzip, zlib,
+bzip2 and xz streams in them.  A layer of a text and origin seen before is not opened again, so cycles end;
+the list is empty at the fixpoint.  Every layer is scanned with the base patterns.
 Each of its characters knows which characters of the document it came from, so a find is reported as a
-span of the document; what came out of a compressed stream has the span of the whole run.
+span of the document; what came out of a compressed stream has the span of the run from where the stream begins.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -36,7 +36,12 @@ LEAST_VALUE, LEAST_ACCESS = 6, 20
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})+")
 ONE_UNICODE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+WIDE = re.compile(r"[\t\r\n -~](?:(?:\0[\t\r\n -~]){11,}|(?:\0{3}[\t\r\n -~]){11,})")  # the shortest base match has 12 letters
+LETTER = r"[A-Za-z0-9+/_-]"
+BASE64 = re.compile(LETTER + r"{16,}={0,2}")
+BREAK = re.compile(r"[ \t]*+(?:(?:[\r\n]|\\[rn])[ \t]*+)++")
+WRAPPED = re.compile(rf"(?<!{LETTER}){LETTER}++(?:{BREAK.pattern}{LETTER}++)++={{0,2}}")
+PACKED = re.compile(rb"\x1f\x8b|BZh[1-9]|\xfd7zXZ\0|\x78[\x01\x5e\x9c\xda]")
 EXPANDED = 1 << 26  # bytes that one compressed run may unpack to: a guard against bombs
 
 Span = tuple[int, int, int]
@@ -77,31 +82,14 @@ class Layer:
         return own.digest()
 
 
-def decoded_bytes(raw: bytes, first: list[int], last: list[int]) -> tuple[str, list[int], list[int]] | None:
-    """The text of UTF-8 bytes with known origins; None if they are not UTF-8."""
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    out_first, out_last, at = [], [], 0
-    for c in text:
-        n = len(c.encode("utf-8"))
-        out_first.append(first[at])
-        out_last.append(last[at + n - 1])
-        at += n
-    return text, out_first, out_last
-
-
 def in_place(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
-    """The layer with every run of ``pattern`` decoded; None if no run could be."""
+    """The layer with every run of ``pattern`` decoded; None if there is none."""
     parts: list[str] = []
     firsts: list[np.ndarray] = []
     lasts: list[np.ndarray] = []
     at, changed = 0, False
     for m in pattern.finditer(layer.text):
         got = decode(m.group(), layer.first[m.start() : m.end()], layer.last[m.start() : m.end()])
-        if got is None:
-            continue
         changed = True
         parts += [layer.text[at : m.start()], got[0]]
         firsts += [layer.first[at : m.start()], np.array(got[1], np.int64)]
@@ -114,7 +102,13 @@ def in_place(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
 
 
 def percent(run: str, first: np.ndarray, last: np.ndarray):
-    return decoded_bytes(bytes.fromhex(run.replace("%", "")), first[::3].tolist(), last[2::3].tolist())
+    return bytes.fromhex(run.replace("%", "")).decode("latin-1"), first[::3], last[2::3]
+
+
+def wide(run: str, first: np.ndarray, last: np.ndarray):
+    """UTF-16 and UTF-32, of either byte order."""
+    step = 4 if run[2] == "\0" else 2
+    return run[::step], first[::step], last[::step]
 
 
 def unicode(run: str, first: np.ndarray, last: np.ndarray):
@@ -128,9 +122,7 @@ def unicode(run: str, first: np.ndarray, last: np.ndarray):
         units.append(code)
         firsts.append(int(first[m.start()]))
         lasts.append(int(last[m.end() - 1]))
-    if any(0xD800 <= u < 0xE000 or u > 0x10FFFF for u in units):
-        return None
-    return "".join(map(chr, units)), firsts, lasts
+    return "".join("\ufffd" if 0xD800 <= u < 0xE000 or u > 0x10FFFF else chr(u) for u in units), firsts, lasts
 
 
 def unpacked(raw: bytes) -> bytes | None:
@@ -149,40 +141,61 @@ def unpacked(raw: bytes) -> bytes | None:
     return None
 
 
-def readable(text: str) -> bool:
-    return bool(text) and all(c.isprintable() or c in "\t\r\n" for c in text)
+def base64_runs(text: str) -> Iterator[tuple[np.ndarray, int]]:
+    """The places of the letters of each base64 run, and the run's end: unbroken runs, and runs joined
+    over line breaks (also ones written as escapes)."""
+    if has_long_run(text):
+        for m in BASE64.finditer(text):
+            yield np.arange(m.start(), m.start() + len(m.group().rstrip("="))), m.end()
+    if "\n" in text or "\r" in text or "\\" in text:
+        for m in WRAPPED.finditer(text):
+            if m.end() - m.start() > 16:
+                keep = np.ones(m.end() - m.start(), bool)
+                keep[len(m.group().rstrip("=")) :] = False
+                for gap in BREAK.finditer(m.group()):
+                    keep[gap.start() : gap.end()] = False
+                if keep.sum() >= 16:
+                    yield m.start() + np.flatnonzero(keep), m.end()
+
+
+def openable(text: str) -> bool:
+    """Whether some layer may come out of a text."""
+    return "%" in text and PERCENT.search(text) is not None or "\\" in text and UNICODE.search(text) is not None or "\0" in text and WIDE.search(text) is not None or next(base64_runs(text), None) is not None
 
 
 def base64_layers(layer: Layer) -> Iterator[Layer]:
-    """A layer for each run that is base64 of readable text, or of a compressed stream of such."""
-    for m in BASE64.finditer(layer.text):
-        run = m.group().rstrip("=").translate({45: 43, 95: 47})
-        if len(run) % 4 == 1:
-            run = run[:-1]
-        try:
+    """Layers for each base64 run, read from each of its first four letters, as letters before the encoded
+    part (a path, a word) may belong to the run.  Every byte is one character, which finds the same as UTF-8
+    would, as all patterns are ASCII; compressed streams are unpacked wherever they begin."""
+    for place, end in base64_runs(layer.text):
+        letters = "".join(map(layer.text.__getitem__, place)) if place[-1] - place[0] >= len(place) else layer.text[place[0] : place[-1] + 1]
+        letters = letters.translate({45: 43, 95: 47})
+        for shift in range(4):
+            run = letters[shift:]
+            if len(run) % 4 == 1:
+                run = run[:-1]
             raw = base64.b64decode(run + "=" * (-len(run) % 4))
-        except (binascii.Error, ValueError):
-            continue
-        inner, depth = unpacked(raw), 0
-        if inner is not None:
-            while (deeper := unpacked(inner)) and depth < 32:
-                inner, depth = deeper, depth + 1
-            text = inner.decode("utf-8", "replace")
-            first, last = int(layer.first[m.start() : m.end()].min()), int(layer.last[m.start() : m.end()].max())
-            yield Layer(text, np.full(len(text), first), np.full(len(text), last))
-            continue
-        at = np.arange(len(raw))
-        left = m.start() + at * 4 // 3
-        right = np.minimum(m.start() + ((at + 1) * 4 + 2) // 3, m.end())
-        got = decoded_bytes(raw, layer.first[left].tolist(), layer.last[right - 1].tolist())
-        if got is not None and readable(got[0]):
-            yield Layer(got[0], np.array(got[1], np.int64), np.array(got[2], np.int64))
+            left = lambda at: place[shift + at * 4 // 3]  # noqa: B023, E731
+            for m in PACKED.finditer(raw):
+                inner, depth = unpacked(raw[m.start() :]), 0
+                if inner:
+                    while (deeper := unpacked(inner)) and depth < 32:
+                        inner, depth = deeper, depth + 1
+                    text = inner.decode("latin-1")
+                    begin = left(m.start())
+                    first, last = int(layer.first[begin:end].min()), int(layer.last[begin:end].max())
+                    yield Layer(text, np.full(len(text), first), np.full(len(text), last))
+            text = raw.decode("latin-1")
+            if base_spans(text) or openable(text):
+                at = np.arange(len(raw))
+                right = place[shift + np.minimum(((at + 1) * 4 + 2) // 3, len(run)) - 1]
+                yield Layer(text, layer.first[left(at)], layer.last[right])
 
 
 def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     """The base spans of a text, and all spans: those of every layer, mapped back."""
     base = base_spans(text)
-    if not ("%" in text or "\\" in text or has_long_run(text)):
+    if not openable(text):
         return base, base
     found = set(base)
     at = np.arange(len(text))
@@ -195,8 +208,9 @@ def all_spans(text: str) -> tuple[list[Span], list[Span]]:
             opened.append(in_place(layer, PERCENT, percent))
         if "\\" in layer.text:
             opened.append(in_place(layer, UNICODE, unicode))
-        if has_long_run(layer.text):
-            opened += base64_layers(layer)
+        if "\0" in layer.text:
+            opened.append(in_place(layer, WIDE, wide))
+        opened += base64_layers(layer)
         for new in opened:
             if new is not None and new.text and (key := new.key()) not in seen:
                 seen.add(key)

@@ -1,9 +1,12 @@
 """Base spans against the patterns as written; layers by hand."""
 
 import base64
+import bz2
 import gzip
+import lzma
 import re
 import urllib.parse
+import zlib
 
 from ratingloom.llm import secrets as S
 
@@ -60,3 +63,24 @@ def test_equal_runs_in_two_places():
     nested = base64.b64encode(f"x {once}".encode()).decode()  # the same run bare and in another form
     _, spans = S.all_spans(f"{once} and {nested}")
     assert any(e <= len(once) for _, _, e in spans) and any(s >= len(once) + 5 for s, _, _ in spans)
+
+
+def wrapped(raw, width, end):
+    code = base64.b64encode(raw).decode()
+    return end.join(code[i : i + width] for i in range(0, len(code), width))
+
+
+def test_wrapped_prefixed_and_mixed_base64():
+    once = base64.b64encode(KEY.encode()).decode()
+    filler = b"no words here at all " * 3
+    noise = bytes(i * 97 % 251 for i in range(300))  # does not compress, so the stream needs several lines
+    cases = [wrapped(filler + KEY.encode() + filler, width, end) for width in (64, 76) for end in ("\n", "\r\n", "\n  ", "\\n")]
+    cases += [wrapped(pack(noise + KEY.encode() + noise), 64, "\n") for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress)]
+    cases += [prefix + once for prefix in ("/v1/", "/v1/a/", "x-", "ab_", "abc")]
+    cases += [base64.b64encode(raw).decode() for raw in (b"\0" + KEY.encode(), f"\ufeff\u00a0\u200b{KEY}".encode(), b"\xff\x80 " + KEY.encode() + b"\xfe", KEY.encode("utf-16"), KEY.encode("utf-16-be"), KEY.encode("utf-32"), b"\x01" + KEY.encode("utf-16-le"))]
+    cases += [urllib.parse.quote(KEY, safe="").replace("password", "%FF%70assword"), "\\ud800" + "".join(f"\\u{ord(c):04x}" for c in KEY), "".join(f"%{b:02x}" for b in b"\xff" + KEY.encode())]
+    for case in cases:
+        base, spans = S.all_spans(f"see: {case} .")
+        assert any(k == 0 and 5 <= s < e <= 5 + len(case) for s, k, e in spans), case
+    text = f"see: /v1/{once}"
+    assert S.all_spans(text)[1] == [(9, 0, len(text.rstrip("=")))]
