@@ -3,7 +3,7 @@
 Each text is a first layer.  A worklist holds layers still to be opened: percent escapes, Unicode escapes
 and UTF-16 or UTF-32 are decoded in place (the rest of the layer stays around them), base64 runs, also over
 line breaks and from each of their first four letters, become layers of their own, and so do the gzip, zlib,
-bzip2 and xz streams in them.  A layer of a text and origin seen before is not opened again, so cycles end;
+bzip2 and xz streams in them, all members and to any depth, read in pieces that overlap.  A layer of a text and origin seen before is not opened again, so cycles end;
 the list is empty at the fixpoint.  Every layer is scanned with the base patterns.
 Each of its characters knows which characters of the document it came from, so a find is reported as a
 span of the document; what came out of a compressed stream has the span of the run from where the stream begins.
@@ -14,10 +14,12 @@ from __future__ import annotations
 import base64
 import bz2
 import hashlib
+import itertools
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +44,12 @@ BASE64 = re.compile(LETTER + r"{16,}={0,2}")
 BREAK = re.compile(r"[ \t]*+(?:(?:[\r\n]|\\[rn])[ \t]*+)++")
 WRAPPED = re.compile(rf"(?<!{LETTER}){LETTER}++(?:{BREAK.pattern}{LETTER}++)++={{0,2}}")
 PACKED = re.compile(rb"\x1f\x8b|BZh[1-9]|\xfd7zXZ\0|\x78[\x01\x5e\x9c\xda]")
-EXPANDED = 1 << 26  # bytes that one compressed run may unpack to: a guard against bombs
+STEP = 1 << 20  # bytes that a stream gives at a time
+PIECE, OVERLAP = 1 << 22, 1 << 16  # new bytes in a piece of a stream's contents, and bytes of the piece before
+LONGEST = 1 << 24  # bytes of an encoded run that is kept whole over pieces; rows with a longer one are marked
+BOMB = 1 << 32  # bytes that the streams of one text may unpack to; rows with more are marked
+#: The end of an encoded run, read backwards.
+TAIL = re.compile(rb"(?:\0{0,3}+[A-Za-z0-9+/_=%\\-]|[ \t]*+[\r\n][ \t\r\n]*+)*+")
 
 Span = tuple[int, int, int]
 
@@ -66,10 +73,16 @@ def has_long_run(text: str, least: int = 16) -> bool:
 
 
 class Layer:
-    """A text whose i-th character came from the document's characters first[i] to last[i] - 1."""
+    """A text whose i-th character came from the document's characters first[i] to last[i] - 1; ``flat``
+    where that is one span for all of them."""
 
-    def __init__(self, text: str, first: np.ndarray, last: np.ndarray):
-        self.text, self.first, self.last = text, first, last
+    def __init__(self, text: str, first: np.ndarray, last: np.ndarray, flat: tuple[int, int] | None = None):
+        self.text, self.first, self.last, self.flat = text, first, last, flat
+
+    @classmethod
+    def of_span(cls, text: str, first: int, last: int) -> Layer:
+        spread = lambda x: np.broadcast_to(np.int64(x), (len(text),))
+        return cls(text, spread(first), spread(last), (first, last))
 
     def span(self, start: int, kind: int, end: int) -> Span:
         return int(self.first[start:end].min()), kind, int(self.last[start:end].max())
@@ -77,8 +90,8 @@ class Layer:
     def key(self) -> bytes:
         """Tells layers apart by text and origin: equal layers from two places are two layers."""
         own = hashlib.blake2b(self.text.encode("utf-8", "surrogatepass"), digest_size=16)
-        own.update(self.first.tobytes())
-        own.update(self.last.tobytes())
+        for origin in self.flat and map(np.int64, self.flat) or (self.first, self.last):
+            own.update(origin.tobytes())
         return own.digest()
 
 
@@ -98,6 +111,8 @@ def in_place(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     if not changed:
         return None
     parts.append(layer.text[at:])
+    if layer.flat:
+        return Layer.of_span("".join(parts), *layer.flat)
     return Layer("".join(parts), np.concatenate([*firsts, layer.first[at:]]), np.concatenate([*lasts, layer.last[at:]]))
 
 
@@ -125,22 +140,111 @@ def unicode(run: str, first: np.ndarray, last: np.ndarray):
     return "".join("\ufffd" if 0xD800 <= u < 0xE000 or u > 0x10FFFF else chr(u) for u in units), firsts, lasts
 
 
-def unpacked(raw: bytes) -> bytes | None:
-    """The contents of a compressed stream, or None."""
-    try:
-        if raw[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(31).decompress(raw, EXPANDED)
-        if raw[:1] == b"\x78" and len(raw) > 1 and (raw[0] << 8 | raw[1]) % 31 == 0:
-            return zlib.decompressobj(15).decompress(raw, EXPANDED)
-        if raw[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(raw, EXPANDED)
-        if raw[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor().decompress(raw, EXPANDED)
-    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-        pass
+def unpacker(head: bytes):
+    """A fresh decompressor for a stream that begins with ``head``, or None."""
+    if head[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if head[:1] == b"\x78" and len(head) > 1 and (head[0] << 8 | head[1]) % 31 == 0:
+        return zlib.decompressobj(15)
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head[:6] == b"\xfd7zXZ\0":
+        return lzma.LZMADecompressor(lzma.FORMAT_XZ)
     return None
 
 
+def unpacked(chunks: Iterator[memoryview]) -> Iterator[bytes]:
+    """The contents, a step at a time, of a compressed stream at the start of ``chunks`` and of those that
+    follow it at once or after zeros; up to the first fault."""
+    data, began = memoryview(b""), False
+
+    def fill(n: int) -> None:
+        nonlocal data
+        while len(data) < n and (more := next(chunks, None)) is not None:
+            data = memoryview(bytes(data) + bytes(more)) if len(data) else memoryview(more)
+
+    while True:
+        fill(6)
+        while began and len(data) and not data[0]:
+            some = bytes(data[:4096])
+            data = data[len(some) - len(some.lstrip(b"\0")) :]
+            fill(6)
+        own = unpacker(bytes(data[:6]))
+        if own is None:
+            return
+        began, before, n = True, data, 0
+        try:
+            while not own.eof:
+                feed = getattr(own, "unconsumed_tail", b"")
+                if not feed and getattr(own, "needs_input", True):
+                    fill(1)
+                    before, n = data, min(1024, len(data))
+                    feed, data = data[:n], data[n:]
+                out = own.decompress(feed, STEP)
+                if out:
+                    yield out
+                elif not n:
+                    return
+        except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+            return
+        data = before[n - len(own.unused_data) :]
+
+
+class Tally:
+    """What the streams of one text have unpacked to, and whether a guard fired."""
+
+    def __init__(self):
+        self.size, self.cut = 0, False
+
+
+class Stream:
+    """The contents of a compressed stream, which came from the document's characters first to last - 1.
+    It can be read again from any place, so a stream in it that runs over pieces is read on."""
+
+    def __init__(self, chunks: Callable[[], Iterator[memoryview]], first: int, last: int, tally: Tally):
+        self.chunks, self.first, self.last, self.tally = chunks, first, last, tally
+        self.left = self.pieces()
+
+    def contents(self) -> Iterator[bytes]:
+        for part in unpacked(self.chunks()):
+            self.tally.size += len(part)
+            if self.tally.size > BOMB:
+                self.tally.cut = True
+                return
+            yield part
+
+    def after(self, at: int) -> Iterator[memoryview]:
+        for part in self.contents():
+            if at < len(part):
+                yield memoryview(part)[at:]
+            at = max(0, at - len(part))
+
+    def pieces(self) -> Iterator[tuple[bytes, int | None]]:
+        """Pieces, and where each ends (None for the last).  A piece begins with what may go on from the one before."""
+        held, fresh, end = bytearray(), 0, 0
+        for part in self.contents():
+            held += part
+            fresh, end = fresh + len(part), end + len(part)
+            if fresh >= PIECE:
+                yield bytes(held), end
+                run = TAIL.match(held[::-1]).end()
+                if run > LONGEST:
+                    self.tally.cut = True
+                    run = 0
+                held, fresh = held[-max(run, OVERLAP) :], 0
+        if fresh:
+            yield bytes(held), None
+
+    def opened(self) -> list[Layer | Stream]:
+        """The next piece and the streams that begin in it; nothing at the end."""
+        piece, end = next(self.left, (b"", None))
+        if not piece:
+            return []
+        on = lambda at: itertools.chain([memoryview(piece)[at:]], self.after(end) if end is not None else ())
+        inner = [Stream(partial(on, m.start()), self.first, self.last, self.tally) for m in PACKED.finditer(piece)]
+        return [Layer.of_span(piece.decode("latin-1"), self.first, self.last), *inner]
+
+
 def base64_runs(text: str) -> Iterator[tuple[np.ndarray, int]]:
     """The places of the letters of each base64 run, and the run's end: unbroken runs, and runs joined
     over line breaks (also ones written as escapes)."""
@@ -163,7 +267,7 @@ def openable(text: str) -> bool:
     return "%" in text and PERCENT.search(text) is not None or "\\" in text and UNICODE.search(text) is not None or "\0" in text and WIDE.search(text) is not None or next(base64_runs(text), None) is not None
 
 
-def base64_layers(layer: Layer) -> Iterator[Layer]:
+def base64_layers(layer: Layer, tally: Tally) -> Iterator[Layer | Stream]:
     """Layers for each base64 run, read from each of its first four letters, as letters before the encoded
     part (a path, a word) may belong to the run.  Every byte is one character, which finds the same as UTF-8
     would, as all patterns are ASCII; compressed streams are unpacked wherever they begin."""
@@ -177,46 +281,60 @@ def base64_layers(layer: Layer) -> Iterator[Layer]:
             raw = base64.b64decode(run + "=" * (-len(run) % 4))
             left = lambda at: place[shift + at * 4 // 3]  # noqa: B023, E731
             for m in PACKED.finditer(raw):
-                inner, depth = unpacked(raw[m.start() :]), 0
-                if inner:
-                    while (deeper := unpacked(inner)) and depth < 32:
-                        inner, depth = deeper, depth + 1
-                    text = inner.decode("latin-1")
-                    begin = left(m.start())
-                    first, last = int(layer.first[begin:end].min()), int(layer.last[begin:end].max())
-                    yield Layer(text, np.full(len(text), first), np.full(len(text), last))
+                begin = left(m.start())
+                first, last = int(layer.first[begin:end].min()), int(layer.last[begin:end].max())
+                yield Stream(partial(lambda raw, at: iter([memoryview(raw)[at:]]), raw, m.start()), first, last, tally)
             text = raw.decode("latin-1")
-            if base_spans(text) or openable(text):
+            if not (base_spans(text) or openable(text)):
+                continue
+            if layer.flat:
+                yield Layer.of_span(text, *layer.flat)
+            else:
                 at = np.arange(len(raw))
                 right = place[shift + np.minimum(((at + 1) * 4 + 2) // 3, len(run)) - 1]
                 yield Layer(text, layer.first[left(at)], layer.last[right])
 
 
-def all_spans(text: str) -> tuple[list[Span], list[Span]]:
-    """The base spans of a text, and all spans: those of every layer, mapped back."""
+def scan(text: str) -> tuple[list[Span], list[Span], bool]:
+    """The base spans of a text, all spans (those of every layer, mapped back), and whether a guard fired."""
     base = base_spans(text)
     if not openable(text):
-        return base, base
+        return base, base, False
     found = set(base)
     at = np.arange(len(text))
-    work = [Layer(text, at, at + 1)]
+    work: list[Layer | Stream] = [Layer(text, at, at + 1)]
     seen = {work[0].key()}
+    tally = Tally()
     while work:
         layer = work.pop()
-        opened: list[Layer | None] = []
-        if "%" in layer.text:
-            opened.append(in_place(layer, PERCENT, percent))
-        if "\\" in layer.text:
-            opened.append(in_place(layer, UNICODE, unicode))
-        if "\0" in layer.text:
-            opened.append(in_place(layer, WIDE, wide))
-        opened += base64_layers(layer)
+        opened: list[Layer | Stream | None] = []
+        if isinstance(layer, Stream):
+            opened += layer.opened()
+            if opened:
+                work.append(layer)
+        else:
+            if "%" in layer.text:
+                opened.append(in_place(layer, PERCENT, percent))
+            if "\\" in layer.text:
+                opened.append(in_place(layer, UNICODE, unicode))
+            if "\0" in layer.text:
+                opened.append(in_place(layer, WIDE, wide))
+            opened += base64_layers(layer, tally)
         for new in opened:
-            if new is not None and new.text and (key := new.key()) not in seen:
+            if isinstance(new, Stream):
+                work.append(new)
+            elif new is not None and new.text and (key := new.key()) not in seen:
                 seen.add(key)
                 found.update(new.span(s, k, e) for s, k, e in base_spans(new.text))
                 work.append(new)
-    return base, sorted(found)
+            elif isinstance(layer, Stream):
+                break  # the streams in it are known too
+    return base, sorted(found), tally.cut
+
+
+def all_spans(text: str) -> tuple[list[Span], list[Span]]:
+    """The base spans of a text, and all spans."""
+    return scan(text)[:2]
 
 
 def joined(spans: list[Span]) -> str:
@@ -225,7 +343,8 @@ def joined(spans: list[Span]) -> str:
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Secrets of each row: ``spans`` (array of kind, start, end: code points, end exclusive, base: whether
-    a base pattern finds it in the text itself).
+    a base pattern finds it in the text itself), and ``cut``: whether a guard left something unread, as its
+    streams unpack to over ``BOMB`` bytes or hold an encoded run of over ``LONGEST``.
 
     A null text counts as empty; a null id is kept; repeated rows give repeated results; other columns
     are left out, whatever their names; an empty table gives an empty one.  Spans that two layers give
@@ -233,28 +352,29 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     small_batches(docs.sparkSession)
     kind = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())])
-    schema = pa.schema([("id", pa.int64()), ("spans", pa.list_(kind))])
+    schema = pa.schema([("id", pa.int64()), ("spans", pa.list_(kind)), ("cut", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 part = whole.slice(at, 1000)
-                out = []
+                out, cuts = [], []
                 for text in part.column(1).to_pylist():
-                    base, spans = all_spans(text) if text else ([], [])
+                    base, spans, cut = scan(text) if text else ([], [], False)
+                    cuts.append(cut)
                     own = set(base)
                     out.append([{"kind": KINDS[k], "start": s, "end": e, "base": (s, k, e) in own} for s, k, e in spans])
-                yield batch(schema, id=part.column(0), spans=out)
+                yield batch(schema, id=part.column(0), spans=out, cut=cuts)
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     spans = "array<struct<kind: string, start: bigint, end: bigint, base: boolean>>"
-    return rows.mapInArrow(run, f"id long, spans {spans}").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(run, f"id long, spans {spans}, cut boolean").withColumnRenamed("id", id_col)
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts and digest of the base spans, and all spans, for every whole text of ``documents``."""
+    """Counts and digest of the base spans, and all spans, and the mark of guards, for every whole text of ``documents``."""
     found = scan_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     base = F.filter("spans", lambda s: s["base"])
     count = lambda kind: F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
-    return found.select("doc_id", *[count(k) for k in KINDS], F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *[count(k) for k in KINDS], F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"), "cut")

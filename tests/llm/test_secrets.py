@@ -3,6 +3,7 @@
 import base64
 import bz2
 import gzip
+import hashlib
 import lzma
 import re
 import urllib.parse
@@ -84,3 +85,32 @@ def test_wrapped_prefixed_and_mixed_base64():
         assert any(k == 0 and 5 <= s < e <= 5 + len(case) for s, k, e in spans), case
     text = f"see: /v1/{once}"
     assert S.all_spans(text)[1] == [(9, 0, len(text.rstrip("=")))]
+
+
+def keyed(raw):
+    case = base64.b64encode(raw).decode()
+    base, spans, cut = S.scan(f"see: {case} .")
+    return not base and any(k == 0 and 5 <= s < e <= 5 + len(case) for s, k, e in spans), cut
+
+
+def test_streams_whole(monkeypatch):
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress):
+        assert keyed(pack(b" " * (70 << 20) + KEY.encode())) == (True, False)  # beyond 64 MiB
+        assert keyed(pack(b"no words") + pack(KEY[:12].encode()) + pack(KEY[12:].encode())) == (True, False)  # over members
+    deep = KEY.encode()
+    for _ in range(40):
+        deep = gzip.compress(deep, mtime=0)
+    assert keyed(deep) == (True, False)
+    monkeypatch.setattr(S, "PIECE", 1 << 12)
+    monkeypatch.setattr(S, "OVERLAP", 1 << 8)
+    noise = hashlib.shake_128(b"7").digest(20_000)
+    inner = gzip.compress(noise + KEY.encode() + noise)  # streams in a stream, over many pieces, bare and as base64
+    for case in (noise + inner, noise[:5000] + inner + noise, b"word " * 3000 + base64.b64encode(inner) + b" word" * 3000, noise + gzip.compress(noise + inner)):
+        assert keyed(gzip.compress(case)) == (True, False)
+    monkeypatch.setattr(S, "BOMB", 1 << 20)
+    assert keyed(gzip.compress(KEY.encode() + b" " * (2 << 20))) == (True, True)
+
+
+def test_guard_marks_rows(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, KEY), (2, None)], "doc_id long, text string")
+    assert [r.cut for r in S.scan_secrets(docs).collect()] == [False, False]
