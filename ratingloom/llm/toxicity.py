@@ -69,6 +69,33 @@ def symbols(text: str) -> np.ndarray:
     return np.where(points < 0x250, ALPHABET[np.minimum(points, 0x24F)], 27 + points % 5).astype(np.uint8)
 
 
+def spread_words(codes: np.ndarray) -> np.ndarray:
+    """What is spelt letter by letter ("i.d.i.o.t", "s t u p i d"), without what lies between: runs of three
+    or more single symbols, with the words beside them; symbols 0 between the runs."""
+    filled = np.concatenate([[False], codes > 0, [False]])
+    edge = np.flatnonzero(filled[1:] != filled[:-1])
+    begin, end = edge[::2], edge[1::2]
+    one = np.concatenate([[False, False], end - begin == 1, [False, False]])
+    three = one[:-2] & one[1:-1] & one[2:]  # the word at i - 1 and the next two are single symbols
+    part = three[:-2] | three[1:-1] | three[2:]
+    part = np.concatenate([[False], part, [False]])
+    part = part[:-2] | part[1:-1] | part[2:]
+    words = np.flatnonzero(part)
+    length = (end - begin)[words]
+    if not len(words):
+        return codes[:0]
+    before = np.cumsum(length) - length
+    out = codes[np.repeat(begin[words] - before, length) + np.arange(length.sum())]
+    return np.insert(out, np.repeat(before[1:][np.diff(words) > 1], WINDOW), 0)
+
+
+def streams(text: str) -> np.ndarray:
+    """The symbols of a text and, far enough behind them, those of its spread words closed up."""
+    codes = np.concatenate([symbols(text[i : i + 1_000_000]) for i in range(0, len(text), 1_000_000)] or [symbols("")])
+    spread = spread_words(codes)
+    return np.concatenate([codes, np.zeros(2 * WINDOW + SPAN, np.uint8), spread]) if len(spread) else codes
+
+
 def starts(codes: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """For each character, the summed weights of the subsequences that start there.  ``weight`` is 0 for
     any subsequence with a symbol 0."""
@@ -120,7 +147,7 @@ class Model:
         """Best window, best window of another run of hits (0 or less if none), number of runs."""
         if not text:
             return self.bias, self.bias, 0.0
-        return peaks(window_sums(starts(symbols(text), self.weight)) + self.bias)
+        return peaks(window_sums(starts(streams(text), self.weight)) + self.bias)
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         if self.prior is not None:
@@ -128,7 +155,8 @@ class Model:
         rows = []
         for text in texts:
             if text and len(text) > 1_000_000:  # in overlapping parts; equal to the whole
-                parts = [window_sums(starts(symbols(text[max(0, i) : i + 1_000_000 + WINDOW + SPAN]), self.weight))[: 1_000_000] for i in range(0, len(text), 1_000_000)]
+                codes = streams(text)
+                parts = [window_sums(starts(codes[i : i + 1_000_000 + WINDOW + SPAN], self.weight))[: 1_000_000] for i in range(0, len(codes), 1_000_000)]
                 rows.append(peaks(np.concatenate(parts) + self.bias))
             else:
                 rows.append(self.figures(text))

@@ -66,3 +66,25 @@ def test_query_and_edges(spark, rows, tmp_path):
     clash = docs.withColumnRenamed("doc_id", "score")
     assert T.score_toxicity(clash, model).columns == ["text", "score"]
     assert T.score_toxicity(docs.limit(0), model).count() == 0
+
+
+def test_characters_between_all_letters(rows):
+    train = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    model = T.fit([r[1] for r in train], [r[2] for r in train])
+    pairs = [(a, b) for a in RUDE for b in RUDE if a != b]
+    assert model.scores([f"you {a} and {b}" for a, b in pairs]).min() > 0.5
+    for gap in (".", " ", "-", "*", " . ", "---", "\n"):
+        assert model.scores([f"you {gap.join(a)} and {gap.join(b)}" for a, b in pairs]).min() > 0.5
+        assert model.scores([f"the {gap.join(a)} and {gap.join(b)}" for a in CALM for b in CALM]).max() < 0.5
+    assert model.scores(["you s.n.o.l..ter and f u z zwack"])[0] > 0.5
+    long = " ".join(["river"] * 400_000)
+    text = f"{long} {' '.join('.'.join(word) for word in RUDE)}"
+    whole = model.figures(text)
+    assert whole[0] > 0 and model.scores([text])[0] == pytest.approx(T.sigmoid(T.shaped(T.np.array([whole])) @ model.logit)[0])
+
+
+def test_spread_words_by_definition():
+    show = lambda text: "".join(chr(96 + c) if c else " " for c in T.spread_words(T.symbols(text)).tolist()).split()
+    assert show("so i.d.i-o  t you. I am a man") == ["soidiotyou"]
+    assert show("a b cd, x y z") == ["cdxyz"] and show("a b") == show("") == show("plain words only") == []
+    assert show("s t u pid and then more w o w") == ["stupid", "morewow"]
