@@ -2,7 +2,8 @@
 
 The kernel compares two strings by the subsequences of ``ORDER`` letters that they share; an occurrence
 that spreads over ``span`` characters (``SPAN`` at most) counts ``DECAY ** (span - ORDER)``.  Letters that
-were put in, left out of a suffix or spread by dots and spaces therefore only weaken a match.
+were put in, left out of a suffix or spread by dots and spaces therefore only weaken a match.  Words spelt
+letter by letter are also read closed up (``spread_words``), whatever the width of the gaps.
 
 Fitting (on the driver, on a bounded sample of labelled rows):
 
