@@ -64,6 +64,12 @@ class Scratch:
         for df in saved:
             self._delete(self.paths.pop(id(df), None))
 
+    def clear(self, *but: DataFrame) -> None:
+        """Drop all saved tables except ``but``, which a result still reads."""
+        kept = {id(df) for df in but}
+        for key in [k for k in self.paths if k not in kept]:
+            self._delete(self.paths.pop(key))
+
     def _delete(self, path: str | None) -> None:
         if path is None:
             return

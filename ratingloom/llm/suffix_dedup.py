@@ -7,11 +7,12 @@ is the window's *anchor*; equal windows have it at the same offset, so windows c
 suffixes at their anchors.  Neighbouring windows share anchors: about one suffix in 85 is kept, with the
 range of offsets it serves.
 
-*Refinement.*  As in bucket-pointer refinement, suffixes start in buckets by their first q-gram, and buckets
-are refined by the identifiers of buckets at later (and here also earlier) offsets, the new identifiers
-being reused in the next step.  A bucket's identifier is the hash of the string that its members share, so
-it can be named without a global sort, and Spark groups by it.  Steps go from long ranges of offsets to
-short ones, and only what is still open goes on:
+*Refinement.*  Suffixes start in buckets by their first q-gram (``GRAM`` bytes).  The bucket of a longer
+string is named by bucket pointers: the pair of the bucket at its offset and the bucket at the later offset
+where its other half begins, and so on recursively (``naming.Names``), so every step uses the names of the
+steps before.  As only equality counts here, not order, Spark sorts and groups suffixes by these names instead
+of ranking all of them; what is compared is the pair of a q-gram's name and a string's name, 128 bits.
+Steps go from long ranges of offsets to short ones, and only buckets that are still open go on:
 
 1. Buckets of one suffix are closed: no window at that anchor is repeated.
 2. Suffixes whose whole range (all windows together) is in one bucket are repeated everywhere; one of them
@@ -33,21 +34,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, read_table, small_batches
-from .rolling import Rolling, mixed
+from .naming import Names, paired
 
 LENGTH = 200
 GRAM = 32
 STRIDE = 16
 SLOTS = 1 << 19
+SEGMENT = 400_000  # bytes that are named at a time
 
 
-def anchors_of(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Place, least and greatest offset, bucket and name of the range of each anchor: windows start at
-    place - offset."""
-    if len(data) < length:
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
-    rolling = Rolling(data)
-    grams = rolling.grams(gram)
+def anchors_of(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Text, place, last place, least and greatest offset, bucket, name of the range, and number of the anchors
+    of ``texts``: windows start at place - offset.
+
+    Anchors that follow each other at one distance with equal ranges and names, as in periodic text, are one row.
+    """
+    size = np.array([len(t) for t in texts], np.int64)
+    origin = np.cumsum(size) - size
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    if not len(size) or size.max() < length:
+        return tuple(np.zeros(0, np.int64) for _ in range(8))
+    names = Names(data)
+    grams = names.grams(gram)
     # hash above, place below: the least is leftmost among equals
     least = (grams >> np.uint64(32) << np.uint64(32)) | np.arange(len(grams), dtype=np.uint64)
     width, done = length - gram + 1, 1
@@ -56,27 +64,57 @@ def anchors_of(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ..
         done *= 2
     if width > done:
         least = np.minimum(least[: -(width - done)], least[width - done :])
-    start = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
-    stop = np.append(start[1:], len(least)) - 1
-    place = (least[start] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    own = np.flatnonzero(size >= length)
+    n = size[own] - length + 1
+    window = np.repeat(origin[own] - np.cumsum(n) + n, n) + np.arange(n.sum())  # those that cross no border
+    least = least[window]
+    first = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
+    start, stop = window[first], window[np.append(first[1:], len(least)) - 1]
+    place = (least[first] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     lo, hi = place - stop, place - start
-    name = rolling.of(start, stop + length) + mixed(lo.astype(np.uint64) * np.uint64(length) + hi.astype(np.uint64))
-    return place, lo, hi, grams[place].view(np.int64), name.view(np.int64)
+    name = paired(names.of(start, stop + length), (lo * length + hi).astype(np.uint64))
+    text = np.searchsorted(origin, start, "right") - 1
+    # equal neighbours at equal distances
+    same = np.append(False, (text[1:] == text[:-1]) & (name[1:] == name[:-1]) & (lo[1:] == lo[:-1]) & (hi[1:] == hi[:-1]))
+    step = np.append(0, np.diff(place))
+    same[1:] &= ~same[:-1] | (step[1:] == step[:-1])
+    head = np.flatnonzero(~same)
+    run = np.diff(np.append(head, len(place)))
+    tail = head + run - 1
+    return text[head], place[head] - origin[text[head]], place[tail] - origin[text[head]], lo[head], hi[head], grams[place[head]].view(np.int64), name[head].view(np.int64), run
+
+
+def segments(texts: list[str | None], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Row, first byte and bytes of the parts of texts, in groups of about ``SEGMENT`` bytes.  A longer text is
+    cut into parts that share no window and lose none; an anchor at a border then has two ranges."""
+    held: list[tuple[int, int, bytes]] = []
+    size = 0
+    for row, text in enumerate(texts):
+        raw = (text or "").encode()
+        for base in range(0, max(1, len(raw) - length + 1), SEGMENT):
+            part = raw[base : base + SEGMENT + length - 1]
+            if held and size + len(part) > SEGMENT:
+                yield held
+                held, size = [], 0
+            held.append((row, base, part))
+            size += len(part)
+    if held:
+        yield held
 
 
 def find_anchors(rows: DataFrame, length: int, gram: int) -> DataFrame:
     """The anchors of each row (id, print, text)."""
+    columns = ["id", "print", "place", "last", "lo", "hi", "bucket", "name", "run"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                part = whole.slice(at, 500)
-                found = [anchors_of(np.frombuffer((t or "").encode(), np.uint8), length, gram) for t in part.column(2).to_pylist()]
-                row = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
-                place, lo, hi, bucket, name = (np.concatenate(x) for x in zip(*found))
-                yield pa.RecordBatch.from_arrays([part.column(0).take(row), part.column(1).take(row), pa.array(place), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array(bucket), pa.array(name)], names=["id", "print", "place", "lo", "hi", "bucket", "name"])
+            for part in segments(whole.column(2).to_pylist(), length):
+                own, place, last, lo, hi, bucket, name, n = anchors_of([t for _, _, t in part], length, gram)
+                row, base = (np.array([x[k] for x in part], np.int64)[own] for k in (0, 1))
+                keys = [whole.column(k).take(pa.array(row)) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*keys, pa.array(place + base), pa.array(last + base), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array(bucket), pa.array(name), pa.array(n)], names=columns)
 
-    return rows.select("id", "print", "text").mapInArrow(run, "id long, print long, place long, lo int, hi int, bucket long, name long")
+    return rows.select("id", "print", "text").mapInArrow(run, "id long, print long, place long, last long, lo int, hi int, bucket long, name long, run long")
 
 
 def with_text(rows: DataFrame, keyed: DataFrame, how: str) -> DataFrame:
@@ -136,13 +174,13 @@ def pieces(found: DataFrame, length: int, stride: int) -> DataFrame:
             for at in range(0, whole.num_rows, 2_000):
                 part = whole.slice(at, 2_000)
                 lo, hi, anchor, data = _arrays(part)
-                rolling = Rolling(data)
+                names = Names(data)
                 n = hi // stride - lo // stride + 1
                 row = np.repeat(np.arange(len(lo)), n)
                 piece = lo[row] // stride + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
                 first, last = np.maximum(lo[row], piece * stride), np.minimum(hi[row], piece * stride + stride - 1)
-                core = rolling.of(anchor[row] - piece * stride, anchor[row] - piece * stride - (stride - 1) + length) + mixed(piece.astype(np.uint64))
-                cover = rolling.of(anchor[row] - last, anchor[row] - first + length) + mixed((first * length + last).astype(np.uint64))
+                core = paired(names.of(anchor[row] - piece * stride, anchor[row] - piece * stride - (stride - 1) + length), piece.astype(np.uint64))
+                cover = paired(names.of(anchor[row] - last, anchor[row] - first + length), (first * length + last).astype(np.uint64))
                 take = [part.column(part.schema.get_field_index(c)).take(pa.array(row)) for c in ("id", "print", "place", "bucket", "single")]
                 yield pa.RecordBatch.from_arrays([*take, pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)), pa.array(core.view(np.int64)), pa.array(cover.view(np.int64))], names=["id", "print", "place", "bucket", "single", "lo", "hi", "core", "cover"])
 
@@ -157,36 +195,37 @@ def single_windows(found: DataFrame, length: int) -> DataFrame:
             for at in range(0, whole.num_rows, 2_000):
                 part = whole.slice(at, 2_000)
                 _, _, anchor, data = _arrays(part)
-                rolling = Rolling(data)
+                names = Names(data)
                 lists = part.column(part.schema.get_field_index("open")).to_pylist()
                 pairs = [(i, o) for i, own in enumerate(lists) for r in own for o in range(r["lo"], r["hi"] + 1)]
                 row, offset = np.array([i for i, _ in pairs], np.int64), np.array([o for _, o in pairs], np.int64)
                 begin = anchor[row] - offset
                 take = [part.column(part.schema.get_field_index(c)).take(pa.array(row)) for c in ("id", "print", "place", "bucket", "single")]
-                yield pa.RecordBatch.from_arrays([*take, pa.array(offset.astype(np.int32)), pa.array(rolling.of(begin, begin + length).view(np.int64))], names=["id", "print", "place", "bucket", "single", "offset", "name"])
+                yield pa.RecordBatch.from_arrays([*take, pa.array(offset.astype(np.int32)), pa.array(names.of(begin, begin + length).view(np.int64))], names=["id", "print", "place", "bucket", "single", "offset", "name"])
 
     return found.mapInArrow(run, "id long, print long, place long, bucket long, single boolean, offset int, name long")
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
-    """The rows (id, print, text) of ``docs``, and id, print, start and end (bytes) of repeated strings."""
+def repeated_spans(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
+    """The rows (id, print, text) of ``docs``, and id, print, start and end (bytes) of repeated strings, read
+    from tables of ``scratch``."""
     if not 8 <= gram <= length - STRIDE:
         raise ValueError("the gram has to be from 8 bytes to the length less a stride")
     small_batches(docs.sparkSession)
-    scratch = Scratch(docs.sparkSession, "suffix-dedup")
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("print"), text.alias("text"))
-    anchors = find_anchors(rows, length, gram)
-    buckets = anchors.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("one"), F.max("name").alias("another"))
+    anchors = scratch.save(find_anchors(rows, length, gram))
+    buckets = anchors.groupBy("bucket").agg(F.sum("run").alias("n"), F.min("name").alias("one"), F.max("name").alias("another"))
     # tables to join with are saved first: Spark can then split what a hot bucket brings to the join
     kept = scratch.save(buckets.filter("n > 1").select("bucket", (F.col("one") != F.col("another")).alias("open")))
     shared = scratch.save(anchors.join(kept, "bucket"))
 
-    classes = scratch.save(shared.groupBy("bucket", "name").agg(F.count(F.lit(1)).alias("n")))
+    scratch.drop(anchors, kept)
+    classes = scratch.save(shared.groupBy("bucket", "name").agg(F.sum("run").alias("n")))
     placed = scratch.save(shared.join(classes, ["bucket", "name"]))
-    span = lambda lo, hi: (F.col("place") - hi, F.col("place") - lo + length)
-    cut = lambda df, lo, hi: df.select("id", "print", span(lo, hi)[0].alias("start"), span(lo, hi)[1].alias("end"))
-    whole = cut(placed.filter("n > 1"), F.col("lo"), F.col("hi"))
+    scratch.drop(shared, classes)
+    cut = lambda df, lo, hi, last="place": df.select("id", "print", (F.col("place") - F.col(hi)).alias("start"), (F.col(last) - F.col(lo) + length).alias("end"))
+    whole = cut(placed.filter("n > 1"), "lo", "hi", "last")
 
     records = placed.filter("open").withColumn("single", F.col("n") == 1)
     one = records.filter("single").unionByName(records.filter("not single").dropDuplicates(["bucket", "name"]))
@@ -198,7 +237,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     alive = scratch.save(every.join(cores, ["bucket", "core"]))
     covers = scratch.save(alive.groupBy("bucket", "cover").agg(F.count(F.lit(1)).alias("n")))
     met = scratch.save(alive.join(covers, ["bucket", "cover"]))
-    parts = cut(met.filter("n > 1 and single"), F.col("lo"), F.col("hi"))
+    scratch.drop(cores, alive, covers)
+    parts = cut(met.filter("n > 1 and single"), "lo", "hi")
 
     # of equal pieces one goes on, and only where something is left to be told apart
     left = met.filter("n = 1").unionByName(met.filter("n > 1").dropDuplicates(["bucket", "cover"]))
@@ -210,7 +250,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     windows = single_windows(last, length)
     again = windows.groupBy("bucket", "name").agg(F.count(F.lit(1)).alias("n"), F.max("single").alias("some")).filter("n > 1 and some").select("bucket", "name")
     hits = windows.join(scratch.save(again), ["bucket", "name"])
-    singles = cut(hits, F.col("offset"), F.col("offset"))
+    singles = cut(hits, "offset", "offset")
     return rows, whole.unionByName(parts).unionByName(singles)
 
 
@@ -227,12 +267,15 @@ def merged(spans: np.ndarray) -> np.ndarray:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """id, n_bytes, n_removed, n_spans, kept (bytes) of each row of ``docs``.
 
-    Null texts count as empty.  Rows that repeat id and text are different rows, so each goes as far as it
-    is long enough; a null id is kept; other columns are left out.  Cuts may fall inside a character.
+    Null texts count as empty; texts shorter than ``length`` stay whole.  Rows that repeat id and text are
+    different rows, so each goes as far as it is long enough; of equal strings none is spared, so there are no
+    ties; a null id is kept; other columns are left out, whatever their names; an empty table gives an empty
+    one.  Texts of any length are named in parts of ``SEGMENT`` bytes.  Cuts may fall inside a character.
     """
-    rows, spans = repeated_spans(docs, id_col, text_col, **options)
     scratch = Scratch(docs.sparkSession, "suffix-dedup")
+    rows, spans = repeated_spans(docs, scratch, id_col, text_col, **options)
     lists = scratch.save(spans.groupBy("id", "print").agg(F.collect_set(F.struct("start", "end")).alias("spans")))
+    scratch.clear(lists)
     joined = with_text(rows, lists, "left").select("id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

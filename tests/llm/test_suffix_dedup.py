@@ -56,3 +56,31 @@ def test_empty_table_null_ids_and_other_columns(spark):
     df = spark.createDataFrame([(None, long, 1), (None, long, 2), (3, None, 3)], "doc_id long, text string, place int")
     assert sorted((r.doc_id is None, r.n_bytes - r.n_removed) for r in S.remove_repeats(df).collect()) == [(False, 0), (True, 0), (True, 0)]
     assert S.remove_repeats(df.limit(0)).count() == 0
+
+
+def test_long_runs_and_segments(spark, monkeypatch):
+    monkeypatch.setattr(S, "SEGMENT", 1_000)
+    rng = random.Random(8)
+    base = "".join(rng.choice("abcdefgh") for _ in range(3000))
+    rows = [(1, "a" * 4000), (2, base), (3, base[500:2500] + "x" + base[900:1200]), (4, "xy z" * 700), (5, "b" * 199)]
+    assert measured(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows, 200)
+
+
+def test_five_megabytes_of_one_character(spark):
+    df = spark.createDataFrame([(1, "a")], "doc_id long, c string").selectExpr("doc_id", "repeat(c, 5000000) AS text")
+    got = S.remove_repeats(df).collect()[0]
+    assert (got.n_bytes, got.n_removed, got.n_spans, bytes(got.kept)) == (5_000_000, 5_000_000, 1, b"")
+
+
+def test_names_tell_complements_of_thue_morse_strings_apart():
+    import numpy as np
+
+    from ratingloom.llm.naming import Names
+
+    word = b"a"
+    while len(word) < 1024:
+        word += word.translate(bytes.maketrans(b"ab", b"ba"))
+    both = word + word.translate(bytes.maketrans(b"ab", b"ba"))
+    names = Names(np.frombuffer(both, np.uint8))
+    begin = np.array([0, 1024])
+    assert len(set(names.of(begin, begin + 1024).tolist())) == 2
