@@ -7,12 +7,13 @@
    5 million times.  If two classes agree in ``MATCHES`` places, they meet in one of the
    ``COORDINATES - MATCHES + 1`` rarest values of either (the prefix), so all commoner values are skipped;
    a value that no other class has takes a place of the prefix and posts nothing.
-3. Classes that share a list, directly or through others, are a *family*, cut into blocks of ``BLOCK``
-   members and ``BLOCK_BYTES`` of text.  A task takes two blocks.  It counts the agreeing coordinates of their
-   members; members with a partner are confirmed on full sets, all intersections at once as a product of
-   incidence matrices; what leaves the task is a forest of links, not the pairs.
-4. First every block meets the first block of its family.  Families that are one component then are done;
-   in the others the remaining blocks meet too, but pairs that are in one component already are skipped.
+3. Collisions are counted list by list.  A pair is counted in the list of its rarest common value alone.  Pairs
+   with ``MATCHES`` collisions are confirmed on full sets; what leaves a task is a forest of links, not the pairs.
+4. Short lists (``SHORT`` classes or fewer) are counted at once.  In a longer list every class first meets one of
+   the list, its centre; classes that end up in one component need not meet again, which settles lists of copies in
+   steps that grow with the list.  Lists that hold several components after ``ROUNDS`` such steps are split
+   by the next rarest common value where that makes fewer pairs, cut into blocks of ``BLOCK`` classes, and counted
+   block against block, again but for pairs within one component.
 5. Components come from alternating large-star and small-star steps on tables; nothing of them reaches the
    driver but counts.
 """
@@ -22,32 +23,48 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, read_table, slices, small_batches
-from .rolling import Rolling, mixed
+from .naming import mixed
 
 COORDINATES = 32
 MATCHES = 13
 SHINGLE = 5
 PERCENT = 80
-BLOCK = 1_000
-BLOCK_BYTES = 4_000_000
+SHORT = 8  # classes of a list that are counted at once
+STAR = 64  # classes that meet a centre in one group
+ROUNDS = 2
+BLOCK = 1_000  # classes of a block, at most
+BLOCK_SHINGLES = 500_000  # shingles of a block or group, but for a longer text
+HELD = 8_192  # rows that are counted at a time
 COLUMNS = 8_192  # of an incidence matrix at a time
 FILE_ROWS = 250_000
 STAR_ROWS = 300_000  # edges, of 32 bytes, up to which least neighbours are broadcast
 BROADCAST_ROWS = 300_000  # keys of 40 bytes: what may be broadcast after it was counted
+UNRANKED = 99
 
 _random = np.random.default_rng(7_919)
 STEPS = _random.integers(1, 1 << 63, 64, np.uint64) | np.uint64(1)
 FACTOR = _random.integers(1, 1 << 63, COORDINATES, np.uint64) | np.uint64(1)
 SHIFT = _random.integers(1, 1 << 63, COORDINATES, np.uint64)
+CODE = _random.integers(1, 1 << 63, 256, np.uint64)
+PLACE = _random.integers(1, 1 << 63, 1, np.uint64) | np.uint64(1)
 IS_WORD = np.array([not (b == 32 or 9 <= b <= 13) for b in range(256)])
 
 
+def word_names(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit names of the words data[begin:end]: the sum of what each byte is at its place in the word, by a
+    mixer that is not linear, so no two words are built to have one name."""
+    size = end - begin
+    place = (np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)).astype(np.uint64)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(CODE[data[IS_WORD[data]]] + place * PLACE), dtype=np.uint64)])
+    stop = np.cumsum(size)
+    return mixed(total[stop] - total[stop - size] + size.astype(np.uint64))
+
+
 def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
     """The sorted, distinct 64-bit hashes of each text's shingles of ``width`` words; of all its words, if
     they are fewer.  Words are runs without ASCII white space, with A-Z lower-cased."""
@@ -55,7 +72,7 @@ def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
     whole = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
     change = np.diff(IS_WORD[whole].astype(np.int8), prepend=0)
     begin, end = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
-    word = Rolling(whole).of(begin, end)
+    word = word_names(whole, begin, end)
     n = max(0, len(word) - width + 1)
     run = np.zeros(n, np.uint64)
     for j in range(width):
@@ -94,7 +111,8 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, list[bytes | None]]:
 
 
 def sign(docs: DataFrame, width: int) -> DataFrame:
-    """id, print (hash of the text), n_shingles, node (the set's name) and signature of each row."""
+    """id, print (hash of the text), n_shingles, node (the set's name), signature and sketch (the low halves of
+    the signature's values) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -104,26 +122,36 @@ def sign(docs: DataFrame, width: int) -> DataFrame:
                 sets = shingle_sets(part, width)
                 values, names = signatures(sets)
                 signature = [v if n is not None else None for v, n in zip(values, names)]
-                own = [pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()), pa.array(signature, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays([*(c.slice(at, len(part)) for c in whole.columns[:2]), *own], names=["id", "print", "n_shingles", "node", "signature"])
+                sketch = pa.array([v.astype("<u4").tobytes() for v in values.view(np.uint64) & np.uint64(0xFFFFFFFF)], pa.binary())
+                own = [pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()), pa.array(signature, pa.list_(pa.int64())), sketch]
+                yield pa.RecordBatch.from_arrays([*(c.slice(at, len(part)) for c in whole.columns[:2]), *own], names=["id", "print", "n_shingles", "node", "signature", "sketch"])
                 at += len(part)
 
-    return docs.select("id", "print", "text").mapInArrow(run, "id long, print long, n_shingles long, node binary, signature array<bigint>")
-
-
-def partners(signature: np.ndarray, size: np.ndarray, label: np.ndarray, block: np.ndarray, percent: int) -> np.ndarray:
-    """Pairs (rows of two places) of different labels, and of different blocks if there are two, whose sizes
-    allow the threshold and that agree in ``MATCHES`` coordinates."""
-    two = block.min() != block.max()
-    out = []
-    for i in range(len(size) - 1):
-        j = np.arange(i + 1, len(size))
-        ok = (label[j] != label[i]) & (100 * np.minimum(size[j], size[i]) >= percent * np.maximum(size[j], size[i]))
-        j = j[ok & (block[j] != block[i])] if two else j[ok]
-        if len(j):
-            j = j[(signature[j] == signature[i]).sum(axis=1) >= MATCHES]
-            out.append(np.column_stack([np.full(len(j), i), j]))
-    return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+    return docs.select("id", "print", "text").mapInArrow(run, "id long, print long, n_shingles long, node binary, signature array<bigint>, sketch binary")
+
+
+def collisions(group: np.ndarray, at: np.ndarray, side: np.ndarray, label: np.ndarray, size: np.ndarray, sketch: np.ndarray, rank: np.ndarray, percent: int) -> np.ndarray:
+    """Which members of groups (rows in their order) have a partner: another label, the other side where
+    the group has two, a size that allows the threshold, and ``MATCHES`` common coordinates.  A group that is
+    a list (``at`` > 0) only counts pairs whose rarest common values are those of the list."""
+    used = np.zeros(len(group), bool)
+    first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    length = np.diff(np.append(first, len(group)))
+    two = np.repeat(np.minimum.reduceat(side, first) != np.maximum.reduceat(side, first), length)
+    for d in range(1, int(length.max())):
+        i = np.flatnonzero(group[d:] == group[:-d])
+        j = i + d
+        ok = (label[i] != label[j]) & (~two[i] | (side[i] != side[j])) & (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j]))
+        i, j = i[ok], j[ok]
+        common = sketch[i] == sketch[j]
+        ok = common.sum(axis=1) >= MATCHES
+        i, j, common = i[ok], j[ok], common[ok]
+        if len(i) and at[i].any():
+            rarest = np.argsort(np.where(common, rank[i], UNRANKED), axis=1, kind="stable")[:, :2] + 1
+            ok = (at[i] == 0) | (at[i] == rarest[:, 0]) | (at[i] == rarest[:, 0] + (COORDINATES + 1) * rarest[:, 1])
+            i, j = i[ok], j[ok]
+        used[i] = used[j] = True
+    return used
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
@@ -162,70 +190,102 @@ def forest(pairs: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def links_of(texts: list[str], node: list[bytes], signature: np.ndarray, size: np.ndarray, label: np.ndarray, block: np.ndarray, width: int, percent: int) -> list[tuple[bytes, bytes]]:
-    """A forest of confirmed links between members of one or two blocks."""
+def links_of(texts: list[str], node: list[bytes], label: np.ndarray, side: np.ndarray, width: int, percent: int) -> list[tuple[bytes, bytes]]:
+    """A forest of confirmed links between members of one group, across its sides if it has two."""
     if label.min() == label.max():
         return []
-    pairs = partners(signature, size, label, block, percent)
-    if not len(pairs):
-        return []
-    used, place = np.unique(pairs, return_inverse=True)
-    place = place.reshape(pairs.shape)
     sets: list[np.ndarray] = []
-    chosen = [texts[i] for i in used.tolist()]
-    for part, _ in slices(chosen, chosen, 500_000):
+    for part, _ in slices(texts, texts, 500_000):
         sets += shingle_sets(part, width)
-    if len(pairs) < 4 * len(used):
-        both = np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for i, j in place.tolist()])
-    else:
-        both = intersections(sets)[place[:, 0], place[:, 1]]
     n = np.array([len(x) for x in sets])
-    ok = 100 * both >= percent * (n[place[:, 0]] + n[place[:, 1]] - both)
-    return [(node[i], node[j]) for i, j in forest(pairs[ok], label)]
-
-
-def confirmed(members: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links within each group (family, lo, hi) of ``members``; a worker takes its groups one after another
-    from rows sorted by them."""
-    dealt = members.repartition("family", "lo", "hi").sortWithinPartitions("family", "lo", "hi")
-    dealt = dealt.select("family", "lo", "hi", "node", "label", "own", "n", "signature", "text")
-
-    def links(table: pa.Table) -> pa.RecordBatch:
-        c = {n: table.column(n).to_pylist() for n in ("family", "lo", "hi", "node", "label", "own", "n", "text")}
-        signature = table.column("signature").combine_chunks()
-        signature = np.asarray(signature.flatten()).reshape(-1, COORDINATES) if len(signature) else np.zeros((0, COORDINATES), np.int64)
-        label = pd.factorize(np.array(c["label"], object))[0] if len(table) else np.zeros(0, int)
-        own, n = np.array(c["own"], np.int64), np.array(c["n"], np.int64)
-        keys = list(zip(c["family"], c["lo"], c["hi"]))
-        out, start = [], 0
-        for i in range(1, len(keys) + 1):
-            if i == len(keys) or keys[i] != keys[start]:
-                if i - start > 1:
-                    g = slice(start, i)
-                    out += links_of(c["text"][g], c["node"][g], signature[g], n[g], label[g], own[g], width, percent)
-                start = i
-        return pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.binary())], names=["a", "b"])
+    i, j = np.triu_indices(len(sets), 1) if side.min() == side.max() else (x.ravel() for x in np.meshgrid(np.flatnonzero(side == 0), np.flatnonzero(side == 1)))
+    ok = (label[i] != label[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+    i, j = i[ok], j[ok]
+    if len(i) < 4 * len(sets):
+        both = np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(i.tolist(), j.tolist())], np.int64)
+    else:
+        both = intersections(sets)[i, j]
+    ok = 100 * both >= percent * (n[i] + n[j] - both)
+    return [(node[a], node[b]) for a, b in forest(np.column_stack([i[ok], j[ok]]), label)]
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of at least ``least`` rows (but the last) that hold whole groups, with the number of each row's
+    group; batches are sorted by the group's two columns, the first ones."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+
+    def numbered(table: pa.Table) -> np.ndarray:
+        g, part = (table.column(k).to_numpy() for k in (0, 1))
+        return np.cumsum(np.append(0, (g[1:] != g[:-1]) | (part[1:] != part[:-1])))
+
+    for whole in batches:
+        if whole.num_rows:
+            held.append(whole)
+            rows += whole.num_rows
+        if rows >= least:
+            table = pa.Table.from_batches(held)
+            number = numbered(table)
+            cut = int(np.searchsorted(number, number[-1]))
+            if cut:
+                yield table.slice(0, cut), number[:cut]
+            held, rows = table.slice(cut).to_batches(), rows - cut
+            least = max(least, 2 * rows)  # a group longer than that is not looked through again for every batch
+    if held:
+        table = pa.Table.from_batches(held)
+        yield table, numbered(table)
+
+
+def codes(column: pa.ChunkedArray) -> np.ndarray:
+    """Numbers that are equal where the column's values are."""
+    return column.combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+
+
+MEETING = "g long, part int, at int, side int, node binary"
+
+
+def counted(meetings: DataFrame, classes: DataFrame, labels: DataFrame | None, percent: int) -> DataFrame:
+    """The rows of ``meetings`` (``MEETING``) that have a partner by their signatures."""
+    wide = meetings.join(classes.select("node", "n", "sketch", F.col("own.c").cast("array<tinyint>").alias("coordinates")), "node")
+    wide = labelled(wide, labels)
+    dealt = wide.repartition("g", "part").sortWithinPartitions("g", "part").select("g", "part", "at", "side", "node", "label", "n", "sketch", "coordinates")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for whole in batches:
-            if not whole.num_rows:
-                continue
-            # all groups but the last are complete
-            last = tuple(whole.column(k)[whole.num_rows - 1].as_py() for k in range(3))
-            same = np.ones(whole.num_rows, bool)
-            for k, x in enumerate(last):
-                same &= np.array([v == x for v in whole.column(k).to_pylist()])
-            cut = int(np.argmax(same))
-            if cut:
-                yield links(pa.Table.from_batches([*held, whole.slice(0, cut)]))
-                held = []
-            elif held and tuple(held[-1].column(k)[0].as_py() for k in range(3)) != last:
-                yield links(pa.Table.from_batches(held))
-                held = []
-            held.append(whole.slice(cut))
-        if held:
-            yield links(pa.Table.from_batches(held))
+        for table, group in whole_groups(batches, HELD):
+            at, side, size = (table.column(c).to_numpy() for c in ("at", "side", "n"))
+            sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), "<u4").reshape(-1, COORDINATES)
+            lists = table.column("coordinates").combine_chunks()
+            length = lists.value_lengths().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(length)), length)
+            rank = np.full((len(length), COORDINATES), UNRANKED, np.int8)
+            rank[row, lists.flatten().to_numpy()] = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
+            used = collisions(group, at, side, codes(table.column("label")), size, sketch, rank, percent)
+            yield from table.select(["g", "part", "at", "side", "node"]).filter(pa.array(used)).combine_chunks().to_batches()
+
+    return dealt.mapInArrow(run, MEETING)
+
+
+def labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``rows`` with the label of each node; its own name if it has none."""
+    if labels is None:
+        return rows.withColumn("label", F.col("node"))
+    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def confirmed(meetings: DataFrame, texts: DataFrame, labels: DataFrame | None, width: int, percent: int) -> DataFrame:
+    """Links within each group of ``meetings``, by the full sets of the members' ``texts``."""
+    wide = labelled(meetings.join(texts, "node"), labels)
+    dealt = wide.repartition("g", "part").sortWithinPartitions("g", "part").select("g", "part", "side", "node", "label", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, group in whole_groups(batches, 1):
+            side, label = table.column("side").to_numpy(), codes(table.column("label"))
+            edges = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]]))
+            out = []
+            for a, b in zip(edges.tolist(), edges[1:].tolist()):
+                own = table.slice(a, b - a)
+                out += links_of(own.column("text").to_pylist(), own.column("node").to_pylist(), label[a:b], side[a:b], width, percent)
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.binary()), pa.array([y for _, y in out], pa.binary())], names=["a", "b"])
 
     return dealt.mapInArrow(run, "a binary, b binary")
 
@@ -268,13 +328,92 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
-def prefixes(classes: DataFrame, scratch: Scratch) -> DataFrame:
-    """value, node: each class under the values of its prefix that other classes have as well."""
-    posted = classes.select("node", F.explode("signature").alias("value"))
-    shared = posted.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    ranked = posted.join(shared, "value").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "value"))).alias("own"))
-    room = F.lit(COORDINATES - MATCHES + 1) - (F.lit(COORDINATES) - F.size("own"))
-    return ranked.filter(room > 0).select("node", F.explode(F.slice("own", 1, room)).alias("p")).select("node", F.col("p.value").alias("value"))
+def ordered(classes: DataFrame) -> DataFrame:
+    """node, n, sketch and own: the coordinate-value pairs that other classes have as well, rarest first; of
+    the classes that have ``MATCHES`` of them."""
+    posted = classes.select("node", F.posexplode("signature").alias("c", "value"))
+    shared = posted.groupBy("c", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    own = posted.join(shared, ["c", "value"]).groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "value", "c"))).alias("own"))
+    return own.filter(F.size("own") >= MATCHES).join(classes.select("node", "n", "sketch"), "node")
+
+
+def prefix(depth: int, after: Column) -> Column:
+    """The places of ``own`` beyond ``after`` in which the ``depth``-th common pair of two classes stands."""
+    room = F.size("own") - MATCHES + depth
+    return F.posexplode(F.slice("own", after + 1, F.greatest(room - after, F.lit(0))))
+
+
+def key(*parts: Column) -> Column:
+    return F.xxhash64(*parts)
+
+
+def groups_of(size: str = "m", shingles: str = "shingles", most: int = BLOCK) -> Column:
+    """How many groups members are dealt to, by their number and their shingles."""
+    return F.greatest(F.ceil(F.col(size) / most), F.ceil(F.col(shingles) / BLOCK_SHINGLES), F.lit(1)).cast("int")
+
+
+def stars(posts: DataFrame, labels: DataFrame | None, number: int, scratch: Scratch) -> DataFrame:
+    """Each class of a list meets the list's centre, if that has another label.  Lists choose their centres by
+    one of three orders of the classes, so that lists of one family choose few."""
+    known = labelled(posts, labels)
+    order = F.xxhash64("node", F.pmod("g", F.lit(3)), F.lit(number))
+    centre = known.groupBy("g").agg(F.min(F.struct(order.alias("order"), "node", "label")).alias("centre"))
+    pairs = known.join(centre, "g").filter(F.col("label") != F.col("centre.label")).select("node", "n", F.col("centre.node").alias("centre")).distinct()
+    pairs = scratch.save(pairs)
+    count = pairs.groupBy("centre").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("shingles")).select("centre", groups_of(most=STAR).alias("groups"))
+    members = pairs.join(count, "centre").select("node", "centre", F.xxhash64("centre").alias("g"), F.pmod(F.xxhash64("node"), F.col("groups")).cast("int").alias("part"))
+    zero = F.lit(0).alias("at")
+    centres = members.select("g", "part", zero, F.lit(1).alias("side"), F.col("centre").alias("node")).distinct()
+    return members.select("g", "part", zero, F.lit(0).alias("side"), "node").unionByName(centres)
+
+
+def blocked(lists: DataFrame) -> DataFrame:
+    """The members of lists (g, at, node, n) against each other, in pairs of blocks where a list is long."""
+    count = lists.groupBy("g").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("shingles")).filter("m > 1").select("g", groups_of().alias("blocks"))
+    own = lists.join(count, "g").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    met = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    lo, hi = F.least("block", "other"), F.greatest("block", "other")
+    return met.select("g", (lo * F.col("blocks") + hi).cast("int").alias("part"), "at", (F.col("block") == hi).cast("int").alias("side"), "node")
+
+
+def residue(posts: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """All members of lists against each other.  A list of over ``BLOCK`` members is split by the next common
+    pair, where that halves the pairs at least."""
+    count = posts.groupBy("g").agg(F.count(F.lit(1)).alias("m"))
+    long = scratch.save(posts.join(count.filter(F.col("m") > BLOCK), "g"))
+    if long.isEmpty():
+        return blocked(posts)
+    place = F.col("place") + 1
+    split = long.join(classes.select("node", "own"), "node").select("g", "at", "m", "node", "n", prefix(2, place).alias("pos", "p"))
+    split = scratch.save(split.select("g", "m", (F.col("at") + (COORDINATES + 1) * (F.col("p.c") + 1)).cast("int").alias("at"), key(F.col("g"), F.col("p.c"), F.col("p.value")).alias("sub"), "node", "n"))
+    pairs = split.groupBy("g", "m", "sub").agg(F.count(F.lit(1)).cast("double").alias("s")).groupBy("g", "m").agg(F.sum(F.col("s") * F.col("s")).alias("pairs"))
+    better = scratch.save(pairs.filter(2 * F.col("pairs") < F.col("m").cast("double") * F.col("m")).select("g"))
+    rest = posts.select("g", "at", "node", "n").join(better, "g", "left_anti")
+    return blocked(rest.unionByName(split.join(better, "g", "left_semi").select(F.col("sub").alias("g"), "at", "node", "n")))
+
+
+def linked(posts: DataFrame, classes: DataFrame, texts_of, scratch: Scratch, width: int, percent: int) -> DataFrame | None:
+    """node and label of every class that is linked with another."""
+    labels = None
+
+    def meet(meetings: DataFrame) -> DataFrame | None:
+        near = scratch.save(counted(meetings, classes, labels, percent))
+        links = scratch.save(confirmed(near, texts_of(near), labels, width, percent))
+        if labels is not None:
+            links = links.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
+        return components(links, scratch)
+
+    count = scratch.save(posts.groupBy("g").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"))
+    short = posts.join(count.filter(F.col("m") <= SHORT), "g").drop("m")
+    long = scratch.save(posts.join(count.filter(F.col("m") > SHORT), "g").drop("m"))
+    for number in range(ROUNDS):
+        meetings = stars(long, labels, number, scratch)
+        labels = meet(meetings.unionByName(blocked(short)) if number == 0 else meetings)
+        several = labelled(long, labels).groupBy("g").agg(F.min("label").alias("one"), F.max("label").alias("another")).filter("one <> another").select("g")
+        long = scratch.save(long.join(several, "g", "left_semi"))
+        if long.isEmpty():
+            return labels
+    return meet(residue(long, classes, scratch))
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -282,8 +421,10 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     row of ``docs``.
 
     Texts without words, and null texts, have an empty set and are linked with nothing: their component is
-    their own id.  Rows that repeat an id with another text are documents of their own; a null id is never
-    the smallest, and a component of null ids alone has a null id.  Other columns are left out.
+    their own id.  Rows that repeat an id with another text are documents of their own, and rows that repeat
+    both come out alike; a null id is never the smallest, and a component of null ids alone has a null id.
+    Ties cannot arise, as a component's name is its smallest id.  An empty table gives an empty one; other
+    columns are left out, whatever their names; texts of any length are taken whole.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -291,61 +432,40 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("print"), text.alias("text"))
     signed = scratch.save(sign(rows, width))
-    classes = signed.filter("node is not null").groupBy("node").agg(F.min(F.struct("id", "print")).alias("rep"), F.min("id").alias("least"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
+    classes = signed.filter("node is not null").groupBy("node").agg(F.min(F.struct("id", "print")).alias("rep"), F.min("id").alias("least"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch"))
     classes = scratch.save(classes)
-    posts = scratch.save(prefixes(classes.select("node", "signature"), scratch))
-
-    first = posts.groupBy("value").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("value", "first")
-    met = posts.join(first, "value").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
-    family = components(met, scratch)
-    family = scratch.save(family.unionByName(family.select(F.col("label").alias("node"), "label").distinct()).withColumnRenamed("label", "family"))
-
-    wanted = scratch.save(family.join(classes, "node").select("node", "family", "n", "signature", "rep"))
-    keys = wanted.select("node", F.col("rep.id").alias("id"), F.col("rep.print").alias("print"))
-    if keys.count() <= BROADCAST_ROWS:
-        keys = F.broadcast(keys)
-    same = rows.alias("r").join(keys.alias("w"), F.col("r.id").eqNullSafe(F.col("w.id")) & (F.col("r.print") == F.col("w.print")))
-    texts = scratch.save(same.select("node", "text"))
-
-    sized = family.join(texts.select("node", F.octet_length("text").cast("long").alias("bytes")), "node").groupBy("family")
-    blocks = sized.agg(F.count(F.lit(1)).alias("members"), F.sum("bytes").alias("bytes"))
-    count = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES), F.lit(1))
-    blocks = scratch.save(blocks.filter("members > 1").select("family", count.cast("int").alias("blocks")))
-    members = wanted.drop("rep").join(blocks, "family").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-
-    zero = F.lit(0)
-    to_first = F.when(F.col("own") == 0, F.sequence(zero, F.col("blocks") - 1)).otherwise(F.array("own"))
-    near = members.withColumn("label", F.col("node")).withColumn("lo", zero).withColumn("hi", F.explode(to_first))
-    links = scratch.save(confirmed(near.join(texts, "node"), width, percent))
-    labels = components(links, scratch)
-
-    open_ones = members.filter("blocks > 1").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed_up = open_ones.groupBy("family").agg(F.min("label").alias("one"), F.max("label").alias("another")).filter("one <> another").select("family")
-    spread = open_ones.join(mixed_up, "family").withColumn("other", F.explode(F.sequence(zero, F.col("blocks") - 1)))
-    rest = spread.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).filter("lo > 0")
-    more = scratch.save(confirmed(rest.join(texts, "node"), width, percent))
-    if not more.isEmpty():
-        # the labels found so far stand for their components
-        of = lambda x: labels.select(F.col("node").alias(x), F.col("label").alias(f"to_{x}"))
-        raised = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("to_a", "a").alias("a"), F.coalesce("to_b", "b").alias("b"))
-        higher = components(raised, scratch)
-        top = labels.join(higher.select(F.col("node").alias("label"), F.col("label").alias("top")), "label", "left").select("node", F.coalesce("top", "label").alias("label"))
-        labels = scratch.save(top.unionByName(higher.join(labels, "node", "left_anti")))
+    posting = scratch.save(ordered(classes))
+    posts = scratch.save(posting.select("node", "n", prefix(1, F.lit(0)).alias("place", "p")).select(key(F.col("p.c"), F.col("p.value")).alias("g"), (F.col("p.c") + 1).cast("int").alias("at"), "place", "node", "n"))
+
+    def texts_of(near: DataFrame) -> DataFrame:
+        """The text of each node of ``near``, once."""
+        keys = classes.select("node", F.col("rep.id").alias("id"), F.col("rep.print").alias("print")).join(near.select("node").distinct(), "node", "left_semi")
+        keys = scratch.save(keys)
+        if keys.count() <= BROADCAST_ROWS:
+            keys = F.broadcast(keys)
+        same = rows.alias("r").join(keys.alias("w"), F.col("r.id").eqNullSafe(F.col("w.id")) & (F.col("r.print") == F.col("w.print")))
+        return same.groupBy("node").agg(F.first("text").alias("text"))
+
+    labels = linked(posts, posting, texts_of, scratch, width, percent)
     named = classes.select("node", "least").join(labels, "node", "left").select("node", "least", F.coalesce("label", "node").alias("label"))
     smallest = named.groupBy("label").agg(F.min("least").alias("component_id"))
     of_node = scratch.save(named.join(smallest, "label").select("node", "component_id"))
-    placed = signed.select("id", "print", "n_shingles", "node").join(of_node, "node", "left")
-    return placed.select("id", "print", "n_shingles", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+    placed = signed.select("id", "print", "n_shingles", "node")
+    scratch.clear(signed, of_node)
+    return placed.join(of_node, "node", "left").select("id", "print", "n_shingles", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component; all columns stay as they are."""
+    """The rows of ``docs`` whose id is the smallest of its component; all columns stay as they are, whatever
+    their names.  Nulls, repeats and empty tables are as for ``near_components``: rows that repeat a kept id and
+    text stay."""
     found = near_components(docs, id_col, text_col, **options)
-    gone = found.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_id"), F.col("print").alias("_print")).distinct()
+    gone = found.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select("id", "print").distinct()
     gone = Scratch(docs.sparkSession, "near-dedup").save(gone)
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
-    return docs.join(gone, F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col("_print")), "left_anti")
+    same = F.col(f"rows.`{id_col}`").eqNullSafe(F.col("gone.id")) & (F.xxhash64(F.col(f"rows.`{text_col}`")) == F.col("gone.print"))
+    return docs.alias("rows").join(gone.alias("gone"), same, "left_anti")
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,9 +34,11 @@ def brute(rows, width):
     return {i: (len(s), top(i)) for i, s in sets.items()}
 
 
-@pytest.mark.parametrize("block", [10, 1000])
-def test_random_copies(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "short", "rounds"), [(10, 8, 2), (1000, 8, 1), (5, 2, 1)])
+def test_random_copies(spark, monkeypatch, block, short, rounds):
     monkeypatch.setattr(N, "BLOCK", block)
+    monkeypatch.setattr(N, "SHORT", short)
+    monkeypatch.setattr(N, "ROUNDS", rounds)
     rng = random.Random(5)
     words = [f"w{i}" for i in range(40)]
     base = [[rng.choice(words) for _ in range(rng.randint(0, 60))] for _ in range(10)]
@@ -76,3 +78,44 @@ def test_drop_keeps_columns_and_handles_nulls(spark):
     assert sorted(r.label for r in left.collect()) == [2, 4, 5, 6]
     assert N.drop_near_duplicates(docs.limit(0)).count() == 0
     assert N.near_components(docs).filter(F.col("component_id") == 1).count() == 4
+
+
+def test_chain_of_low_similarity(spark, monkeypatch):
+    """Neighbours share one value in a few; a common passage puts all of them into long lists."""
+    monkeypatch.setattr(N, "BLOCK", 20)
+    rng = random.Random(3)
+    common = [f"c{i}" for i in range(25)]
+    rows = []
+    for i in range(150):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(40)]
+        rows.append((i, " ".join(common + own if i % 3 else own[:20] + common + own[20:])))
+        if i % 10 == 0:
+            own[rng.randrange(40)] = "x"
+            rows.append((1000 + i, " ".join(common + own if i % 3 else own[:20] + common + own[20:])))
+    found = N.near_components(spark.createDataFrame(rows, "doc_id long, text string"), width=4)
+    assert {r.id: (r.n_shingles, r.component_id) for r in found.collect()} == brute(rows, 4)
+
+
+def test_many_repeats_of_one_row(spark):
+    text = " ".join(f"w{i}" for i in range(50))
+    near = spark.createDataFrame([(7, text + " more"), (9, text)], "doc_id long, text string")
+    df = spark.range(16_000).selectExpr("id * 0 + 8 AS doc_id", f"'{text}' AS text").unionByName(near)
+    got = N.near_components(df, width=4).groupBy("id", "component_id").count().collect()
+    assert sorted(map(tuple, got)) == [(7, 7, 1), (8, 7, 16_000), (9, 7, 1)]
+
+
+def test_words_with_equal_sums_of_powers(spark):
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, word), (2, other), (3, f"{word} one two three"), (4, f"{other} one two three")]
+    got = N.near_components(spark.createDataFrame(rows, "doc_id long, text string"), width=4).collect()
+    assert {r.id: r.component_id for r in got} == {1: 1, 2: 2, 3: 3, 4: 4}
+
+
+def test_columns_with_clashing_names(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    names = ["_id", "_print", "id", "print", "node", "label", "g"]
+    docs = spark.createDataFrame([(2, text, *range(7)), (1, text, *range(7))], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    assert [(r.doc_id, r._print) for r in N.drop_near_duplicates(docs).collect()] == [(1, 1)]
