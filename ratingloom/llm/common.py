@@ -99,3 +99,24 @@ def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+SLOTS = 1 << 19
+
+
+def with_few(rows: DataFrame, keyed: DataFrame, how: str) -> DataFrame:
+    """``rows`` (id, print and others) joined with the saved table ``keyed`` on id and print, inner or left.
+
+    Only rows whose key falls into a slot that ``keyed`` fills take part in the shuffle.  The slots are
+    broadcast: they are ``SLOTS`` numbers at most, whatever the data; with more keys more rows pass.
+    """
+    slot = F.pmod(F.xxhash64("id", "print"), F.lit(SLOTS)).cast("int")
+    slots = F.broadcast(keyed.select(slot.alias("_slot")).distinct())
+    slotted = rows.withColumn("_slot", slot)
+    renamed = keyed.withColumnsRenamed({"id": "_id", "print": "_print"})
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("print") == F.col("_print"))
+    near = slotted.join(slots, "_slot", "left_semi").join(renamed.hint("merge"), same, how).drop("_id", "_print", "_slot")
+    if how == "inner":
+        return near
+    far = slotted.join(slots, "_slot", "left_anti").drop("_slot")
+    return near.unionByName(far, allowMissingColumns=True)

@@ -9,8 +9,9 @@ states on its suffix path give the windows that end there.  A word that no item
 back to its root, so only runs of known words, as long as the shortest window at least, take steps; the
 runs are found on whole batches with numpy, by a table of word hashes that errs on one side only.
 
-Items are taken in blocks of ``BLOCK`` characters, one automaton and one broadcast each; a longer list
-of items means more passes over the documents, not a larger broadcast.
+Items are taken in blocks of ``BLOCK`` characters, one automaton and one broadcast each.  Further blocks are
+further passes, each over the saved result of the one before, so only one automaton is held at a time however
+long the list of items is.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, slices, small_batches
+from .common import Scratch, read_table, slices, small_batches
 
 WINDOW = 10
 BLOCK = 300_000
@@ -238,7 +239,14 @@ def find_contamination(docs: DataFrame, items: DataFrame, text_col: str = "text"
     place = kept.index(text_col)
     out = docs.select(*[F.col(f"`{c}`") for c in kept])
     fields = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema], FOUND])
+    scratch = Scratch(docs.sparkSession, "decontamination")
+    shared = None
     for number, block in enumerate(blocks(items, item_id, item_text)):
+        if shared is not None:
+            saved = scratch.save(out)
+            scratch.clear(saved)
+            shared.unpersist()
+            out = saved
         shared = docs.sparkSession.sparkContext.broadcast(Automaton(block, window))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, again=number > 0) -> Iterator[pa.RecordBatch]:
@@ -267,7 +275,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", lon
     """Cut benchmark passages out of ``docs``; its columns stay as they are.
 
     Spans of more than ``longest`` words are cut, and a document of whose words more than ``coverage`` are
-    hit goes altogether.  Rows without spans come back unchanged, nulls included.
+    hit goes altogether.  A shorter item counts for the coverage but is not cut by itself, as a few words
+    are no passage; a smaller ``longest`` cuts it too.  Rows without spans come back unchanged, nulls included.
     """
     found = find_contamination(docs, items, text_col, **options)
     text = F.col(f"`{text_col}`")

@@ -4,8 +4,9 @@ Every three consecutive lines of a text (split at line feeds) are hashed.  Of al
 corpus the first by (id, place) stays; each later one covers its three lines, and a line that any such
 window covers goes.  Windows of blank lines alone do not count, and texts of fewer lines have no window.
 
-The hashes are pre-aggregated before they are shuffled, and the table of repeated windows (one row each)
-is joined back by sort-merge, where Spark splits a window that fills a partition.
+The hashes are written once and pre-aggregated before they are shuffled; the table of repeated windows (one
+row each) is joined back by sort-merge, where Spark splits a window that fills a partition.  Only texts that
+lose lines cross a shuffle.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import Scratch, read_table, with_few
 
 LINES = 3
 
@@ -22,12 +23,12 @@ def text_lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def windows(docs: DataFrame, keys: list[str], text_col: str) -> DataFrame:
-    """``keys``, pos and hash of each window that is not blank."""
-    lines = docs.select(*keys, text_lines(F.col(text_col)).alias("lines")).filter(F.size("lines") >= LINES)
+def windows(rows: DataFrame) -> DataFrame:
+    """id, print, pos and hash of each window of ``rows`` (id, print, text) that is not blank."""
+    lines = rows.select("id", "print", text_lines(F.col("text")).alias("lines")).filter(F.size("lines") >= LINES)
     window = F.transform(F.sequence(F.lit(0), F.size("lines") - LINES), lambda i: F.array_join(F.slice("lines", i + 1, LINES), "\n"))
-    every = lines.select(*keys, F.posexplode(window).alias("pos", "window"))
-    return every.filter(F.trim(F.translate("window", "\n\t\r", "   ")) != "").select(*keys, "pos", F.unhex(F.md5("window")).alias("hash"))
+    every = lines.select("id", "print", F.posexplode(window).alias("pos", "window"))
+    return every.filter(F.trim(F.translate("window", "\n\t\r", "   ")) != "").select("id", "print", "pos", F.unhex(F.md5("window")).alias("hash"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -35,26 +36,28 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Null texts stay null (no lines removed; n_lines 1, as for the empty text).  Rows with the same id and
     text are one document and come out alike; rows with the same id and other texts are told apart by the
-    text's hash; a null id sorts first.  Columns named like the new ones are replaced.
+    text's hash; a null id sorts first.  Columns named like the new ones are replaced, other names are free;
+    texts of any length are taken whole; an empty table gives an empty one.
     """
+    scratch = Scratch(docs.sparkSession, "line-dedup")
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     text = F.col(f"`{text_col}`")
-    keyed = docs.select(F.col(f"`{id_col}`").alias("_id"), F.unhex(F.md5(F.coalesce(text, F.lit("")))).alias("_print"), *[F.col(f"`{c}`") for c in kept])
-    every = windows(keyed, ["_id", "_print"], f"`{text_col}`")
-    place = F.struct("_id", "_print", "pos")
+    print_ = F.unhex(F.md5(F.coalesce(text, F.lit("")))).alias("print")
+    keyed = docs.select(F.col(f"`{id_col}`").alias("id"), print_, F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"))
+    every = scratch.save(windows(docs.select(F.col(f"`{id_col}`").alias("id"), print_, text.alias("text"))))
+    place = F.struct("id", "print", "pos")
     repeated = every.groupBy("hash").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash", "first")
-    later = every.join(repeated.hint("merge"), "hash").filter(place > F.col("first"))
-    covered = later.select("_id", "_print", F.explode(F.sequence(F.col("pos"), F.col("pos") + LINES - 1)).alias("line"))
-    cut = covered.groupBy("_id", "_print").agg(F.collect_set("line").alias("_cut"))
-    # the lines go through the join in place of the text, so that they are split once
-    rest = [c for c in kept if c != text_col]
-    split = keyed.select("_id", "_print", *[F.col(f"`{c}`") for c in rest], text.isNull().alias("_null"), text_lines(text).alias("_lines"))
-    both = split.alias("d").join(cut.alias("c"), F.col("d._id").eqNullSafe(F.col("c._id")) & (F.col("d._print") == F.col("c._print")), "left")
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_cut"))
-    lines = F.when(F.col("_cut").isNull(), F.col("_lines")).otherwise(F.transform(left, lambda i: F.get("_lines", i)))
-    new = F.when(~F.col("_null"), F.array_join(lines, "\n"))
-    out = [new.alias(c) if c == text_col else F.col(f"d.`{c}`") for c in kept]
-    return both.select(*out, F.size("_lines").cast("long").alias("n_lines"), F.coalesce(F.size("_cut"), F.lit(0)).cast("long").alias("n_removed"))
+    later = every.join(scratch.save(repeated).hint("merge"), "hash").filter(place > F.col("first"))
+    covered = later.select("id", "print", F.explode(F.sequence(F.col("pos"), F.col("pos") + LINES - 1)).alias("line"))
+    cut = scratch.save(covered.groupBy("id", "print").agg(F.collect_set("line").alias("cut")))
+    scratch.clear(cut)
+    both = with_few(keyed, cut, "left")
+    own = F.col(f"row.`{text_col}`")
+    lines = text_lines(own)
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("cut"))
+    new = F.when(F.col("cut").isNull() | own.isNull(), own).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
+    out = [new.alias(c) if c == text_col else F.col(f"row.`{c}`") for c in kept]
+    return both.select(*out, F.size(lines).cast("long").alias("n_lines"), F.coalesce(F.size("cut"), F.lit(0)).cast("long").alias("n_removed"))
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

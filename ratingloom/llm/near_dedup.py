@@ -357,19 +357,21 @@ def stars(posts: DataFrame, labels: DataFrame | None, number: int, scratch: Scra
     one of three orders of the classes, so that lists of one family choose few."""
     known = labelled(posts, labels)
     order = F.xxhash64("node", F.pmod("g", F.lit(3)), F.lit(number))
-    centre = known.groupBy("g").agg(F.min(F.struct(order.alias("order"), "node", "label")).alias("centre"))
+    # tables that hot lists join with are saved first: Spark can then broadcast them or split what a list brings
+    centre = scratch.save(known.groupBy("g").agg(F.min(F.struct(order.alias("order"), "node", "label")).alias("centre")))
     pairs = known.join(centre, "g").filter(F.col("label") != F.col("centre.label")).select("node", "n", F.col("centre.node").alias("centre")).distinct()
     pairs = scratch.save(pairs)
-    count = pairs.groupBy("centre").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("shingles")).select("centre", groups_of(most=STAR).alias("groups"))
+    count = scratch.save(pairs.groupBy("centre").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("shingles")).select("centre", groups_of(most=STAR).alias("groups")))
     members = pairs.join(count, "centre").select("node", "centre", F.xxhash64("centre").alias("g"), F.pmod(F.xxhash64("node"), F.col("groups")).cast("int").alias("part"))
     zero = F.lit(0).alias("at")
     centres = members.select("g", "part", zero, F.lit(1).alias("side"), F.col("centre").alias("node")).distinct()
     return members.select("g", "part", zero, F.lit(0).alias("side"), "node").unionByName(centres)
 
 
-def blocked(lists: DataFrame) -> DataFrame:
+def blocked(lists: DataFrame, scratch: Scratch) -> DataFrame:
     """The members of lists (g, at, node, n) against each other, in pairs of blocks where a list is long."""
     count = lists.groupBy("g").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("shingles")).filter("m > 1").select("g", groups_of().alias("blocks"))
+    count = scratch.save(count)
     own = lists.join(count, "g").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     met = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     lo, hi = F.least("block", "other"), F.greatest("block", "other")
@@ -379,17 +381,17 @@ def blocked(lists: DataFrame) -> DataFrame:
 def residue(posts: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
     """All members of lists against each other.  A list of over ``BLOCK`` members is split by the next common
     pair, where that halves the pairs at least."""
-    count = posts.groupBy("g").agg(F.count(F.lit(1)).alias("m"))
-    long = scratch.save(posts.join(count.filter(F.col("m") > BLOCK), "g"))
+    count = scratch.save(posts.groupBy("g").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > BLOCK))
+    long = scratch.save(posts.join(count, "g"))
     if long.isEmpty():
-        return blocked(posts)
+        return blocked(posts, scratch)
     place = F.col("place") + 1
     split = long.join(classes.select("node", "own"), "node").select("g", "at", "m", "node", "n", prefix(2, place).alias("pos", "p"))
     split = scratch.save(split.select("g", "m", (F.col("at") + (COORDINATES + 1) * (F.col("p.c") + 1)).cast("int").alias("at"), key(F.col("g"), F.col("p.c"), F.col("p.value")).alias("sub"), "node", "n"))
     pairs = split.groupBy("g", "m", "sub").agg(F.count(F.lit(1)).cast("double").alias("s")).groupBy("g", "m").agg(F.sum(F.col("s") * F.col("s")).alias("pairs"))
     better = scratch.save(pairs.filter(2 * F.col("pairs") < F.col("m").cast("double") * F.col("m")).select("g"))
     rest = posts.select("g", "at", "node", "n").join(better, "g", "left_anti")
-    return blocked(rest.unionByName(split.join(better, "g", "left_semi").select(F.col("sub").alias("g"), "at", "node", "n")))
+    return blocked(rest.unionByName(split.join(better, "g", "left_semi").select(F.col("sub").alias("g"), "at", "node", "n")), scratch)
 
 
 def linked(posts: DataFrame, classes: DataFrame, texts_of, scratch: Scratch, width: int, percent: int) -> DataFrame | None:
@@ -408,9 +410,9 @@ def linked(posts: DataFrame, classes: DataFrame, texts_of, scratch: Scratch, wid
     long = scratch.save(posts.join(count.filter(F.col("m") > SHORT), "g").drop("m"))
     for number in range(ROUNDS):
         meetings = stars(long, labels, number, scratch)
-        labels = meet(meetings.unionByName(blocked(short)) if number == 0 else meetings)
+        labels = meet(meetings.unionByName(blocked(short, scratch)) if number == 0 else meetings)
         several = labelled(long, labels).groupBy("g").agg(F.min("label").alias("one"), F.max("label").alias("another")).filter("one <> another").select("g")
-        long = scratch.save(long.join(several, "g", "left_semi"))
+        long = scratch.save(long.join(scratch.save(several), "g", "left_semi"))
         if long.isEmpty():
             return labels
     return meet(residue(long, classes, scratch))

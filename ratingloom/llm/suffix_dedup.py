@@ -33,13 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, read_table, small_batches
+from .common import Scratch, read_table, small_batches, with_few
 from .naming import Names, paired
 
 LENGTH = 200
 GRAM = 32
 STRIDE = 16
-SLOTS = 1 << 19
 SEGMENT = 400_000  # bytes that are named at a time
 
 
@@ -117,24 +116,6 @@ def find_anchors(rows: DataFrame, length: int, gram: int) -> DataFrame:
     return rows.select("id", "print", "text").mapInArrow(run, "id long, print long, place long, last long, lo int, hi int, bucket long, name long, run long")
 
 
-def with_text(rows: DataFrame, keyed: DataFrame, how: str) -> DataFrame:
-    """``rows`` joined with the saved table ``keyed`` on id and print, inner or left.
-
-    Only rows whose key falls into a slot that ``keyed`` fills take part in the shuffle.  The slots are
-    broadcast: they are ``SLOTS`` numbers at most, whatever the data; with more keys more rows pass.
-    """
-    slot = F.pmod(F.xxhash64("id", "print"), F.lit(SLOTS)).cast("int")
-    slots = F.broadcast(keyed.select(slot.alias("_slot")).distinct())
-    slotted = rows.withColumn("_slot", slot)
-    renamed = keyed.withColumnsRenamed({"id": "_id", "print": "_print"})
-    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("print") == F.col("_print"))
-    near = slotted.join(slots, "_slot", "left_semi").join(renamed.hint("merge"), same, how).drop("_id", "_print", "_slot")
-    if how == "inner":
-        return near
-    far = slotted.join(slots, "_slot", "left_anti").drop("_slot")
-    return near.unionByName(far, allowMissingColumns=True)
-
-
 def contexts(rows: DataFrame, records: DataFrame, length: int, scratch: Scratch) -> DataFrame:
     """``records`` with ``context``, the bytes that their windows cover."""
     own = F.struct("place", "lo", "hi", "bucket", "single")
@@ -154,7 +135,7 @@ def contexts(rows: DataFrame, records: DataFrame, length: int, scratch: Scratch)
                 yield pa.RecordBatch.from_arrays([part.column(0).take(row), part.column(1).take(row), *(pa.array([x[n] for x in flat], t) for n, t in zip(names, types)), pa.array(cut, pa.binary())], names=["id", "print", *names, "context"])
 
     fields = "id long, print long, place long, lo int, hi int, bucket long, single boolean, context binary"
-    return with_text(rows, wanted, "inner").select("id", "print", "text", "records").mapInArrow(run, fields)
+    return with_few(rows, wanted, "inner").select("id", "print", "text", "records").mapInArrow(run, fields)
 
 
 def _arrays(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
@@ -276,7 +257,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows, spans = repeated_spans(docs, scratch, id_col, text_col, **options)
     lists = scratch.save(spans.groupBy("id", "print").agg(F.collect_set(F.struct("start", "end")).alias("spans")))
     scratch.clear(lists)
-    joined = with_text(rows, lists, "left").select("id", "text", "spans")
+    joined = with_few(rows, lists, "left").select("id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

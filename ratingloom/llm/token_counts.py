@@ -16,7 +16,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +27,8 @@ CHUNK = 16_384
 OVERLAP = 256
 WIDEN = 8
 MEMO = 600_000
+DEALT = 64  # chunks of a task, and the most tasks they are dealt to
+PARTS = 20_000
 
 
 @lru_cache(maxsize=2)
@@ -111,15 +112,13 @@ def small_counts(docs: DataFrame, path: str) -> DataFrame:
 
 
 def cut(docs: DataFrame, chunk: int, overlap: int) -> DataFrame:
-    """One row for each chunk, keyed by the place of its document's row in the scan."""
-    kinds = [("task", pa.int32()), ("row", pa.int64()), ("id", pa.int64()), ("n_bytes", pa.int64()), ("chunk", pa.int32()), ("last", pa.bool_()), ("text", pa.string())]
+    """One row for each chunk, keyed by the stored number of its document."""
+    kinds = [("number", pa.int64()), ("id", pa.int64()), ("n_bytes", pa.int64()), ("chunk", pa.int32()), ("last", pa.bool_()), ("text", pa.string())]
     schema = pa.schema(kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, row = TaskContext.get().partitionId(), 0
         for whole in batches:
-            for id, text, n in zip(*(c.to_pylist() for c in whole.columns)):
-                row += 1
+            for number, id, text, n in zip(*(c.to_pylist() for c in whole.columns)):
                 if overlap >= len(text):
                     starts = [0]
                 else:
@@ -127,21 +126,21 @@ def cut(docs: DataFrame, chunk: int, overlap: int) -> DataFrame:
                 for k, start in enumerate(starts):
                     last = k == len(starts) - 1
                     piece = text[start:] if last else text[start : start + chunk + overlap]
-                    yield batch(schema, task=[task], row=[row], id=[id], n_bytes=[n], chunk=[k], last=[last], text=[piece])
+                    yield batch(schema, number=[number], id=[id], n_bytes=[n], chunk=[k], last=[last], text=[piece])
 
-    return docs.mapInArrow(run, "task int, row long, id long, n_bytes long, chunk int, last boolean, text string")
+    return docs.select("number", "id", "text", "n_bytes").mapInArrow(run, "number long, id long, n_bytes long, chunk int, last boolean, text string")
 
 
 def edges(chunks: DataFrame, path: str, chunk: int) -> DataFrame:
     """For each chunk, its left and right edge: the splice offset within the document, and what the
     chunk adds to the count when it is cut there."""
-    kinds = [("task", pa.int32()), ("row", pa.int64()), ("id", pa.int64()), ("n_bytes", pa.int64()), ("edge", pa.int32()), ("at", pa.int64()), ("n", pa.int64())]
+    kinds = [("number", pa.int64()), ("id", pa.int64()), ("n_bytes", pa.int64()), ("edge", pa.int32()), ("at", pa.int64()), ("n", pa.int64())]
     schema = pa.schema(kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(path).encode
         for whole in batches:
-            for task, row, id, n, k, last, text in zip(*(c.to_pylist() for c in whole.columns)):
+            for number, id, n, k, last, text in zip(*(c.to_pylist() for c in whole.columns)):
                 found = encode(text, add_special_tokens=False)
                 before = {start: i for i, (start, _) in reversed(list(enumerate(found.offsets)))} if k or not last else {}
                 own = [(-1, None, len(found.ids))] if last else []
@@ -153,34 +152,40 @@ def edges(chunks: DataFrame, path: str, chunk: int) -> DataFrame:
                     b = stable_from(text, at)
                     i = None if b is None else before.get(b, before.get(b + 1))
                     own.append((edge, None if i is None else k * chunk + b, 0 if i is None else sign * i))
-                yield batch(schema, task=[task] * len(own), row=[row] * len(own), id=[id] * len(own), n_bytes=[n] * len(own), edge=[e for e, _, _ in own], at=[a for _, a, _ in own], n=[x for _, _, x in own])
+                yield batch(schema, number=[number] * len(own), id=[id] * len(own), n_bytes=[n] * len(own), edge=[e for e, _, _ in own], at=[a for _, a, _ in own], n=[x for _, _, x in own])
 
-    return chunks.mapInArrow(run, "task int, row long, id long, n_bytes long, edge int, at long, n long")
+    return chunks.mapInArrow(run, "number long, id long, n_bytes long, edge int, at long, n long")
 
 
 def huge_counts(docs: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
-    """Counts of the huge documents, spliced; widened until every document is whole."""
+    """Counts of the huge documents, spliced; widened until every document is whole.
+
+    The documents are numbered and saved first, so a chunk that is cut again belongs to the same document.
+    Chunks are dealt to as many tasks as their number asks for, as encoding costs time, not bytes.
+    """
     scratch = Scratch(docs.sparkSession, "token-counts")
-    key = ["task", "row", "id", "n_bytes"]
-    done, failed = None, None
+    left = scratch.save(docs.withColumn("number", F.monotonically_increasing_id()))
+    done = None
     while True:
-        chunks = cut(docs, chunk, overlap)
-        if failed is not None:
-            chunks = chunks.join(failed.select("task", "row"), ["task", "row"], "left_semi")
-        dealt = chunks.repartition("task", "row", "chunk")
+        size = left.agg(F.sum(F.ceil(F.length("text") / chunk)).alias("n")).first().n or 0
+        dealt = cut(left, chunk, overlap).repartition(min(PARTS, max(1, -(-int(size) // DEALT))), "number", "chunk")
         spliced = (
             edges(dealt, path, chunk)
-            .groupBy(*key, "edge")
+            .groupBy("number", "id", "n_bytes", "edge")
             .agg(F.sum("n").alias("n"), ((F.col("edge") == -1) | ((F.count("at") == 2) & (F.min("at") == F.max("at")))).alias("ok"))
-            .groupBy(*key)
+            .groupBy("number", "id", "n_bytes")
             .agg(F.sum("n").alias("n_tokens"), F.every("ok").alias("ok"))
         )
         saved = scratch.save(spliced)
         good = saved.filter("ok").select("id", "n_bytes", "n_tokens")
         done = good if done is None else done.unionByName(good)
-        failed = saved.filter("not ok")
+        failed = saved.filter("not ok").select("number")
         if failed.isEmpty():
+            scratch.drop(left)
             return done
+        again = scratch.save(left.join(failed, "number", "left_semi"))
+        scratch.drop(left)
+        left = again
         overlap *= WIDEN
 
 

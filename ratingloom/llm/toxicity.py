@@ -3,7 +3,8 @@
 The kernel compares two strings by the subsequences of ``ORDER`` letters that they share; an occurrence
 that spreads over ``span`` characters (``SPAN`` at most) counts ``DECAY ** (span - ORDER)``.  Letters that
 were put in, left out of a suffix or spread by dots and spaces therefore only weaken a match.  Words spelt
-letter by letter are also read closed up (``spread_words``), whatever the width of the gaps.
+letter by letter are also read closed up (``spread_words``), whatever the width of the gaps, and so are words
+that marks cut into pieces (``pieced_words``).
 
 Fitting (on the driver, on a bounded sample of labelled rows):
 
@@ -23,6 +24,7 @@ Fitting (on the driver, on a bounded sample of labelled rows):
 from __future__ import annotations
 
 import itertools
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, slices, small_batches
+from .common import Scratch, read_table, slices, small_batches
 
 ORDER = 4
 SPAN = 6
@@ -90,11 +92,22 @@ def spread_words(codes: np.ndarray) -> np.ndarray:
     return np.insert(out, np.repeat(before[1:][np.diff(words) > 1], WINDOW), 0)
 
 
+#: Three or more pieces of a word with nothing but marks between them ("id.io.t"); linear in the text.
+PIECED = re.compile(r"(?<![^\W_])[^\W_]++(?:(?:[^\w\s]|_)++[^\W_]++){2,}")
+MARKS = re.compile(r"[\W_]+")
+
+
+def pieced_words(text: str) -> np.ndarray:
+    """The symbols of words that marks cut into three pieces or more, closed up; symbols 0 between the words."""
+    return symbols((" " * WINDOW).join(MARKS.sub("", m.group()) for m in PIECED.finditer(text)))
+
+
 def streams(text: str) -> np.ndarray:
-    """The symbols of a text and, far enough behind them, those of its spread words closed up."""
+    """The symbols of a text and, far enough behind them, those of its spread and its pieced words closed up."""
     codes = np.concatenate([symbols(text[i : i + 1_000_000]) for i in range(0, len(text), 1_000_000)] or [symbols("")])
-    spread = spread_words(codes)
-    return np.concatenate([codes, np.zeros(2 * WINDOW + SPAN, np.uint8), spread]) if len(spread) else codes
+    gap = np.zeros(2 * WINDOW + SPAN, np.uint8)
+    more = [x for own in (spread_words(codes), pieced_words(text)) if len(own) for x in (gap, own)]
+    return np.concatenate([codes, *more]) if more else codes
 
 
 def starts(codes: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -197,7 +210,7 @@ def fit(texts: list[str], toxic: list[int], seed: int = 7) -> Model:
     for _ in range(ROUNDS):
         windows, positive = choose(codes, label, ~held, weight, rng)
         spread = gapped(windows[positive], rng)
-        weight, bias = machine(np.concatenate([windows, spread]), np.append(positive, np.ones(len(spread), bool)), rng)
+        weight, bias, _ = machine(np.concatenate([windows, spread]), np.append(positive, np.ones(len(spread), bool)), rng)
     model = Model(weight, bias, np.zeros(4))
     figures = np.array([model.figures(t) for t in texts])
     use = held if min((held & label).sum(), (held & ~label).sum()) >= 10 else np.ones(len(texts), bool)
@@ -257,8 +270,9 @@ def gapped(windows: np.ndarray, rng) -> np.ndarray:
     return out
 
 
-def machine(windows: np.ndarray, positive: np.ndarray, rng) -> tuple[np.ndarray, float]:
-    """The weight of every subsequence, and the bias, of a machine on Nystroem features."""
+def machine(windows: np.ndarray, positive: np.ndarray, rng) -> tuple[np.ndarray, float, tuple[np.ndarray, np.ndarray]]:
+    """The weight of every subsequence, and the bias, of a machine on Nystroem features; also its landmarks
+    and their coefficients."""
     half = LANDMARKS // 2
     pick = lambda of, n: rng.permutation(np.flatnonzero(of))[:n]
     landmark = np.unique(windows[np.concatenate([pick(positive, half), pick(~positive, half)])], axis=0)
@@ -284,7 +298,8 @@ def machine(windows: np.ndarray, positive: np.ndarray, rng) -> tuple[np.ndarray,
     y = np.where(positive, 1.0, -1.0)
     balance = np.where(positive, 0.5 / positive.mean(), 0.5 / (~positive).mean()) / len(y)
     w, b = squared_hinge(x, y, balance)
-    return np.append((table[:-1] @ (root @ w)), 0).astype(np.float32)[slot] * (slot < len(used)), b
+    alpha = root @ w
+    return np.append(table[:-1] @ alpha, 0).astype(np.float32)[slot] * (slot < len(used)), b, (landmark, alpha)
 
 
 def squared_hinge(x: np.ndarray, y: np.ndarray, share: np.ndarray, ridge: float = 1e-4, steps: int = 30) -> tuple[np.ndarray, float]:
@@ -332,10 +347,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     with both labels counts as toxic."""
     known = labels.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{label_col}`").cast("int").alias("label"))
     known = known.filter("id is not null and label is not null").filter(fold(F.col("id")) != 0).groupBy("id").agg(F.max("label").alias("label"))
-    order = F.xxhash64("id")
-    ids = known.filter("label = 1").orderBy(order, "id").limit(2 * sample).unionByName(known.filter("label = 0").orderBy(order, "id").limit(2 * sample))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).filter(F.length("text").between(1, LONGEST))
-    # at most 4 * sample rows of two numbers: a bounded broadcast
+    order = F.xxhash64("id")
+    # labels meet the documents first, by ids alone; then the sample is chosen, and its texts are fetched
+    usable = rows.select("id").distinct().join(known, "id")
+    first = lambda y: usable.filter(F.col("label") == y).orderBy(order, "id").limit(sample)
+    ids = Scratch(docs.sparkSession, "toxicity").save(first(1).unionByName(first(0)))
+    # at most 2 * sample rows of two numbers: a bounded broadcast
     found = rows.join(F.broadcast(ids), "id").select("id", "label", "text")
     take = lambda y: found.filter(F.col("label") == y).orderBy(order, "id", "text").limit(sample)
     return take(1).unionByName(take(0))

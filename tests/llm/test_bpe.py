@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ratingloom.llm import bpe as B
 from ratingloom.llm import token_counts as C
@@ -64,3 +65,23 @@ def test_counts(spark, texts, sizes):
     assert [r.n_tokens for r in got if r.doc_id is None] == [2, 2]
     assert all(r.over_limit == (r.n_tokens > 512) for r in got)
     assert C.count_tokens(docs.limit(0), **sizes).count() == 0
+
+
+def test_token_count_query(spark, small):
+    library = C.tokenizer(B.default_vocabulary())
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    for r in C.op8_token_counts(spark, small).collect():
+        n = len(library.encode(docs[r.doc_id] or "", add_special_tokens=False).ids)
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len((docs[r.doc_id] or "").encode()), n, n > 512)
+
+
+def test_huge_texts_behind_a_shuffle(spark):
+    """Texts of one id whose order changes between runs; some overlaps have no stable boundary."""
+    rng = random.Random(9)
+    texts = [" ".join("".join(rng.choice("abcé漢") for _ in range(rng.choice([3, 8, 400]))) for _ in range(120)) for _ in range(12)]
+    docs = spark.createDataFrame([(7, t) for t in texts], "doc_id long, text string").repartition(5, "text").orderBy(F.rand())
+    library = C.tokenizer(B.default_vocabulary())
+    got = C.count_tokens(docs, huge=100, chunk=300, overlap=20).collect()
+    want = sorted((len(t.encode()), len(library.encode(t, add_special_tokens=False).ids)) for t in texts)
+    assert sorted((r.n_bytes, r.n_tokens) for r in got) == want
+    assert C.count_tokens(docs.limit(0)).count() == 0

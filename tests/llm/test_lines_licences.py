@@ -56,3 +56,11 @@ def test_licences_by_hand(spark):
     got = {(r.doc_id, r.line, r.licence) for r in L.scan_licences(docs).collect()}
     assert got == want and len(got) >= len(L.TEMPLATES) + 2
     assert L.scan_licences(docs.limit(0)).count() == 0
+
+
+def test_lines_with_clashing_names(spark):
+    names = ["_id", "_print", "id", "print", "row", "cut", "_cut", "_lines", "_null", "_slot"]
+    rows = [(1, "a\nb\nc", *range(10)), (2, "x\na\nb\nc", *range(10)), (3, None, *range(10))]
+    got = D.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} int" for n in names)))
+    assert got.columns == ["doc_id", "text", *names, "n_lines", "n_removed"]
+    assert {(r.doc_id, r.text, r._id, r.cut) for r in got.collect()} == {(1, "a\nb\nc", 0, 5), (2, "x", 0, 5), (3, None, 0, 5)}

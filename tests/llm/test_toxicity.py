@@ -88,3 +88,40 @@ def test_spread_words_by_definition():
     assert show("so i.d.i-o  t you. I am a man") == ["soidiotyou"]
     assert show("a b cd, x y z") == ["cdxyz"] and show("a b") == show("") == show("plain words only") == []
     assert show("s t u pid and then more w o w") == ["stupid", "morewow"]
+
+
+def test_words_in_pieces(rows):
+    train = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    model = T.fit([r[1] for r in train], [r[2] for r in train])
+    assert model.scores(["you g.r.i.b.b.l.e.r", "you g r i b b l e r", "you gr.ib.bl.er", "fu_zz_wa_ck", "f*u*z*z*w*a*c*k"]).min() >= 0.5
+    cut = lambda w: ".".join(w[i : i + 2] for i in range(0, len(w), 2))
+    assert model.scores([f"the {cut(a)} and {b}" for a in CALM for b in CALM]).max() < 0.5
+    assert T.pieced_words("a.b.c x-y " + "z" * 300_000).tolist() == [1, 2, 3] and len(T.pieced_words("a.b")) == 0
+
+
+def test_folded_weights_are_the_landmark_sum(rows):
+    rng = T.np.random.default_rng(3)
+    codes, label = [T.symbols(t) for _, t, _ in rows[:200]], T.np.array([y for _, _, y in rows[:200]], bool)
+    weight = T.log_odds(codes, label)
+    windows, positive = T.choose(codes, label, T.np.ones(200, bool), weight, rng)
+    folded, _, (landmark, alpha) = T.machine(windows, positive, rng)
+
+    def values(window):
+        index, w = T.subsequences(window[None])
+        out = {}
+        for i, x in zip(index[0].tolist(), w[0].tolist()):
+            out[i] = out.get(i, 0) + x
+        return out
+
+    marks = [values(x) for x in landmark]
+    for window in windows[:40]:
+        own = values(window)
+        by_landmarks = sum(a * sum(x * m.get(i, 0) for i, x in own.items()) for a, m in zip(alpha, marks))
+        assert sum(x * float(folded[i]) for i, x in own.items()) == pytest.approx(by_landmarks, rel=1e-3, abs=1e-3)
+
+
+def test_sample_is_taken_from_labels_that_meet_documents(spark):
+    docs = spark.createDataFrame([(i, "some text") for i in range(40)], "doc_id long, text string")
+    labels = spark.range(60_000).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS toxic")
+    got = T.training_rows(docs, labels, sample=100).collect()
+    assert {r.id for r in got} == {i for i in range(40) if zlib.crc32(str(i).encode()) % 5}
