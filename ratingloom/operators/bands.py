@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratingloom.sources.shared import saved
+
 #: The five bands, from high to low.
 BANDS = (">2200", "2000-2200", "1800-2000", "1600-1800", "<1600")
 
@@ -52,29 +54,42 @@ def visibility(banded: DataFrame, chosen: str | None, band_col: str = "band", sh
     return banded.withColumn("visible", F.when(F.col(band_col) == chosen, "shown").otherwise("legendonly"))
 
 
-def overlay_members(rated: DataFrame, rating: str, overlays: DataFrame) -> DataFrame:
-    """Rows in each overlapping overlay (overlay, lo, hi; null for no bound): membership is by the rating
-    given, the latest in our queries.  The catalogue is a handful of rows, so it is broadcast."""
+def overlay_members(rated: DataFrame, rating: str, overlays: DataFrame, year: str | None = None) -> DataFrame:
+    """Rows in each overlapping overlay (overlay, since, lo, hi; null for no bound): membership is by the rating
+    given, the latest in our queries, and, for rows with a ``year``, by the overlay's window of years as well.
+    The catalogue is a handful of rows, so it is broadcast."""
     r = F.col(rating)
     inside = (F.col("lo").isNull() | (r >= F.col("lo"))) & (F.col("hi").isNull() | (r <= F.col("hi")))
+    if year is not None:
+        inside = inside & (F.col("since").isNull() | (F.col(year) >= F.col("since")))
     return rated.join(F.broadcast(overlays), inside)
 
 
 def palette_index(keys: DataFrame, key: str, size: int) -> DataFrame:
-    """Place of each distinct key in case-insensitive order, and that modulo the palette's size.
+    """Place of each distinct key in case-insensitive order, and that modulo the palette's size."""
+    place = F.col("place")
+    return places(keys.select(key).distinct(), [F.lower(key), F.col(key)]).select(key, place, (place % size).alias("colour_no"))
+
+
+def places(rows: DataFrame, order: list[Column]) -> DataFrame:
+    """``rows`` with ``place``, their number from 0 in the given order.
 
     The running number comes from ranges: each range is numbered by itself and shifted by the counts of
-    those before, so no task sees all keys.
+    those before, so no task sees all rows.  The ranges are saved, so that both uses see the same ones.
     """
-    ranged = keys.select(key).distinct().repartitionByRange(F.lower(key), F.col(key)).withColumn("_part", F.spark_partition_id())
-    own = F.row_number().over(Window.partitionBy("_part").orderBy(F.lower(key), key))
-    numbered = ranged.withColumn("_nr", own)
+    ranged = rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    numbered = saved(ranged.withColumn("_nr", F.row_number().over(Window.partitionBy("_part").orderBy(*order))), "places")
     counts = numbered.groupBy("_part").agg(F.max("_nr").alias("_n"))
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_part", "_before")
     place = (F.col("_before") + F.col("_nr") - 1).cast("long")
-    return numbered.join(F.broadcast(before), "_part").select(key, place.alias("place"), (place % size).alias("colour_no"))
+    return numbered.join(F.broadcast(before), "_part").withColumn("place", place).drop("_part", "_nr", "_before")
+
+
+def reader_order(key: str) -> list[Column]:
+    """Lower case under the Unicode collation, as a reader expects; ties by the key itself."""
+    return [F.collate(F.lower(key), "UNICODE"), F.col(key)]
 
 
 def collated(rows: DataFrame, key: str) -> DataFrame:
-    """Sort by lower case under the Unicode collation, as a reader expects; ties by the key itself."""
-    return rows.orderBy(F.collate(F.lower(key), "UNICODE"), key)
+    """Rows sorted in a reader's order."""
+    return rows.orderBy(*reader_order(key))

@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from ratingloom.functions.scalars import first_non_empty, opacity
 
 
+#: Attributes that are not parallel to the points, the one whose items are cut one by one, and what joins
+#: the keys of a selection's name.
+KEPT = ("colorscale",)
+TRANSFORMS = "transforms"
+JOINER = "<br />"
+
 # Filters ------------------------------------------------------------------------------------------
 
 
@@ -89,13 +95,15 @@ def subset(array: Column, index: Column) -> Column:
     return F.transform(index, lambda i: F.get(array, i))
 
 
-def subset_parallel(rows: DataFrame, index: str, keep: tuple[str, ...] = ("colorscale",)) -> DataFrame:
+def subset_parallel(rows: DataFrame, index: str, keep: tuple[str, ...] = KEPT) -> DataFrame:
     """Every array column cut by the index column; scalars, columns with a leading underscore and ``keep``
-    stay; structs are treated field by field."""
+    stay; structs are treated field by field, and so is each struct of an array named ``TRANSFORMS``."""
 
     def cut(c: Column, name: str, kind) -> Column:
         if name.startswith("_") or name in keep or name == index:
             return c
+        if name == TRANSFORMS and kind.typeName() == "array" and kind.elementType.typeName() == "struct":
+            return F.transform(c, lambda s: F.struct(*[cut(s[f.name], f.name, f.dataType).alias(f.name) for f in kind.elementType.fields]))
         if kind.typeName() == "array":
             return subset(c, F.col(index))
         if kind.typeName() == "struct":
@@ -105,22 +113,36 @@ def subset_parallel(rows: DataFrame, index: str, keep: tuple[str, ...] = ("color
     return rows.select(*[cut(F.col(f"`{f.name}`"), f.name, f.dataType).alias(f.name) for f in rows.schema.fields])
 
 
-def filter_traces(traces: DataFrame, chosen_set: str, needles: Column | None) -> DataFrame:
-    """No needles: all traces.  Else only keyed traces of the set, cut to their matching points."""
+def filter_traces(traces: DataFrame, chosen_set: str, needles: Column | None, kind: Column | None = None, nested: Column | None = None, flat: Column | None = None) -> DataFrame:
+    """No needles: all traces.  Else only keyed traces of the set, cut to their matching points.
+
+    ``kind`` says how a trace's key is matched: a flat key (also without ``kind``) point by point, a nested one
+    (``nested``) by its inner lists, and a simple one as a whole: the trace stays uncut, or goes.  ``flat`` is
+    ``key`` unless given.
+    """
     if needles is None:
         return traces
-    own = traces.filter((F.col("set") == chosen_set) & F.col("key").isNotNull())
-    hit = own.withColumn("_index", flat_matches(F.col("key"), needles)).filter(F.size("_index") > 0)
-    return subset_parallel(hit, "_index").drop("_index")
+    flat = F.col("key") if flat is None else flat
+    kind = F.lit("flat") if kind is None else kind
+    own = traces.filter((F.col("set") == chosen_set) & F.when(kind == "nested", (flat if nested is None else nested).isNotNull()).otherwise(flat.isNotNull()))
+    nested = F.transform(flat, lambda k: F.array(k)) if nested is None else nested
+    stays = (kind == "simple") & simple_match(flat, needles)
+    hit = own.withColumn("_index", matches(kind, flat, nested, needles)).withColumn("_whole", stays).filter((F.size("_index") > 0) | F.col("_whole"))
+    cut = subset_parallel(hit, "_index")
+    names = [c for c in traces.columns]
+    whole = hit.filter("_whole").select(*[F.col(f"`{c}`") for c in names])
+    return cut.filter("not _whole").select(*[F.col(f"`{c}`") for c in names]).unionByName(whole)
 
 
 # Joins and differences ----------------------------------------------------------------------------
 
 
 def key_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """key and change (removed or added) between two key tables, which must not repeat a key."""
-    both = old.select(key, F.lit(True).alias("_old")).join(new.select(key, F.lit(True).alias("_new")), key, "full_outer")
-    return both.filter(F.col("_old").isNull() | F.col("_new").isNull()).select(key, F.when(F.col("_new").isNull(), "removed").otherwise("added").alias("change"))
+    """key and change (removed or added) between two key tables; repeats count once, and null is a key."""
+    sides = [rows.select(F.col(key).alias("key")).distinct().withColumn("here", F.lit(True)).alias(name) for rows, name in ((old, "old"), (new, "new"))]
+    both = sides[0].join(sides[1], F.col("old.key").eqNullSafe(F.col("new.key")), "full_outer")
+    gone, fresh = F.col("new.here").isNull(), F.col("old.here").isNull()
+    return both.filter(gone | fresh).select(F.when(gone, F.col("old.key")).otherwise(F.col("new.key")).alias(key), F.when(gone, "removed").otherwise("added").alias("change"))
 
 
 def assert_unique(rows: DataFrame, key: str) -> None:
@@ -193,11 +215,11 @@ def selection_overlay(traces: DataFrame, selected: DataFrame, key: str, colour:
     return originals.unionByName(copies)
 
 
-def selected_copies(traces: DataFrame, id_col: str, chosen_set: str, needles: Column, colour: str) -> DataFrame:
+def selected_copies(traces: DataFrame, id_col: str, chosen_set: str, needles: Column, colour: str, kind: Column | None = None, nested: Column | None = None) -> DataFrame:
     """Copies of the set's matching traces, cut to their matches, in the selection's colour and with a link to
     the original; name and legend group default to the keys, joined."""
-    label = F.concat_ws("<br />", needles)
-    cut = filter_traces(traces.withColumn("_original", F.col(id_col)), chosen_set, needles)
+    label = F.concat_ws(JOINER, needles)
+    cut = filter_traces(traces.withColumn("_original", F.col(id_col)), chosen_set, needles, kind, nested)
     named = cut.withColumns({c: first_non_empty(F.col(c), label) for c in ("name", "legendgroup")})
     return named.withColumns({"colour": F.lit(colour), "opacity": opacity(F.col("opacity"))})
 

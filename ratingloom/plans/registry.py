@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ratingloom.functions import scalars as S
 from ratingloom.operators import audits, bands, linked, ratings, reshape
 from ratingloom.sources import pages as sources
+from ratingloom.sources.shared import new_path
 from ratingloom.streaming import feeds
 
 QUERIES: dict = {}
@@ -377,7 +378,8 @@ def stream_change(spark, sf_dir):
     return feeds.drain(feeds.changes(feed, "user_id", "ts", "event_id", "event_type")).select("event_id", "user_id", "old_value", "event_type")
 
 
-@query()
+# a burst comes out once the watermark, an hour behind the last event, has passed two hours after its end
+@query(SESSIONS.format(pick="arg_max") + " HAVING max(ts) + INTERVAL 3 HOUR <= (SELECT max(ts) FROM events)")
 def stream_debounce(spark, sf_dir):
     feed = feeds.read_feed(spark, sf_dir, "events")
     return feeds.drain(feeds.debounced(feed, "user_id", "ts", "event_id", "2 hours", "1 hour"))
@@ -396,3 +398,177 @@ def stream_closing(spark, sf_dir):
     games = feed.select("o_custkey", _period("o_orderdate").alias("period"), score.alias("score"), (1000.0 + F.pmod(F.col("o_orderkey"), F.lit(1000))).alias("opponent"))
     periods = table(spark, sf_dir, "orders").select("o_custkey", _period("o_orderdate").alias("period")).distinct().join(_openings(spark, sf_dir), "o_custkey")
     return feeds.drain(feeds.closings(games, periods, ["o_custkey", "period"], "score", "opponent", "opening", "k"), ["o_custkey", "period"])
+
+
+@query("SELECT event_id, user_id, old_value, kind FROM (SELECT *, lag(kind) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS old_value FROM (SELECT *, nullif(event_type, 'click') AS kind FROM events)) WHERE kind IS DISTINCT FROM old_value")
+def stream_change_nulls(spark, sf_dir):
+    feed = feeds.read_feed(spark, sf_dir, "events").withColumn("kind", F.nullif("event_type", F.lit("click")))
+    return feeds.drain(feeds.changes(feed, "user_id", "ts", "event_id", "kind")).select("event_id", "user_id", "old_value", "kind")
+
+
+# Pages, CSV and series written and read -----------------------------------------------------------
+
+#: What a page of orders says about an order, as it is rendered and as it is read back.
+ORDER_ROW_SQL = f"""orders_of AS (SELECT o_orderkey, o_custkey, o_orderdate, {PERIOD_SQL} AS period, o_orderkey % 11 = 0 AS bad_day, o_orderkey % 4 AS form, (o_orderkey % 9 + 1)::INTEGER AS round_no, o_orderkey % 13 = 0 AS unscored,
+  CASE o_orderstatus WHEN 'F' THEN 1.0::DOUBLE WHEN 'P' THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS score, (1000 + o_orderkey % 1000)::INTEGER AS opp, floor(o_totalprice / 100)::INTEGER AS total FROM orders)"""
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page a customer: headings of periods, tables of orders, and a chart, as rating pages have them."""
+    games = _order_games(spark, sf_dir).join(table(spark, sf_dir, "orders").select("o_orderkey", F.floor(F.col("o_totalprice") / 100).cast("int").alias("total")), "o_orderkey")
+    games = games.join(_openings(spark, sf_dir), "o_custkey")
+    key, text = F.col("o_orderkey"), lambda c: c.cast("string")
+    round_no = text(key % 9 + 1)
+    event = F.when(key % 4 == 0, F.concat(F.lit("League - Rd "), round_no)).when(key % 4 == 1, F.concat(F.lit("League Rd "), round_no)).when(key % 4 == 2, F.concat(F.lit("LeagueRd"), round_no)).otherwise("League")
+    score = F.when(key % 13 == 0, "NA").when(F.col("score") == 1, "1").when(F.col("score") == 0.5, "0.5").otherwise("0")
+    day = F.when(key % 11 == 0, "91/07/2022").otherwise(F.date_format("o_orderdate", "dd/MM/yyyy"))
+    cells = [day, event, F.concat(F.lit("\tPlayer  "), text(key % 1000)), score, F.when(key % 13 == 0, "NA").otherwise(text(F.col("opponent").cast("int"))), text(F.col("total"))]
+    row = F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), c, F.lit("</td>")) for c in cells], F.lit("\n"))
+    year, part = F.substring("period", 1, 4), F.substring("period", 6, 1)
+    name = F.concat(year, F.when(F.col("o_custkey") % 2 == 0, " - Part ").otherwise(" Part "), part)
+    head = F.concat(F.lit("<h3>"), name, F.lit(" /// "), F.when(part == "1", "E").otherwise("W"), F.lit("1 = "), text(F.col("opening")), F.lit(" /// k = "), text(F.col("k")), F.lit("</h3>\n<table>\n"))
+    point = F.concat(F.when(key % 2 == 0, "[''").otherwise("["), F.lit(","), F.when(part == "1", text(F.col("total"))).otherwise("null"), F.lit(", "), F.when(part == "2", text(F.col("total"))).otherwise("null"), F.lit("],\n"))
+    listed = games.select("o_custkey", "period", head.alias("head"), F.struct("o_orderdate", "o_orderkey", row.alias("row"), point.alias("point")).alias("x"))
+    joined = lambda a, field: F.array_join(F.transform(a, lambda x: x[field]), "")
+    periods = listed.groupBy("o_custkey", "period", "head").agg(F.array_sort(F.collect_list("x")).alias("x"))
+    table_of = F.concat("head", joined("x", "row"), F.lit("</table>\n"))
+    whole = periods.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("period", table_of.alias("table"), joined("x", "point").alias("points")))).alias("p"))
+    html = F.concat(F.lit("<script>data([ ['Game', 'Part 1', 'Part 2'],\n"), joined("p", "points"), F.lit("]);</script>\n"), joined("p", "table"))
+    return whole.select(text(F.col("o_custkey")).alias("page"), html.alias("html"))
+
+
+@query(f"""WITH {ORDER_ROW_SQL}
+SELECT o_custkey::VARCHAR AS player, period, row_number() OVER (PARTITION BY o_custkey, period ORDER BY o_orderdate, o_orderkey)::INTEGER AS pos, CASE WHEN NOT bad_day THEN o_orderdate::DATE END AS date, 'League' AS event, CASE WHEN form < 3 THEN round_no END AS round,
+       'Player ' || (o_orderkey % 1000)::VARCHAR AS opponent, CASE WHEN NOT unscored THEN score END AS result, CASE WHEN NOT unscored THEN opp END AS opp_rating, total AS new_rating FROM orders_of WHERE o_custkey IN (SELECT c_custkey FROM customer)""")
+def page_ledger(spark, sf_dir):
+    found = sources.extract_ledger(_pages(spark, sf_dir))
+    return found.select("player", "period", "pos", "date", "event", "round", "opponent", F.col("result").cast("double").alias("result"), "opp_rating", "new_rating")
+
+
+@query(f"WITH {ORDER_GAMES} SELECT DISTINCT o_custkey::VARCHAR AS player, period, CASE WHEN period LIKE '%P1' THEN 'E' ELSE 'W' END AS list_type, opening, k FROM games JOIN factors USING (o_custkey)")
+def page_periods(spark, sf_dir):
+    return sources.extract_periods(_pages(spark, sf_dir)).select("player", "period", "list_type", "opening", "k")
+
+
+@query(f"""WITH {ORDER_ROW_SQL}, numbered AS (SELECT *, (row_number() OVER (PARTITION BY o_custkey ORDER BY period, o_orderdate, o_orderkey) - 1)::INTEGER AS idx FROM orders_of WHERE o_custkey IN (SELECT c_custkey FROM customer))
+SELECT o_custkey::VARCHAR AS player, idx, col::INTEGER AS col, CASE WHEN right(period, 1) = (col + 1)::VARCHAR THEN total END AS value FROM numbered, range(2) t(col)""")
+def page_chart(spark, sf_dir):
+    return sources.extract_chart(_pages(spark, sf_dir))
+
+
+@query("""SELECT o_custkey::VARCHAR AS name, CASE WHEN o_orderkey % 17 > 0 THEN o_orderdate::DATE END AS date, CASE WHEN o_orderkey % 10 = 0 THEN 0.0::DOUBLE WHEN o_orderkey % 10 = 1 THEN 'nan'::DOUBLE ELSE o_totalprice END AS elo_smooth,
+  row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS src_pos FROM orders""")
+def points_from_csv(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    value = F.when(key % 20 == 0, "").when(key % 20 == 10, " ").when(key % 10 == 1, "junk").otherwise(F.col("o_totalprice").cast("string"))
+    day = F.when(key % 17 > 0, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise("bad")
+    path = new_path(spark, "points")
+    dealt = o.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey")
+    dealt.select(F.col("o_custkey").alias("Name"), day.alias("Date"), value.alias("ELO_smooth")).write.csv(path, header=True)
+    return sources.read_points(spark, path)
+
+
+@query("""SELECT user_id, count(*)::INTEGER AS n, md5(string_agg(event_id::VARCHAR, ',' ORDER BY ts, event_id)) AS order_md5 FROM events GROUP BY user_id""")
+def series_written(spark, sf_dir):
+    whole = reshape.series(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], {"ids": "event_id", "kinds": "event_type"})
+    path = new_path(spark, "series")
+    reshape.write_series(whole, path, "json")
+    ids = F.transform("ids", lambda i: i.cast("string"))
+    return spark.read.schema(whole.schema).json(path).select("user_id", F.size("ids").alias("n"), F.md5(F.array_join(ids, ",")).alias("order_md5"))
+
+
+# The rest of the linked views, bands and audits ---------------------------------------------------
+
+
+@query(f"SELECT o_custkey, 'legendonly' AS hidden, 'shown' AS shown FROM ({RATED_SQL})")
+def show_all(spark, sf_dir):
+    hidden = bands.visibility(band_assign(spark, sf_dir), None, show_all=False).withColumnRenamed("visible", "hidden")
+    return bands.visibility(hidden, None, show_all=True).select("o_custkey", "hidden", F.col("visible").alias("shown"))
+
+
+@query(f"""WITH o(overlay, since, lo, hi) AS (VALUES {_values(bands.OVERLAYS)}), r AS ({RATED_SQL})
+SELECT overlay, count(*) AS n_points, count(DISTINCT o_custkey) AS n_members, min(year(o_orderdate) + 25)::INTEGER AS first_year FROM orders JOIN r USING (o_custkey) JOIN o ON (lo IS NULL OR rating >= lo) AND (hi IS NULL OR rating <= hi) AND year(o_orderdate) + 25 >= since GROUP BY overlay""")
+def overlay_windows(spark, sf_dir):
+    overlays = spark.createDataFrame(bands.OVERLAYS, "overlay string, since int, lo int, hi int")
+    points = table(spark, sf_dir, "orders").select("o_custkey", (F.year("o_orderdate") + 25).alias("year")).join(_rated(spark, sf_dir), "o_custkey")
+    return bands.overlay_members(points, "rating", overlays, "year").groupBy("overlay").agg(F.count(F.lit(1)).alias("n_points"), F.count_distinct("o_custkey").alias("n_members"), F.min("year").alias("first_year"))
+
+
+@query("SELECT c_custkey, row_number() OVER (ORDER BY lower(c_name), c_name) - 1 AS place FROM customer")
+def collated_places(spark, sf_dir):
+    return bands.places(table(spark, sf_dir, "customer"), bands.reader_order("c_name")).select("c_custkey", "place")
+
+
+@query("SELECT l_orderkey, l_partkey, l_suppkey FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_brand IN ('Brand#11', 'Brand#23', 'Brand#34'))")
+def apply_keys(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
+    return linked.apply_keys(lines, group_keys(spark, sf_dir), "l_partkey").select("l_orderkey", "l_partkey", "l_suppkey")
+
+
+LISTED = """k AS (SELECT l_orderkey, list(l_partkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS p, list(l_suppkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS s, list(l_linenumber ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS n FROM lineitem GROUP BY 1)"""
+
+
+@query(f"""WITH {LISTED} SELECT l_orderkey, array_to_string([x for x in s if NOT list_contains(p, x)], ',') AS fresh, array_to_string(list_sort(list_distinct(list_concat(p, s))), ',') AS appended, array_to_string(list_concat(p, s), ',') AS flat,
+  CASE WHEN l_orderkey % 2 = 0 THEN array_to_string(flatten([[p[i], s[i]] for i in range(1, len(p) + 1)]), ',') ELSE p[1]::VARCHAR || ',' || s[1]::VARCHAR END AS of_point, s[1]::VARCHAR AS of_pair, p[1]::VARCHAR || coalesce(',' || p[3]::VARCHAR, '') AS of_list FROM k""")
+def array_edits(spark, sf_dir):
+    k = _order_keys(spark, sf_dir)
+    text = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+    nested = F.zip_with("part", "supp", lambda p, s: F.array(p.cast("string"), s.cast("string")))
+    kind = F.when(F.col("l_orderkey") % 2 == 0, "simple").otherwise("nested")
+    zero = F.lit(0)
+    return k.select(
+        "l_orderkey", text(linked.only_new(F.col("part"), F.col("supp"))).alias("fresh"), text(F.array_sort(linked.append_absent(F.col("part"), F.col("supp")))).alias("appended"), text(F.flatten(F.array("part", "supp"))).alias("flat"),
+        F.array_join(linked.point_keys(kind, nested, zero), ",").alias("of_point"), linked.point_keys_at_pair(nested, zero, F.lit(1)).alias("of_pair"), text(linked.point_keys_at_list(F.col("part"), F.array(zero, F.lit(2)))).alias("of_list"),
+    )
+
+
+@query(f"""WITH {LISTED}, h AS (SELECT *, l_orderkey % 3 AS kind, [i for i in range(1, len(p) + 1) if p[i] < 400] AS flat, [i for i in range(1, len(p) + 1) if p[i] < 400 AND s[i] < 400] AS nested, len([x for x in p if x >= 400]) = 0 AS every FROM k),
+i AS (SELECT *, CASE kind WHEN 0 THEN nested WHEN 1 THEN CASE WHEN every THEN range(1, len(p) + 1) ELSE [] END ELSE flat END AS hit FROM h)
+SELECT l_orderkey, array_to_string([p[j] for j in hit], ',') AS parts, array_to_string([n[j] for j in hit], ',') AS inner_lines, array_to_string([s[j] for j in hit], ',') AS inner_supps, array_to_string(n, ',') AS scale FROM i WHERE len(hit) > 0""")
+def traces_by_kind(spark, sf_dir):
+    k = _order_keys(spark, sf_dir)
+    nested = F.zip_with("part", "supp", lambda p, s: F.array(p, s))
+    kind = F.when(F.col("l_orderkey") % 3 == 0, "nested").when(F.col("l_orderkey") % 3 == 1, "simple").otherwise("flat")
+    traces = k.select("l_orderkey", "part", F.col("part").alias("key"), nested.alias("_nested"), kind.alias("kind"), F.lit("parts").alias("set"), F.col("line").alias("colorscale"), F.struct("line", F.lit(1).alias("width")).alias("marker"), F.array(F.struct("supp")).alias("transforms"))
+    needles = F.sequence(F.lit(0).cast("long"), F.lit(399).cast("long"))
+    cut = linked.filter_traces(traces, "parts", needles, F.col("kind"), F.col("_nested"))
+    text = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+    return cut.select("l_orderkey", text("part").alias("parts"), text("marker.line").alias("inner_lines"), text(F.get("transforms", F.lit(0))["supp"]).alias("inner_supps"), text("colorscale").alias("scale"))
+
+
+@query("""SELECT event_id, d AS difference FROM (SELECT event_id, (2 - event_id % 5)::BIGINT AS d FROM events) WHERE abs(d) > 1""")
+def audit_ratings(spark, sf_dir):
+    rated = rating_running(spark, sf_dir).withColumn("published", F.col("new_rating") + F.col("event_id") % 5 - 2)
+    return audits.rating_differences(rated, "new_rating", "published").select("event_id", "difference")
+
+
+@query(f"WITH {CLOSED} SELECT o_custkey, period, opening, previous_closing FROM (SELECT *, lag(closing) OVER (PARTITION BY o_custkey ORDER BY period) AS previous_closing FROM closed) WHERE previous_closing <> opening")
+def audit_openings(spark, sf_dir):
+    return audits.opening_breaks(rating_closing(spark, sf_dir), "o_custkey", "period", "opening", "closing").select("o_custkey", "period", "opening", "previous_closing")
+
+
+@query(f"""WITH {ORDER_GAMES}, listed AS (SELECT DISTINCT o_custkey, period, opening FROM games JOIN openings USING (o_custkey)),
+met AS (SELECT o_orderkey, period, o_orderkey % 97 + 1 AS opponent, 1500 + o_orderkey % 40 AS opp_rating FROM games)
+SELECT o_orderkey, opening AS listed FROM met m JOIN listed l ON l.o_custkey = m.opponent AND l.period = m.period WHERE opening <> opp_rating""")
+def audit_lists(spark, sf_dir):
+    games = _order_games(spark, sf_dir)
+    met = games.select("o_orderkey", "period", (F.col("o_orderkey") % 97 + 1).alias("opponent"), (1500 + F.col("o_orderkey") % 40).alias("opp_rating"))
+    periods = games.select("o_custkey", "period").distinct().join(_openings(spark, sf_dir), "o_custkey").select(F.col("o_custkey").alias("player"), "period", "opening")
+    return audits.list_mismatches(met, periods).select("o_orderkey", "listed")
+
+
+@query("""WITH d AS (SELECT *, CASE WHEN o_orderkey % 11 > 0 THEN o_orderdate::DATE END AS day FROM orders), a AS (SELECT *, lag(day) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS above FROM d),
+f AS (SELECT o_orderkey, CASE WHEN day IS NULL THEN 'unparsable' WHEN day NOT BETWEEN DATE '1993-01-01' AND DATE '1997-12-31' THEN 'outside' WHEN day < above THEN 'out of order' END AS fault FROM a) SELECT * FROM f WHERE fault IS NOT NULL""")
+def audit_dates(spark, sf_dir):
+    raw = F.when(F.col("o_orderkey") % 11 > 0, F.date_format("o_orderdate", "dd/MM/yyyy")).otherwise("91/07/2022")
+    bound = lambda d: F.lit(d).cast("date")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", raw.alias("raw"), S.day_first_date(raw).alias("day"), bound("1993-01-01").alias("first"), bound("1997-12-31").alias("last"))
+    return audits.date_faults(o, "o_custkey", "o_orderkey", "raw", "day", "first", "last").select("o_orderkey", "fault")
+
+
+@query(f"""WITH {INDEXED} SELECT o_custkey, idx, o_totalprice AS in_ledger, CASE WHEN idx % 10 > 0 THEN o_totalprice + 1 END AS in_chart FROM indexed WHERE idx % 10 = 0 OR idx % 7 = 0""")
+def audit_chart(spark, sf_dir):
+    ledger = reshape.game_index(table(spark, sf_dir, "orders"), "o_custkey", ["o_orderdate", "o_orderkey"]).select("o_custkey", "idx", "o_totalprice")
+    chart = ledger.filter("idx % 10 > 0").withColumn("o_totalprice", F.when(F.col("idx") % 7 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    return audits.chart_differences(ledger, chart, ["o_custkey", "idx"], "o_totalprice")

@@ -12,12 +12,16 @@ ROW = r"(?is)<td[^>]*>(.*?)</td>"
 
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:
-    """name, date, elo_smooth, src_pos of a CSV of Name, Date, ELO_smooth.  Position is by (date, name, text),
-    as a split file has no order of its own."""
+    """name, date, elo_smooth, src_pos of a CSV of Name, Date, ELO_smooth.
+
+    Position counts a name's rows in the order of the file: by file, by where the part of it that a task reads
+    begins, and by the running number within the task, which follows the part.
+    """
     rows = spark.read.schema("Name string, Date string, ELO_smooth string").option("mode", "FAILFAST").csv(path, header=True)
-    typed = rows.select(F.col("Name").alias("name"), F.try_to_date(F.col("Date"), "yyyy-MM-dd").alias("date"), to_number(F.col("ELO_smooth")).alias("elo_smooth"))
-    order = Window.partitionBy("name").orderBy(F.col("date").asc_nulls_first(), "elo_smooth")
-    return typed.withColumn("src_pos", F.row_number().over(order).cast("long"))
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("nr")]
+    typed = rows.select(F.col("Name").alias("name"), F.try_to_date(F.col("Date"), "yyyy-MM-dd").alias("date"), to_number(F.coalesce("ELO_smooth", F.lit(""))).alias("elo_smooth"), *place)
+    order = Window.partitionBy("name").orderBy("file", "block", "nr")
+    return typed.select("name", "date", "elo_smooth", F.row_number().over(order).cast("long").alias("src_pos"))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,17 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState
 
 from ratingloom.operators.ratings import DELTA, delta
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or one beside the warehouse if unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared").rstrip("/")
+from ratingloom.sources.shared import is_folder, new_path
 
 
 def read_feed(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of a folder as a file stream; local timestamps become instants, as watermarks need them."""
-    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-    single = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    """A table of a folder, one file or a folder of files, as a file stream; local timestamps become instants,
+    as watermarks need them."""
+    path = f"{folder}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
+    reader = spark.readStream.schema(schema)
+    single = reader.parquet(path) if is_folder(spark, path) else reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
     return single.select(*[F.col(f.name).cast("timestamp").alias(f.name) if f.dataType.typeName() == "timestamp_ntz" else F.col(f.name) for f in schema])
 
 
@@ -39,8 +37,7 @@ def changes(feed: DataFrame, key: str, ts: str, id_col: str, value: str) -> Data
             if new != last:
                 out.append((key_[0], id, last, new))
                 last = new
-        if last is not None:
-            state.update((last,))
+        state.update((last,))  # a null as well: it is the value that the next event is compared with
         yield pd.DataFrame(out, columns=["key", "id", "old_value", "value"])
 
     found = own.groupBy("key").applyInPandasWithState(step, f"key {kind}, id long, old_value string, value string", "value string", "append", "NoTimeout")
@@ -69,7 +66,7 @@ def closings(games: DataFrame, periods: DataFrame, keys: list[str], score: str,
 def drain(stream: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Run a stream over what is there and return its rows, from Parquet in the shared folder.  With ``keys``
     the stream updates rows, and each key's last update is returned."""
-    root = f"{shared_dir(stream.sparkSession)}/feed-{uuid.uuid4().hex}"
+    root = new_path(stream.sparkSession, "feed")
     writer = stream.writeStream.option("checkpointLocation", f"{root}/state").trigger(availableNow=True)
     if keys is None:
         query = writer.outputMode("append").format("parquet").option("path", f"{root}/rows").start()

@@ -51,7 +51,7 @@ def test_links(page):
 def test_points(spark, tmp_path):
     (tmp_path / "p.csv").write_text("Name,Date,ELO_smooth\nb,2022-01-02,1500.5\nb,2022-01-01, \na,bad,x\n")
     got = [(r.name, str(r.date), str(r.elo_smooth), r.src_pos) for r in pages.read_points(spark, str(tmp_path / "p.csv")).orderBy("name", "src_pos").collect()]
-    assert got == [("a", "None", "nan", 1), ("b", "2022-01-01", "0.0", 1), ("b", "2022-01-02", "1500.5", 2)]
+    assert got == [("a", "None", "nan", 1), ("b", "2022-01-02", "1500.5", 1), ("b", "2022-01-01", "0.0", 2)]
 
 
 def test_scalars(spark):
