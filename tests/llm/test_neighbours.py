@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from ratingloom.llm import neighbours as N
 
@@ -10,7 +11,9 @@ def exact(rows, k=5):
     return {int(ids[q]): sorted((-float(s), int(i)) for i, s in zip(ids, u @ u[q]) if i != ids[q])[:k] for q in np.flatnonzero(ids % 50 == 0)}
 
 
-def test_recall_and_scores(spark, small):
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.1"])
+def test_recall_and_scores(spark, small, size):
+    small = small.replace("sf0.001", size)
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{small}/embeddings.parquet").collect()]
     want = exact(rows)
     got = {}
