@@ -1,6 +1,7 @@
 """Against plain Python, and against the queries' SQL."""
 
 import random
+import re
 
 import duckdb
 import pytest
@@ -44,17 +45,23 @@ def test_lines_by_hand(spark):
 def test_licences_by_hand(spark):
     lines = [*L.TEMPLATES.values(), "RELEASED under -- the MIT license", "released under the mitt license", "", "licensed", "nothing of the kind, under the sun", "Licensed under CC BY 4.1."]
     rows = [(i, t) for i, t in enumerate(lines)] + [(100, "first\n" + lines[1] + "\nlast"), (101, None), (None, lines[15])]
+    header = L.PARAGRAPHS["GPL-3.0-Header"].split()
+    wrapped = "\n".join(" * " + " ".join(header[i : i + 8]) for i in range(0, len(header), 8))
+    whole = "\n\n".join(L.PARAGRAPHS[n] for n in ("MIT-Permission", "MIT-Notice", "MIT-Disclaimer"))
+    rows += [(102, f"/* a file\n\n{wrapped}\n \n\n code */"), (103, wrapped), (104, whole)]
     want = set()
     for i, t in rows:
-        parts = (t or "").split("\n")
-        for k, u in [(0, t or "")] * (len(parts) > 1) + list(enumerate(parts, 1)):
+        lines, parts = (t or "").split("\n"), re.split(L.BLANK, t or "")
+        units = [("text", 0, t or "")] * (len(lines) > 1) + [("line", k, u) for k, u in enumerate(lines, 1)] + [("paragraph", k, u) for k, u in enumerate(parts, 1) if len(parts) > 1 and "\n" in u]
+        for kind, k, u in units:
             own = set(L.template_bigrams(u))
             scored = sorted((-2 * len(own & set(b)) / (len(own) + len(b)), name) for name, b in ((n, L.template_bigrams(x)) for n, x in L.TEMPLATES.items())) if own else []
             if scored and -scored[0][0] >= L.THRESHOLD:
-                want.add((i, k, scored[0][1]))
-    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, line string")
-    got = {(r.doc_id, r.line, r.licence) for r in L.scan_licences(docs).collect()}
+                want.add((i, kind, k, scored[0][1]))
+    docs = spark.createDataFrame([(i, t, "x", 0) for i, t in rows], "doc_id long, text string, line string, id int")
+    got = {(r.doc_id, r.unit, r.line, r.licence) for r in L.scan_licences(docs).collect()}
     assert got == want and len(got) >= len(L.TEMPLATES) + 2
+    assert {(102, "paragraph", 2, "GPL-3.0-Header"), (103, "text", 0, "GPL-3.0-Header"), (104, "line", 3, "MIT-Notice")} <= got
     assert L.scan_licences(docs.limit(0)).count() == 0
 
 
