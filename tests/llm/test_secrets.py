@@ -5,6 +5,7 @@ import bz2
 import gzip
 import hashlib
 import lzma
+import random
 import re
 import urllib.parse
 import zlib
@@ -114,3 +115,49 @@ def test_streams_whole(monkeypatch):
 def test_guard_marks_rows(spark, monkeypatch):
     docs = spark.createDataFrame([(1, KEY), (2, None)], "doc_id long, text string")
     assert [r.cut for r in S.scan_secrets(docs).collect()] == [False, False]
+
+
+def test_random_nestings_of_repeated_runs():
+    """Every occurrence of a key wrapped at random is found within its own run, and a plain unwrapper agrees."""
+    rng = random.Random(12)
+    wraps = {
+        "base64": (lambda b: base64.b64encode(b), base64.b64decode),
+        "gzip": (lambda b: base64.b64encode(gzip.compress(b, mtime=0)), lambda b: gzip.decompress(base64.b64decode(b))),
+        "bz2": (lambda b: base64.b64encode(bz2.compress(b)), lambda b: bz2.decompress(base64.b64decode(b))),
+        "percent": (lambda b: "".join(f"%{x:02X}" for x in b).encode(), lambda b: urllib.parse.unquote_to_bytes(b.decode())),
+        "unicode": (lambda b: "".join(f"\\u{x:04x}" for x in b).encode(), lambda b: b.decode("unicode_escape").encode("latin-1")),
+    }
+
+    def unwrapped(run, names):
+        for name in reversed(names):
+            run = wraps[name][1](run)
+        return run
+
+    for _ in range(120):
+        names = [rng.choice(list(wraps)) for _ in range(rng.randint(1, 4))]
+        run = KEY.encode()
+        for name in names:
+            run = wraps[name][0](run)
+        if len(run) > 60_000:
+            continue
+        assert unwrapped(run, names) == KEY.encode()
+        run, fill = run.decode(), lambda: " ".join(rng.choice(["some", "plain", "é", "漢", "words"]) for _ in range(rng.randint(1, 9)))
+        text, places = fill(), []
+        for _ in range(rng.randint(1, 3)):
+            text += " "
+            places.append((len(text), len(text) + len(run)))
+            text += run + " " + fill()
+        spans = S.all_spans(text)[1]
+        for first, last in places:
+            assert any(kind == 0 and first <= start < end <= last for start, kind, end in spans), names
+
+
+def test_bomb_in_bounded_memory():
+    import tracemalloc
+
+    bomb = base64.b64encode(gzip.compress(b"\0" * (64 << 20) + b" " + KEY.encode(), mtime=0)).decode()
+    tracemalloc.start()
+    spans = S.all_spans(bomb)[1]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert any(kind == 0 for _, kind, _ in spans) and peak < 300 << 20
