@@ -40,13 +40,22 @@ def distinct_keys(points: DataFrame, key: str) -> DataFrame:
 
 def band_members(banded: DataFrame, name: str, band_col: str = "band") -> DataFrame:
     """Each band, empty ones too, with its members in case-insensitive order.  One array a band is the
-    feature; only names are collected."""
+    feature; only names are collected.  ``band_places`` gives the same lists as rows, for bands of any size."""
     bands = banded.sparkSession.createDataFrame([(i, b) for i, b in enumerate(BANDS)], "band_no int, band string")
     sorted_names = F.array_sort(F.collect_list(F.struct(F.lower(name).alias("k"), F.col(name).alias("n"))))
     members = banded.groupBy(F.col(band_col).alias("band")).agg(F.transform(sorted_names, lambda x: x["n"]).alias("members"))
     return F.broadcast(bands).join(members, "band", "left").select("band_no", "band", F.coalesce("members", F.array().cast("array<string>")).alias("members"))
 
 
+def band_places(banded: DataFrame, name: str, band_col: str = "band") -> DataFrame:
+    """Each member's place, from 0, in its band's case-insensitive order: rows in place of ``band_members``'
+    arrays, numbered by ranges, so that no row and no task holds a band."""
+    own = banded.select(F.col(band_col).alias("band"), F.col(name).alias("member"))
+    numbered = places(own, [F.col("band"), F.lower("member"), F.col("member")])
+    first = numbered.groupBy("band").agg(F.min("place").alias("_first"))  # a row a band
+    return numbered.join(F.broadcast(first), "band").select("band", "member", (F.col("place") - F.col("_first")).alias("place"))
+
+
 def visibility(banded: DataFrame, chosen: str | None, band_col: str = "band", show_all: bool | None = None) -> DataFrame:
     """Add ``visible``: shown for members of the chosen band, legendonly for the rest; or all alike."""
     if show_all is not None:

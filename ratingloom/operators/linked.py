@@ -157,12 +157,21 @@ def only_new(old: Column, new: Column) -> Column:
     return F.filter(new, lambda x: ~F.coalesce(F.array_contains(old, x), F.lit(False)))
 
 
-def expand_legend(traces: DataFrame, id_col: str, group: str) -> DataFrame:
-    """(id, member): all traces of a trace's legend group; itself without one."""
-    own = traces.filter(F.col(group).isNotNull())
-    members = own.select(F.col(group), F.col(id_col).alias("member"))
-    alone = traces.filter(F.col(group).isNull()).select(id_col, F.col(id_col).alias("member"))
-    return own.select(id_col, group).join(members, group).select(id_col, "member").unionByName(alone)
+def expand_legend(traces: DataFrame, chosen: DataFrame, id_col: str, group: str) -> DataFrame:
+    """The traces of the chosen ones' legend groups, each once; a chosen trace without a group is alone in it."""
+    picked = traces.join(chosen.select(id_col).distinct(), id_col, "left_semi")
+    groups = picked.filter(F.col(group).isNotNull()).select(group).distinct()
+    alone = picked.filter(F.col(group).isNull()).select(id_col).distinct()
+    return traces.join(groups, group, "left_semi").select(id_col).distinct().unionByName(alone)
+
+
+def legend_sizes(traces: DataFrame, id_col: str, group: str) -> DataFrame:
+    """Each trace with the number, the least and the greatest of its legend group's traces: a row a group, counted
+    before the shuffle, goes to the traces instead of all pairs of a group."""
+    own = traces.filter(F.col(group).isNotNull()).select(id_col, group)
+    sizes = own.groupBy(group).agg(F.count(F.lit(1)).alias("n_members"), F.min(id_col).alias("least"), F.max(id_col).alias("greatest"))
+    alone = traces.filter(F.col(group).isNull()).select(id_col, F.lit(1).cast("long").alias("n_members"), F.col(id_col).alias("least"), F.col(id_col).alias("greatest"))
+    return own.join(sizes, group).select(id_col, "n_members", "least", "greatest").unionByName(alone)
 
 
 # Selections ---------------------------------------------------------------------------------------

@@ -58,16 +58,19 @@ def with_adjustments(closings: DataFrame, adjustments: DataFrame, keys: list[str
 def chained_closing(games: DataFrame, player: str, period: str, score: str, opponent: str, opening: str, k: str) -> DataFrame:
     """Closings recomputed period by period, each being the next opening.
 
-    A recurrence over a player's periods: they are folded inside one row, so a player's games have to fit in
-    a row (thousands, not millions).  Players go in parallel.
+    A recurrence over a player's periods, folded inside one row.  A period's games are first counted by score
+    and opponent's rating, before the shuffle, so a row holds a period's different pairings, however many games
+    they stand for.  Unscored games change nothing.  Players go in parallel.
     """
-    games = games.withColumn("_game", F.struct(F.col(score).cast("double").alias("s"), F.col(opponent).cast("double").alias("o")))
-    periods = games.groupBy(player, period).agg(F.collect_list("_game").alias("g"), F.max(opening).alias("start"), F.max(k).cast("double").alias("k"))
+    pairing = games.groupBy(player, period, F.col(score).cast("double").alias("_s"), F.col(opponent).cast("double").alias("_o"))
+    counted = pairing.agg(F.count(F.lit(1)).cast("decimal(18,0)").alias("_n"), F.max(opening).alias("_start"), F.max(k).cast("double").alias("_k"))
+    game = F.struct(F.col("_s").alias("s"), F.col("_o").alias("o"), F.col("_n").alias("n"))
+    periods = counted.groupBy(player, period).agg(F.collect_list(game).alias("g"), F.max("_start").alias("start"), F.max("_k").alias("k"))
     whole = periods.groupBy(player).agg(F.array_sort(F.collect_list(F.struct(F.col(period).alias("p"), "g", "k"))).alias("periods"), F.max("start").cast("double").alias("start"))
     zero = F.lit(0).cast(DELTA)
 
     def close(own: Column, x: Column) -> Column:
-        total = F.aggregate(x["g"], zero, lambda t, g: (t + delta(g["s"], own, g["o"], x["k"])).cast(DELTA))
+        total = F.aggregate(x["g"], zero, lambda t, g: (t + F.coalesce(delta(g["s"], own, g["o"], x["k"]), zero) * g["n"]).cast(DELTA))
         return F.floor(own + total.cast("double") + 0.5).cast("double")
 
     seed = F.struct(F.col("start").alias("own"), F.array().cast("array<struct<p:string,opening:double,closing:double>>").alias("rows"))

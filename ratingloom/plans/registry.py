@@ -133,6 +133,12 @@ def band_members(spark, sf_dir):
     return bands.band_members(named, "c_name").select("band_no", "band", F.size("members").alias("n_members"), F.array_join("members", ",").alias("names"))
 
 
+@query(f"SELECT band, c_name AS member, row_number() OVER (PARTITION BY band ORDER BY lower(c_name), c_name) - 1 AS place FROM (SELECT {BAND_SQL.format(r='rating')} AS band, c_name FROM ({RATED_SQL}) JOIN customer ON c_custkey = o_custkey)")
+def band_listing(spark, sf_dir):
+    named = band_assign(spark, sf_dir).join(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name"), "o_custkey")
+    return bands.band_places(named, "c_name")
+
+
 @query(f"SELECT o_custkey, band, CASE WHEN band = '1800-2000' THEN 'shown' ELSE 'legendonly' END AS visible FROM (SELECT o_custkey, {BAND_SQL.format(r='rating')} AS band FROM ({RATED_SQL}))")
 def band_visibility(spark, sf_dir):
     return bands.visibility(band_assign(spark, sf_dir), "1800-2000").select("o_custkey", "band", "visible")
@@ -284,8 +290,13 @@ def selection_accumulate(spark, sf_dir):
 @query("SELECT a.p_partkey, count(*) AS n_members, min(b.p_partkey) AS least, max(b.p_partkey) AS greatest FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size GROUP BY 1")
 def legend_expand(spark, sf_dir):
     parts = table(spark, sf_dir, "part").withColumn("legend", F.concat_ws("/", "p_brand", "p_size"))
-    members = linked.expand_legend(parts, "p_partkey", "legend")
-    return members.groupBy("p_partkey").agg(F.count(F.lit(1)).alias("n_members"), F.min("member").alias("least"), F.max("member").alias("greatest"))
+    return linked.legend_sizes(parts, "p_partkey", "legend")
+
+
+@query("SELECT p_partkey FROM part WHERE (p_brand, p_size) IN (SELECT (p_brand, p_size) FROM part WHERE p_partkey % 997 = 0)")
+def legend_chosen(spark, sf_dir):
+    parts = table(spark, sf_dir, "part").withColumn("legend", F.concat_ws("/", "p_brand", "p_size"))
+    return linked.expand_legend(parts, parts.filter("p_partkey % 997 = 0"), "p_partkey", "legend")
 
 
 @query("""WITH o AS (SELECT 'original' AS kind, p_partkey, p_name AS name, 'blue' AS colour, p_brand AS set_name, CASE WHEN p_size > 5 THEN p_size / 50.0::DOUBLE ELSE 1.0 END AS opacity FROM part)

@@ -66,7 +66,9 @@ def test_selected_copies_and_dimming(spark):
 
 def test_legend_and_points(spark):
     traces = spark.createDataFrame([(1, "g"), (2, "g"), (3, None)], "i int, g string")
-    assert sorted(tuple(r) for r in linked.expand_legend(traces, "i", "g").collect()) == [(1, 1), (1, 2), (2, 1), (2, 2), (3, 3)]
+    expand = lambda *ids: sorted(r.i for r in linked.expand_legend(traces, traces.filter(F.col("i").isin(*ids)), "i", "g").collect())
+    assert [expand(1), expand(1, 2), expand(3), expand(2, 3), expand(9)] == [[1, 2], [1, 2], [3], [1, 2, 3], []]
+    assert sorted(tuple(r) for r in linked.legend_sizes(traces, "i", "g").collect()) == [(1, 2, 1, 2), (2, 2, 1, 2), (3, 1, 3, 3)]
     row = spark.createDataFrame([([["a"], ["b", "c"]],)], "k array<array<string>>")
     got = row.select(linked.point_keys(F.lit("simple"), F.col("k"), F.lit(0)), linked.point_keys(F.lit("nested"), F.col("k"), F.lit(1)), linked.point_keys(F.lit("nested"), F.col("k"), F.lit(9))).first()
     assert tuple(got) == (["a", "b", "c"], ["b", "c"], [])

@@ -59,6 +59,21 @@ def test_members_cover_all_keys_once(spark):
     assert got == {">2200": ["c"], "2000-2200": [], "1800-2000": [], "1600-1800": [], "<1600": ["A", "b"]}
 
 
+def test_places_in_bands(spark):
+    rows = spark.createDataFrame([("b", "<1600"), ("A", "<1600"), ("c", ">2200"), ("b", "<1600")], "name string, band string")
+    got = sorted(map(tuple, bands.band_places(rows, "name").collect()))
+    assert got == [("<1600", "A", 0), ("<1600", "b", 1), ("<1600", "b", 2), (">2200", "c", 0)]
+    assert bands.band_places(rows.limit(0), "name").count() == 0
+
+
+def test_chain_with_repeated_and_unscored_games(spark):
+    games = [("p", "1", 1.0, 1500.0)] * 3 + [("p", "1", None, 1500.0), ("p", "2", 0.0, 1400.0), ("p", "2", 0.0, 1400.0), ("q", "2", None, None)]
+    rows = spark.createDataFrame(games, "player string, period string, score double, opponent double").withColumn("opening", F.lit(1500)).withColumn("k", F.lit(24))
+    got = sorted(map(tuple, ratings.chained_closing(rows, "player", "period", "score", "opponent", "opening", "k").collect()))
+    expected = 1 / (1 + 10 ** ((1400 - 1536) / 400))
+    assert got == [("p", "1", 1500, 1536), ("p", "2", 1536, int(1536 - 48 * expected + 0.5)), ("q", "2", 1500, 1500)]
+
+
 def test_palette_and_collation(spark):
     names = spark.createDataFrame([("b",), ("á",), ("A",), ("C",), ("b",)], "n string")
     got = bands.palette_index(names, "n", 2).orderBy("place").collect()
