@@ -37,7 +37,7 @@ PERCENT = 80
 SHORT = 8  # classes of a list that are counted at once
 STAR = 64  # classes that meet a centre in one group
 ROUNDS = 2
-BLOCK = 1_000  # classes of a block, at most
+BLOCK = 250  # classes of a block, at most
 BLOCK_SHINGLES = 500_000  # shingles of a block or group, but for a longer text
 HELD = 8_192  # rows that are counted at a time
 COLUMNS = 8_192  # of an incidence matrix at a time
