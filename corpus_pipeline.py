@@ -58,7 +58,8 @@ STAGES = [
     ("BPE encoding and decoding", bpe),
 ]
 
-#: No SQL states a fitted model or byte-pair merges; tests hold every stage against brute force.
+#: No SQL states a fitted model or byte-pair merges; tests hold the stages against
+#: their operators, and the operators against brute force, the tokenizers library or held-out rows.
 ORACLE_SQL: str | None = None
 
 
