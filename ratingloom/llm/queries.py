@@ -6,6 +6,7 @@ from .bpe import op5_bpe
 from .decontamination import op1_decontamination
 from .licences import OP7_SQL, op7_licences
 from .line_dedup import OP6_SQL, op6_line_dedup
+from .merkle import OP13_SQL, op13_merkle
 from .near_dedup import op4_near_dedup
 from .neighbours import op10_neighbours
 from .secrets import op9_secrets
@@ -24,8 +25,10 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_secrets": op9_secrets,
     "op10_neighbours": op10_neighbours,
+    "op13_merkle": op13_merkle,
 }
 ORACLES: dict[str, str] = {
     "op6_line_dedup": OP6_SQL,
     "op7_licences": OP7_SQL,
+    "op13_merkle": OP13_SQL,
 }
