@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .alignment import op11_alignment
 from .bpe import op5_bpe
 from .decontamination import op1_decontamination
 from .licences import OP7_SQL, op7_licences
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_secrets": op9_secrets,
     "op10_neighbours": op10_neighbours,
+    "op11_alignment": op11_alignment,
     "op13_merkle": op13_merkle,
 }
 ORACLES: dict[str, str] = {
