@@ -5,6 +5,7 @@ from __future__ import annotations
 from .alignment import op11_alignment
 from .bpe import op5_bpe
 from .decontamination import op1_decontamination
+from .katz import op12_katz
 from .licences import OP7_SQL, op7_licences
 from .line_dedup import OP6_SQL, op6_line_dedup
 from .merkle import OP13_SQL, op13_merkle
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_neighbours": op10_neighbours,
     "op11_alignment": op11_alignment,
+    "op12_katz": op12_katz,
     "op13_merkle": op13_merkle,
 }
 ORACLES: dict[str, str] = {
