@@ -3,10 +3,12 @@
 Each text is a first layer.  A worklist holds layers still to be opened: percent escapes, Unicode escapes
 and UTF-16 or UTF-32 are decoded in place (the rest of the layer stays around them), base64 runs, also over
 line breaks and from each of their first four letters, become layers of their own, and so do the gzip, zlib,
-bzip2 and xz streams in them, all members and to any depth, read in pieces that overlap.  A layer of a text and origin seen before is not opened again, so cycles end;
+bzip2 and xz streams in them or in any layer's own bytes, all members and to any depth, read in pieces that overlap.
+Of bytes only the printable stretches that a match or an encoding fits into are looked at further.  A layer of a text and origin seen before is not opened again, so cycles end;
 the list is empty at the fixpoint.  Every layer is scanned with the base patterns.
 Each of its characters knows which characters of the document it came from, so a find is reported as a
-span of the document; what came out of a compressed stream has the span of the run from where the stream begins.
+span of the document; what came out of a compressed stream has the span of the base64 run from where the stream
+begins, or else of the stream's own bytes.
 """
 
 from __future__ import annotations
@@ -43,7 +45,14 @@ LETTER = r"[A-Za-z0-9+/_-]"
 BASE64 = re.compile(LETTER + r"{16,}={0,2}")
 BREAK = re.compile(r"[ \t]*+(?:(?:[\r\n]|\\[rn])[ \t]*+)++")
 WRAPPED = re.compile(rf"(?<!{LETTER}){LETTER}++(?:{BREAK.pattern}{LETTER}++)++={{0,2}}")
-PACKED = re.compile(rb"\x1f\x8b|BZh[1-9]|\xfd7zXZ\0|\x78[\x01\x5e\x9c\xda]")
+#: Heads of zlib streams without a dictionary: method 8, a window of 256 bytes to 32 KiB, and a check that makes both
+#: bytes a multiple of 31.
+ZLIB = [bytes([a, b]) for a in range(0x08, 0x88, 0x10) for b in range(256) if (a << 8 | b) % 31 == 0 and not b & 0x20]
+PACKED = re.compile(b"|".join([rb"\x1f\x8b|BZh[1-9]|\xfd7zXZ\0", *map(re.escape, ZLIB)]))
+PACKED_TEXT = re.compile(PACKED.pattern.decode("latin-1"))
+BYTES = re.compile("[\0-\xff]+")
+#: Where a match, or an encoding that text may be in, can lie in bytes; the shortest match has 12 letters.
+ISLAND = re.compile(rb"[\0\t\n\r -~]{12,}")
 STEP = 1 << 20  # bytes that a stream gives at a time
 PIECE, OVERLAP = 1 << 22, 1 << 16  # new bytes in a piece of a stream's contents, and bytes of the piece before
 LONGEST = 1 << 24  # bytes of an encoded run that is kept whole over pieces; rows with a longer one are marked
@@ -144,7 +153,7 @@ def unpacker(head: bytes):
     """A fresh decompressor for a stream that begins with ``head``, or None."""
     if head[:2] == b"\x1f\x8b":
         return zlib.decompressobj(31)
-    if head[:1] == b"\x78" and len(head) > 1 and (head[0] << 8 | head[1]) % 31 == 0:
+    if head[:2] in ZLIB:
         return zlib.decompressobj(15)
     if head[:3] == b"BZh":
         return bz2.BZ2Decompressor()
@@ -190,6 +199,61 @@ def unpacked(chunks: Iterator[memoryview]) -> Iterator[bytes]:
         data = before[n - len(own.unused_data) :]
 
 
+def starts(head: bytes) -> bool:
+    """Whether the first bytes of a stream can be read without a fault."""
+    own = unpacker(head[:6])
+    try:
+        if own is not None:
+            own.decompress(head, 1)
+        return own is not None
+    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+        return False
+
+
+def used(data: bytes) -> int:
+    """How many bytes the streams at the start of ``data`` take up, those that follow at once or after zeros among them;
+    all of them where a stream does not come to its end."""
+    at = 0
+    while (own := unpacker(data[at : at + 6])) is not None:
+        try:
+            feed, size = data[at:], 0
+            while not own.eof:
+                size += len(out := own.decompress(feed, STEP))
+                feed = getattr(own, "unconsumed_tail", b"")
+                if size > BOMB or not out and not feed and getattr(own, "needs_input", True) and not own.eof:
+                    return len(data)
+        except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+            return len(data) if at == 0 else at
+        at = len(data) - len(own.unused_data)
+        zeros = len(data) - at - len(data[at:].lstrip(b"\0"))
+        if unpacker(data[at + zeros : at + zeros + 6]) is None:
+            return at
+        at += zeros
+    return at
+
+
+def streams_of(layer: Layer, tally: Tally) -> Iterator[Stream]:
+    """The compressed streams whose bytes are characters of a layer.  What comes out of one has the span of its bytes."""
+    runs = list(BYTES.finditer(layer.text)) if not layer.text.isascii() else [re.match("(?s).*", layer.text)]
+    for run in runs:
+        data = None
+        for m in PACKED_TEXT.finditer(layer.text, run.start(), run.end()):
+            data = data or run.group().encode("latin-1")
+            own = data[m.start() - run.start() :]
+            if not starts(own[:512]):
+                continue
+            end = m.start() + used(own)
+            yield Stream(partial(lambda own: iter([memoryview(own)]), own), int(layer.first[m.start() : end].min()), int(layer.last[m.start() : end].max()), tally)
+
+
+def islands(raw: bytes) -> Iterator[tuple[int, str]]:
+    """Where in ``raw`` something may be found, and that as text."""
+    for m in ISLAND.finditer(raw):
+        text = m.group().decode("latin-1")
+        if base_spans(text) or openable(text):
+            yield m.start(), text
+
+
 class Tally:
     """What the streams of one text have unpacked to, and whether a guard fired."""
 
@@ -235,14 +299,16 @@ class Stream:
         if fresh:
             yield bytes(held), None
 
-    def opened(self) -> list[Layer | Stream]:
-        """The next piece and the streams that begin in it; nothing at the end."""
+    def opened(self) -> tuple[bytes, list[Layer | Stream]] | None:
+        """What tells the next piece apart, and its layers and the streams that begin in it; None at the end."""
         piece, end = next(self.left, (b"", None))
         if not piece:
-            return []
+            return None
+        own = hashlib.blake2b(piece, digest_size=16, salt=b"piece")
+        own.update(np.array([self.first, self.last]).tobytes())
         on = lambda at: itertools.chain([memoryview(piece)[at:]], self.after(end) if end is not None else ())
-        inner = [Stream(partial(on, m.start()), self.first, self.last, self.tally) for m in PACKED.finditer(piece)]
-        return [Layer.of_span(piece.decode("latin-1"), self.first, self.last), *inner]
+        inner = [Stream(partial(on, m.start()), self.first, self.last, self.tally) for m in PACKED.finditer(piece) if starts(piece[m.start() : m.start() + 512])]
+        return own.digest(), [*[Layer.of_span(text, self.first, self.last) for _, text in islands(piece)], *inner]
 
 
 def base64_runs(text: str) -> Iterator[tuple[np.ndarray, int]]:
@@ -281,37 +347,41 @@ def base64_layers(layer: Layer, tally: Tally) -> Iterator[Layer | Stream]:
             raw = base64.b64decode(run + "=" * (-len(run) % 4))
             left = lambda at: place[shift + at * 4 // 3]  # noqa: B023, E731
             for m in PACKED.finditer(raw):
+                if not starts(raw[m.start() : m.start() + 512]):
+                    continue
                 begin = left(m.start())
                 first, last = int(layer.first[begin:end].min()), int(layer.last[begin:end].max())
                 yield Stream(partial(lambda raw, at: iter([memoryview(raw)[at:]]), raw, m.start()), first, last, tally)
-            text = raw.decode("latin-1")
-            if not (base_spans(text) or openable(text)):
-                continue
-            if layer.flat:
-                yield Layer.of_span(text, *layer.flat)
-            else:
-                at = np.arange(len(raw))
-                right = place[shift + np.minimum(((at + 1) * 4 + 2) // 3, len(run)) - 1]
-                yield Layer(text, layer.first[left(at)], layer.last[right])
+            for begin, text in islands(raw):
+                if layer.flat:
+                    yield Layer.of_span(text, *layer.flat)
+                else:
+                    at = np.arange(begin, begin + len(text))
+                    right = place[shift + np.minimum(((at + 1) * 4 + 2) // 3, len(run)) - 1]
+                    yield Layer(text, layer.first[left(at)], layer.last[right])
 
 
 def scan(text: str) -> tuple[list[Span], list[Span], bool]:
     """The base spans of a text, all spans (those of every layer, mapped back), and whether a guard fired."""
     base = base_spans(text)
-    if not openable(text):
+    if not openable(text) and (text.isascii() or PACKED_TEXT.search(text) is None):
         return base, base, False
     found = set(base)
     at = np.arange(len(text))
-    work: list[Layer | Stream] = [Layer(text, at, at + 1)]
-    seen = {work[0].key()}
+    whole = Layer(text, at, at + 1)
+    work: list[Layer | Stream] = [whole]
+    seen = {whole.key()}
     tally = Tally()
     while work:
         layer = work.pop()
         opened: list[Layer | Stream | None] = []
         if isinstance(layer, Stream):
-            opened += layer.opened()
-            if opened:
+            piece = layer.opened()
+            if piece is not None:
                 work.append(layer)
+                if piece[0] not in seen:  # a piece that is known has known streams in it
+                    seen.add(piece[0])
+                    opened = piece[1]
         else:
             if "%" in layer.text:
                 opened.append(in_place(layer, PERCENT, percent))
@@ -319,6 +389,8 @@ def scan(text: str) -> tuple[list[Span], list[Span], bool]:
                 opened.append(in_place(layer, UNICODE, unicode))
             if "\0" in layer.text:
                 opened.append(in_place(layer, WIDE, wide))
+            if layer is not whole or not text.isascii():
+                opened += streams_of(layer, tally)
             opened += base64_layers(layer, tally)
         for new in opened:
             if isinstance(new, Stream):
@@ -327,8 +399,6 @@ def scan(text: str) -> tuple[list[Span], list[Span], bool]:
                 seen.add(key)
                 found.update(new.span(s, k, e) for s, k, e in base_spans(new.text))
                 work.append(new)
-            elif isinstance(layer, Stream):
-                break  # the streams in it are known too
     return base, sorted(found), tally.cut
 
 

@@ -161,3 +161,103 @@ def test_bomb_in_bounded_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert any(kind == 0 for _, kind, _ in spans) and peak < 300 << 20
+
+
+def plain_unpack(data):
+    """(contents, bytes taken) of a stream at the start of ``data``, or None."""
+    openers = [lambda: zlib.decompressobj(31), lambda: zlib.decompressobj(15), bz2.BZ2Decompressor, lambda: lzma.LZMADecompressor(lzma.FORMAT_XZ)]
+    for opener in openers:
+        try:
+            own = opener()
+            out = own.decompress(data)
+            if own.eof and out:
+                return out, len(data) - len(own.unused_data)
+        except Exception:  # noqa: BLE001, S112
+            continue
+    return None
+
+
+def plain_scan(text):
+    """All spans by opening everything, character by character; each character is (byte, first, last)."""
+    escape = re.compile(r"\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|%[0-9A-Fa-f]{2}")
+    found, seen, todo = set(), set(), [[(c, i, i + 1) for i, c in enumerate(text)]]
+    while todo:
+        layer = todo.pop()
+        if tuple(layer) in seen:
+            continue
+        seen.add(tuple(layer))
+        whole = "".join(c for c, _, _ in layer)
+        span = lambda s, e: (min(a for _, a, _ in layer[s:e]), max(b for _, _, b in layer[s:e]))  # noqa: B023, E731
+        for m in re.finditer(r"""(?i:password|passwd|secret|token|api_?key)["']? *[:=] *["']?([A-Za-z0-9+/_.=-]+)""", whole):
+            if len(m[1]) >= 6:
+                found.add((span(*m.span())[0], 0, span(*m.span())[1]))
+        for kind, sign in (("%", "%"), ("\\", "\\")):
+            if sign in whole:
+                new, at = [], 0
+                for m in escape.finditer(whole):
+                    if m.group()[0] == kind:
+                        a, b = span(*m.span())
+                        new += layer[at : m.start()] + [(chr(int(m.group().lstrip("%\\ux"), 16)) if m.group()[0] == "%" else chr(int(m.group()[2:], 16)), a, b)]
+                        at = m.end()
+                if at:
+                    todo.append(new + layer[at:])
+        if layer and len(layer) < len(text) or whole != text:
+            inner = [(i, plain_unpack("".join(c if c < "\u0100" else "?" for c in whole[i:]).encode("latin-1"))) for i in range(len(whole))]
+            for i, got in inner:
+                if got:
+                    a, b = span(i, i + got[1])
+                    todo.append([(chr(x), a, b) for x in got[0]])
+        for m in re.finditer(r"[A-Za-z0-9+/_-]{16,}={0,2}", whole):
+            run = m.group().rstrip("=").replace("-", "+").replace("_", "/")
+            for shift in range(4):
+                part = run[shift:]
+                part = part[:-1] if len(part) % 4 == 1 else part
+                raw = base64.b64decode(part + "=" * (-len(part) % 4))
+                p = m.start() + shift
+                for i in range(len(raw)):
+                    if got := plain_unpack(raw[i:]):
+                        a, b = span(p + i * 4 // 3, m.end())
+                        todo.append([(chr(x), a, b) for x in got[0]])
+                if re.search(rb"[ -~]{12,}", raw):
+                    todo.append([(chr(x), layer[p + 8 * k // 6][1], layer[p + (8 * k + 7) // 6][2]) for k, x in enumerate(raw)])
+    return sorted(found)
+
+
+def test_equal_to_a_plain_unwrapper():
+    rng = random.Random(99)
+    texts = {
+        "base64": lambda b: base64.b64encode(b).decode(),
+        "percent": lambda b: "".join(f"%{x:02X}" for x in b),
+        "quoted": lambda b: urllib.parse.quote(b, safe=""),
+        "x": lambda b: "".join(f"\\x{x:02x}" for x in b),
+        "u": lambda b: "".join(f"\\u{x:04x}" for x in b),
+    }
+    packs = {"gzip": lambda b: gzip.compress(b, mtime=0), "bz2": bz2.compress, "xz": lzma.compress}
+    for bits in range(9, 16):
+        for level in (1, 6, 9):
+            packs[f"zlib{bits}-{level}"] = lambda b, bits=bits, level=level: (z := zlib.compressobj(level, zlib.DEFLATED, bits)).compress(b) + z.flush()
+    done = set()
+    for turn in range(60):
+        raw, names = b"a " + KEY.encode() + b" b", []
+        for _ in range(rng.randint(1, 2)):
+            if rng.random() < 0.8:
+                names.append(rng.choice(sorted(packs)) if turn % 2 else rng.choice(["gzip", "bz2", "xz", *[n for n in packs if n.startswith("zlib")]]))
+                raw = packs[names[-1]](raw)
+            names.append(rng.choice(sorted(texts)))
+            raw = texts[names[-1]](raw).encode()
+        if len(raw) > 2_500:
+            continue
+        text = f"before {raw.decode()} after"
+        want = plain_scan(text)
+        assert S.all_spans(text)[1] == want and want, names
+        done.add(tuple(n[:4] for n in names))
+    assert len(done) > 20
+
+
+def test_megabyte_of_base64_is_quick():
+    import time
+
+    text = "data " + base64.b64encode(random.Random(1).randbytes(750_000)).decode() + " " + KEY
+    began = time.process_time()
+    assert len(S.all_spans(text)[1]) == 1
+    assert time.process_time() - began < 3
