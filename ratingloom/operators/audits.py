@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from bisect import bisect_right
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratingloom.operators.prefix import running
+from ratingloom.sources.shared import saved
+
 
 def rating_differences(rated: DataFrame, computed: str, published: str, tolerance: int = 1) -> DataFrame:
     """Rows whose recomputed rating is off by more than the tolerance."""
@@ -52,3 +58,151 @@ def chart_differences(ledger: DataFrame, chart: DataFrame, keys: list[str], valu
     """Values of two copies that differ, or stand in one alone."""
     both = ledger.select(*keys, F.col(value).alias("in_ledger")).join(chart.select(*keys, F.col(value).alias("in_chart")), keys, "full_outer")
     return both.filter(~F.col("in_ledger").eqNullSafe(F.col("in_chart")))
+
+
+# Games that do not meet exactly -------------------------------------------------------------------
+
+GRAM = 3
+ALIKE = 0.6
+
+
+def grams(name: Column, q: int = GRAM) -> Column:
+    """The distinct q-grams of a name in lower case, padded by a blank on either side."""
+    text = F.concat(F.lit(" "), F.lower(name), F.lit(" "))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - q + 1, F.lit(1))), lambda i: F.substr(text, i, F.lit(q))))
+
+
+def similar_names(names: DataFrame, name: str, least: float = ALIKE) -> DataFrame:
+    """name, other and alike: pairs of different names (both ways) whose q-grams have a Dice coefficient of ``least``.
+
+    Names are posted under their rarest q-grams only: a pair at ``least`` must share one of the first
+    n - ceil(least * n / (2 - least)) + 1 of both, rarest first, so common q-grams bring no candidates together.
+    """
+    sets = saved(names.select(F.col(name).alias("name")).filter("name IS NOT NULL").distinct().withColumn("grams", grams(F.col("name"))), "names")
+    each = sets.select("name", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
+    rarity = each.groupBy("gram").agg(F.count(F.lit(1)).alias("often"))
+    by_rarity = Window.partitionBy("name").orderBy("often", "gram")
+    prefix = F.col("n") - F.ceil(F.lit(least) * F.col("n") / (2 - least) - 1e-9) + 1
+    posts = saved(each.join(rarity, "gram").withColumn("nr", F.row_number().over(by_rarity)).filter(F.col("nr") <= prefix).select("name", "n", "gram"), "name-posts")
+    other = posts.withColumnsRenamed({"name": "other", "n": "m"})
+    fits = (F.col("name") < F.col("other")) & (F.least("n", "m") * 2 >= F.lit(least - 1e-9) * (F.col("n") + F.col("m")))
+    met = posts.join(other, "gram").filter(fits).select("name", "other").distinct()
+    both = met.join(sets, "name").join(sets.select(F.col("name").alias("other"), F.col("grams").alias("others")), "other")
+    alike = 2.0 * F.size(F.array_intersect("grams", "others")) / (F.size("grams") + F.size("others"))
+    pairs = both.select("name", "other", alike.alias("alike")).filter(F.col("alike") >= least)
+    return pairs.unionByName(pairs.select(F.col("other").alias("name"), F.col("name").alias("other"), "alike"))
+
+
+def best_pairs(pairs: DataFrame, left: str, right: str, order: list[Column]) -> DataFrame:
+    """One-to-one pairs: the best by ``order`` (which tells all pairs apart), then the best of what is left without its
+    two, and so on.  Each round takes every pair that is the best of both its sides, at least one a component."""
+    names = pairs.columns
+    left_over = saved(pairs, "pairs")
+    taken = None
+    while not left_over.isEmpty():
+        ranked = left_over.withColumn("_l", F.row_number().over(Window.partitionBy(left).orderBy(*order))).withColumn("_r", F.row_number().over(Window.partitionBy(right).orderBy(*order)))
+        best = saved(ranked.filter("_l = 1 AND _r = 1").select(*names), "best-pairs")
+        taken = best if taken is None else taken.unionByName(best)
+        left_over = saved(left_over.join(best.select(left), left, "left_anti").join(best.select(right), right, "left_anti"), "pairs")
+    return left_over if taken is None else taken
+
+
+def day_distance(a: Column, b: Column, band: int) -> Column:
+    """Days between two dates where they are at most ``band``, ``band`` + 1 where only the year differs, else null."""
+    apart = F.abs(F.datediff(a, b))
+    return F.when(apart <= band, apart).when((F.month(a) == F.month(b)) & (F.dayofmonth(a) == F.dayofmonth(b)), F.lit(band + 1))
+
+
+def nearly_mirrored(games: DataFrame, id_col: str, player: str, opponent: str, day: str, score: str, band: int = 3, least: float = ALIKE, total: float = 1.0) -> DataFrame:
+    """id, other_id, alike, days and total: games without a mirrored row, each with the game most like one.
+
+    Two games may be one if each player's name is like the other's opponent's (Dice of q-grams), their dates are
+    at most ``band`` days apart or differ in the year alone, and their scores add up to ``total``.  Best first:
+    names more alike (the lesser of the two, then the sum), fewer days, smaller ids; each game is in one pair at
+    most.  id_col is unique; the smaller id comes first.
+    """
+    own = games.select(F.col(id_col).alias("id"), F.col(player).alias("player"), F.col(opponent).alias("opponent"), F.col(day).alias("day"), F.col(score).alias("score"))
+    mirror = own.select(F.col("opponent").alias("player"), F.col("player").alias("opponent"), "day")
+    alone = saved(own.join(mirror, ["player", "opponent", "day"], "left_anti"), "alone")
+    names = alone.select(F.col("player").alias("name")).union(alone.select("opponent"))
+    alike = saved(similar_names(names, "name", least).unionByName(names.filter("name IS NOT NULL").distinct().select("name", F.col("name").alias("other"), F.lit(1.0).alias("alike"))), "alike")
+    wanted = alone.join(alike.select(F.col("name").alias("player"), F.col("other").alias("as_opponent"), F.col("alike").alias("a")), "player")
+    wanted = wanted.join(alike.select(F.col("name").alias("opponent"), F.col("other").alias("as_player"), F.col("alike").alias("b")), "opponent")
+    other = alone.select(F.col("id").alias("other_id"), F.col("player").alias("as_player"), F.col("opponent").alias("as_opponent"), F.col("day").alias("other_day"), F.col("score").alias("other_score"))
+    met = wanted.join(other, ["as_player", "as_opponent"]).filter(F.col("id") < F.col("other_id"))
+    scored = met.select("id", "other_id", F.least("a", "b").alias("alike"), (F.col("a") + F.col("b")).alias("both"), day_distance(F.col("day"), F.col("other_day"), band).alias("days"), (F.col("score") + F.col("other_score")).alias("total"))
+    pairs = scored.filter(F.col("days").isNotNull() & (F.col("total") == total))
+    # a game may be on either side, so both ends take part in both rankings
+    both_ways = pairs.unionByName(pairs.select(F.col("other_id").alias("id"), F.col("id").alias("other_id"), "alike", "both", "days", "total"))
+    order = [F.desc("alike"), F.desc("both"), F.asc("days"), F.least("id", "other_id").asc(), F.greatest("id", "other_id").asc()]
+    return best_pairs(both_ways, "id", "other_id", order).filter(F.col("id") < F.col("other_id")).select("id", "other_id", "alike", "days", "total")
+
+
+# Rows out of order --------------------------------------------------------------------------------
+
+
+def _in_order(values: list) -> list[bool]:
+    """Which of the values are in the longest run that never falls: by piles, the last row of the greatest length
+    and before each the last earlier row of one less."""
+    tops, at, before = [], [], []
+    for i, v in enumerate(values):
+        k = bisect_right(tops, v)
+        before.append(at[k - 1] if k else -1)
+        tops[k : k + 1] = [v]
+        at[k : k + 1] = [i]
+    kept, i = [False] * len(values), at[-1] if at else -1
+    while i >= 0:
+        kept[i] = True
+        i = before[i]
+    return kept
+
+
+def order_faults(rows: DataFrame, key: str, pos: str, value: str) -> DataFrame:
+    """Rows of ``rows`` that are really out of order: outside the longest subsequence of the key's rows, by ``pos``
+    (unique in a key), in which ``value`` never falls.  Null values take no part.
+
+    Of several longest ones that with the last possible end counts, and before each of its rows the last earlier
+    row that a longest one can have there.  A row that no earlier one exceeds and no later one undercuts is in
+    every such subsequence and cuts the key's rows in two; running extremes, of keys of any size, find these
+    rows, and only the stretches between them are searched, each by patience piles.
+    """
+    names = rows.columns
+    known = rows.filter(F.col(value).isNotNull())
+    high = running(known, [key], [pos], {"_high": ("max", F.col(value))}, own=False)
+    low = running(high, [key], [pos], {"_low": ("min", F.col(value))}, backward=True, own=False)
+    cuts = F.coalesce(F.col("_high") <= F.col(value), F.lit(True)) & F.coalesce(F.col("_low") >= F.col(value), F.lit(True))
+    stretch = running(low.withColumn("_cuts", F.when(cuts, 1).otherwise(0)), [key], [pos], {"_stretch": ("sum", F.col("_cuts"))}).filter("_cuts = 0")
+    listed = stretch.groupBy(key, "_stretch").agg(F.array_sort(F.collect_list(F.struct(pos, F.col(value).alias("_value"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row")))).alias("_rows"))
+
+    @F.pandas_udf("array<boolean>")
+    def kept(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: _in_order(list(v)))
+
+    marked = listed.withColumn("_kept", kept(F.transform("_rows", lambda r: r["_value"])))
+    each = marked.select(F.inline(F.arrays_zip(F.transform("_rows", lambda r: r["_row"]).alias("r"), F.col("_kept").alias("k"))))
+    return each.filter("not k").select("r.*")
+
+
+# Copied blocks ------------------------------------------------------------------------------------
+
+
+def copied_blocks(games: DataFrame, player: str, period_no: str, pos: str, what: list[str], least: int = 2) -> DataFrame:
+    """player, period_no, first_pos, from_pos and n: maximal runs of a period's rows that repeat, row by row, rows of
+    the period before (``period_no`` one less), ``least`` rows or more.
+
+    Rows equal in ``what`` (null equals null) and adjacent in both periods keep the same distance of positions, so
+    the runs of one distance are numbered by position less row number.  ``pos`` counts rows of a period from 1.
+    """
+    own = games.select(F.col(player).alias("player"), F.col(period_no).alias("period_no"), F.col(pos).alias("pos"), F.xxhash64(*what).alias("mark"), F.struct(*what).alias("what"))
+    before = own.select("player", (F.col("period_no") + 1).alias("period_no"), F.col("pos").alias("from_pos"), "mark", F.col("what").alias("was"))
+    met = own.join(before, ["player", "period_no", "mark"]).filter(F.col("what").eqNullSafe(F.col("was"))).withColumn("shift", F.col("pos") - F.col("from_pos"))
+    along = Window.partitionBy("player", "period_no", "shift").orderBy("pos")
+    runs = met.withColumn("run", F.col("pos") - F.row_number().over(along)).groupBy("player", "period_no", "shift", "run")
+    found = runs.agg(F.min("pos").alias("first_pos"), F.min("from_pos").alias("from_pos"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
+    return found.select(F.col("player").alias(player), F.col("period_no").alias(period_no), "first_pos", "from_pos", "n")
+
+
+def without_copies(games: DataFrame, blocks: DataFrame, player: str, period_no: str, pos: str) -> DataFrame:
+    """``games`` without the rows that the blocks of ``copied_blocks`` cover."""
+    covered = blocks.select(player, period_no, F.explode(F.sequence("first_pos", F.col("first_pos") + F.col("n") - 1)).alias(pos))
+    return games.join(covered.distinct(), [player, period_no, pos], "left_anti")

@@ -137,8 +137,12 @@ def filter_traces(traces: DataFrame, chosen_set: str, needles: Column | None, ki
 # Joins and differences ----------------------------------------------------------------------------
 
 
-def key_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """key and change (removed or added) between two key tables; repeats count once, and null is a key."""
+def key_diff(old: DataFrame, new: DataFrame, key: str, unique: bool = False) -> DataFrame:
+    """key and change (removed or added) between two key tables; repeats count once, and null is a key.  With
+    ``unique`` a repeated key is refused."""
+    if unique:
+        assert_unique(old, key)
+        assert_unique(new, key)
     sides = [rows.select(F.col(key).alias("key")).distinct().withColumn("here", F.lit(True)).alias(name) for rows, name in ((old, "old"), (new, "new"))]
     both = sides[0].join(sides[1], F.col("old.key").eqNullSafe(F.col("new.key")), "full_outer")
     gone, fresh = F.col("new.here").isNull(), F.col("old.here").isNull()

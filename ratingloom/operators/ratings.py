@@ -55,15 +55,16 @@ def with_adjustments(closings: DataFrame, adjustments: DataFrame, keys: list[str
     return closings.join(adjustments, keys, "left").withColumn("closing", F.coalesce("adjusted", "closing")).drop("adjusted")
 
 
-def chained_closing(games: DataFrame, player: str, period: str, score: str, opponent: str, opening: str, k: str) -> DataFrame:
+def chained_closing(games: DataFrame, player: str, period: str, score: str, opponent: str, opening: str, k: str, times: str | None = None) -> DataFrame:
     """Closings recomputed period by period, each being the next opening.
 
     A recurrence over a player's periods, folded inside one row.  A period's games are first counted by score
     and opponent's rating, before the shuffle, so a row holds a period's different pairings, however many games
-    they stand for.  Unscored games change nothing.  Players go in parallel.
+    they stand for.  Unscored games change nothing.  Players go in parallel.  ``times`` names a column with the number
+    of games that a row stands for already.
     """
     pairing = games.groupBy(player, period, F.col(score).cast("double").alias("_s"), F.col(opponent).cast("double").alias("_o"))
-    counted = pairing.agg(F.count(F.lit(1)).cast("decimal(18,0)").alias("_n"), F.max(opening).alias("_start"), F.max(k).cast("double").alias("_k"))
+    counted = pairing.agg((F.count(F.lit(1)) if times is None else F.sum(times)).cast("decimal(18,0)").alias("_n"), F.max(opening).alias("_start"), F.max(k).cast("double").alias("_k"))
     game = F.struct(F.col("_s").alias("s"), F.col("_o").alias("o"), F.col("_n").alias("n"))
     periods = counted.groupBy(player, period).agg(F.collect_list(game).alias("g"), F.max("_start").alias("start"), F.max("_k").alias("k"))
     whole = periods.groupBy(player).agg(F.array_sort(F.collect_list(F.struct(F.col(period).alias("p"), "g", "k"))).alias("periods"), F.max("start").cast("double").alias("start"))

@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom.functions import scalars as S
-from ratingloom.operators import audits, bands, linked, ratings, reshape
+from ratingloom.operators import audits, bands, linked, matching, prefix, ratings, reshape
 from ratingloom.sources import pages as sources
 from ratingloom.sources.shared import new_path
-from ratingloom.streaming import feeds
+from ratingloom.streaming import feeds, stored
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -239,6 +239,10 @@ def _order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("l_orderkey", of("l_linenumber").alias("line"), of("l_partkey").alias("part"), of("l_suppkey").alias("supp"), of("l_quantity").alias("quantity"))
 
 
+def _low_parts(spark: SparkSession) -> DataFrame:
+    return spark.range(400).toDF("key")
+
+
 @query("""WITH k AS (SELECT l_orderkey, list(l_partkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS p, list(l_suppkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS s FROM lineitem GROUP BY 1),
 m AS (SELECT l_orderkey, CASE l_orderkey % 3 WHEN 0 THEN 'nested' WHEN 1 THEN 'simple' ELSE 'flat' END AS kind, len(p) AS n, [i - 1 for i in range(1, len(p) + 1) if p[i] < 400] AS flat, len([x for x in p if x >= 400]) = 0 AS every, [i - 1 for i in range(1, len(p) + 1) if p[i] < 400 AND s[i] < 400] AS nested FROM k)
 SELECT l_orderkey, kind, array_to_string(CASE kind WHEN 'nested' THEN nested WHEN 'simple' THEN CASE WHEN every THEN range(0, n) ELSE [] END ELSE flat END, ',') AS hits FROM m""")
@@ -246,16 +250,14 @@ def match_modes(spark, sf_dir):
     k = _order_keys(spark, sf_dir)
     nested = F.zip_with("part", "supp", lambda p, s: F.array(p, s))
     kind = F.when(F.col("l_orderkey") % 3 == 0, "nested").when(F.col("l_orderkey") % 3 == 1, "simple").otherwise("flat")
-    needles = F.sequence(F.lit(0).cast("long"), F.lit(399).cast("long"))
-    hits = linked.matches(F.col("kind"), F.col("part"), F.col("nested"), needles)
-    rows = k.withColumn("nested", nested).withColumn("kind", kind)
-    return rows.select("l_orderkey", "kind", F.array_join(F.transform(hits, lambda i: i.cast("string")), ",").alias("hits"))
+    rows = matching.match_index(k.withColumn("nested", nested).withColumn("kind", kind), _low_parts(spark), "l_orderkey", "part", "kind", "nested", "hits")
+    return rows.select("l_orderkey", "kind", F.array_join(F.transform("hits", lambda i: i.cast("string")), ",").alias("hits"))
 
 
 @query("""SELECT l_orderkey, count(*)::INTEGER AS n, string_agg(l_partkey::VARCHAR, ',' ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS parts, string_agg(l_linenumber::VARCHAR, ',' ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS lines FROM lineitem WHERE l_partkey < 400 GROUP BY 1""")
 def subset_parallel(spark, sf_dir):
     traces = _order_keys(spark, sf_dir).withColumn("set", F.lit("parts")).withColumn("key", F.col("part"))
-    cut = linked.filter_traces(traces, "parts", F.sequence(F.lit(0).cast("long"), F.lit(399).cast("long")))
+    cut = matching.filter_by_keys(traces, _low_parts(spark), "l_orderkey", "parts")
     text = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
     return cut.select("l_orderkey", F.size("part").alias("n"), text("part").alias("parts"), text("line").alias("lines"))
 
@@ -385,8 +387,15 @@ def audit_order(spark, sf_dir):
 
 @query(CHANGE_SQL)
 def stream_change(spark, sf_dir):
-    feed = feeds.read_feed(spark, sf_dir, "events")
-    return feeds.drain(feeds.changes(feed, "user_id", "ts", "event_id", "event_type")).select("event_id", "user_id", "old_value", "event_type")
+    closable = feeds.Closable(feeds.read_feed(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type"), "ts")
+    return feeds.drain(feeds.changes(closable.feed, "user_id", "ts", "event_id", "event_type"), closable=closable).select("event_id", "user_id", "old_value", "event_type")
+
+
+@query("SELECT event_id, user_id, old_value, value FROM (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS old_value FROM (SELECT event_id, user_id, ts, round(value / 50) AS value FROM events)) WHERE value IS DISTINCT FROM old_value")
+def stream_change_numbers(spark, sf_dir):
+    rows = feeds.read_feed(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.rint(F.col("value") / 50).alias("value"))
+    closable = feeds.Closable(rows, "ts")
+    return feeds.drain(feeds.changes(closable.feed, "user_id", "ts", "event_id", "value"), closable=closable).select("event_id", "user_id", "old_value", "value")
 
 
 # a burst comes out once the watermark, an hour behind the last event, has passed two hours after its end
@@ -399,7 +408,26 @@ def stream_debounce(spark, sf_dir):
 @query("SELECT DISTINCT user_id, event_type, props FROM events")
 def stream_dedupe(spark, sf_dir):
     feed = feeds.read_feed(spark, sf_dir, "events")
-    return feeds.drain(feeds.deduplicated(feed, "ts", "3650 days", ["user_id", "event_type", "props"]).select("user_id", "event_type", "props"))
+    return feeds.deduplicated_ever(feed, ["user_id", "event_type", "props"], ["ts", "event_id"]).select("user_id", "event_type", "props")
+
+
+@query("SELECT event_id FROM (SELECT *, lag(event_type || props) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events) WHERE event_type || props IS DISTINCT FROM before")
+def stream_dedupe_previous(spark, sf_dir):
+    rows = feeds.read_feed(spark, sf_dir, "events").select("user_id", "ts", "event_id", S.fingerprint("event_type", "props").alias("print"))
+    closable = feeds.Closable(rows, "ts")
+    return feeds.drain(feeds.changes(closable.feed, "user_id", "ts", "event_id", "print"), closable=closable).select("event_id")
+
+
+@query(SESSIONS.format(pick="arg_max"))
+def stream_debounce_closed(spark, sf_dir):
+    closable = feeds.Closable(feeds.read_feed(spark, sf_dir, "events").select("user_id", "ts", "event_id"), "ts")
+    return feeds.drain(feeds.debounced(closable.feed, "user_id", "ts", "event_id", "2 hours", "1 hour"), closable=closable)
+
+
+@query(SESSIONS.format(pick="arg_min").replace("SELECT user_id, arg_min", "SELECT user_id, 'first' AS edge, 1 AS n_events, arg_min").replace(", count(*) AS n_events", "") + " UNION ALL BY NAME " + SESSIONS[SESSIONS.index("SELECT user_id, {pick}") :].format(pick="arg_max").replace("SELECT user_id, ", "SELECT user_id, 'last' AS edge, "))
+def stream_edges(spark, sf_dir):
+    closable = feeds.Closable(feeds.read_feed(spark, sf_dir, "events").select("user_id", "ts", "event_id"), "ts")
+    return feeds.drain(feeds.debounced_now(closable.feed, "user_id", "ts", "event_id", 7200, "1 hour"), closable=closable)
 
 
 @query(f"WITH {CLOSED} SELECT o_custkey, period, n_games, closing FROM closed")
@@ -413,8 +441,9 @@ def stream_closing(spark, sf_dir):
 
 @query("SELECT event_id, user_id, old_value, kind FROM (SELECT *, lag(kind) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS old_value FROM (SELECT *, nullif(event_type, 'click') AS kind FROM events)) WHERE kind IS DISTINCT FROM old_value")
 def stream_change_nulls(spark, sf_dir):
-    feed = feeds.read_feed(spark, sf_dir, "events").withColumn("kind", F.nullif("event_type", F.lit("click")))
-    return feeds.drain(feeds.changes(feed, "user_id", "ts", "event_id", "kind")).select("event_id", "user_id", "old_value", "kind")
+    rows = feeds.read_feed(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.nullif("event_type", F.lit("click")).alias("kind"))
+    closable = feeds.Closable(rows, "ts")
+    return feeds.drain(feeds.changes(closable.feed, "user_id", "ts", "event_id", "kind"), closable=closable).select("event_id", "user_id", "old_value", "kind")
 
 
 # Pages, CSV and series written and read -----------------------------------------------------------
@@ -542,12 +571,55 @@ def traces_by_kind(spark, sf_dir):
     nested = F.zip_with("part", "supp", lambda p, s: F.array(p, s))
     kind = F.when(F.col("l_orderkey") % 3 == 0, "nested").when(F.col("l_orderkey") % 3 == 1, "simple").otherwise("flat")
     traces = k.select("l_orderkey", "part", F.col("part").alias("key"), nested.alias("_nested"), kind.alias("kind"), F.lit("parts").alias("set"), F.col("line").alias("colorscale"), F.struct("line", F.lit(1).alias("width")).alias("marker"), F.array(F.struct("supp")).alias("transforms"))
-    needles = F.sequence(F.lit(0).cast("long"), F.lit(399).cast("long"))
-    cut = linked.filter_traces(traces, "parts", needles, F.col("kind"), F.col("_nested"))
+    cut = matching.filter_by_keys(traces, _low_parts(spark), "l_orderkey", "parts", "key", "kind", "_nested")
     text = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
     return cut.select("l_orderkey", text("part").alias("parts"), text("marker.line").alias("inner_lines"), text(F.get("transforms", F.lit(0))["supp"]).alias("inner_supps"), text("colorscale").alias("scale"))
 
 
+#: Keys of a table as needles: the parts of three brands, one in sixteen or so.
+CHOSEN = "(SELECT p_partkey FROM part WHERE p_brand IN ('Brand#11', 'Brand#23', 'Brand#34'))"
+
+
+@query(f"""WITH {LISTED}, c AS (SELECT p_partkey FROM part WHERE p_partkey % 199 = 0), label AS (SELECT string_agg(p_partkey::VARCHAR, '<br />' ORDER BY p_partkey::VARCHAR) AS label FROM c),
+h AS (SELECT l_orderkey, unnest(range(1, len(p) + 1)) AS i, p, n FROM k), m AS (SELECT l_orderkey, i, p[i] AS part, n[i] AS line FROM h WHERE p[i] IN (SELECT p_partkey FROM c)),
+w AS (SELECT l_orderkey, count(*) AS hits, string_agg(part::VARCHAR, ',' ORDER BY i) AS parts, string_agg(line::VARCHAR, ',' ORDER BY i) AS lines FROM m GROUP BY 1)
+SELECT k.l_orderkey AS original, CASE WHEN k.l_orderkey % 4 = 0 THEN array_to_string(p, ',') ELSE parts END AS parts, CASE WHEN k.l_orderkey % 4 = 0 THEN array_to_string(n, ',') ELSE lines END AS lines,
+  CASE WHEN k.l_orderkey % 3 = 0 THEN 'order' ELSE label END AS name, CASE WHEN k.l_orderkey % 5 = 0 THEN 'group' ELSE label END AS legendgroup, 'red' AS colour, CASE WHEN k.l_orderkey % 2 = 0 THEN 0.0 ELSE 1.0 END::DOUBLE AS opacity
+FROM k JOIN w USING (l_orderkey), label WHERE k.l_orderkey % 4 > 0 OR hits = len(p)""")
+def selected_copies(spark, sf_dir):
+    key = F.col("l_orderkey")
+    traces = _order_keys(spark, sf_dir).select(
+        "l_orderkey", "part", "line", F.col("part").alias("key"), F.lit("parts").alias("set"), F.when(key % 4 == 0, "simple").otherwise("flat").alias("kind"),
+        F.when(key % 3 == 0, "order").otherwise("").alias("name"), F.when(key % 5 == 0, "group").alias("legendgroup"), F.lit("blue").alias("colour"), F.when(key % 2 == 0, 0.0).alias("opacity"),
+    )
+    keys = table(spark, sf_dir, "part").filter("p_partkey % 199 = 0").select("p_partkey")
+    cut = matching.selected_copies(traces, keys, "l_orderkey", "parts", "red", matching.joined_keys(keys), kind="kind")
+    text = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+    return cut.select(F.col("_original").alias("original"), text("part").alias("parts"), text("line").alias("lines"), "name", "legendgroup", "colour", "opacity")
+
+
+@query(f"""WITH {LISTED} SELECT l_orderkey, string_agg(p[i]::VARCHAR, ',' ORDER BY i) AS parts FROM (SELECT l_orderkey, p, unnest(range(1, len(p) + 1)) AS i FROM k) WHERE p[i] IN {CHOSEN} GROUP BY 1""")
+def traces_by_table(spark, sf_dir):
+    traces = _order_keys(spark, sf_dir).select("l_orderkey", "part", F.col("part").alias("key"), F.lit("parts").alias("set"))
+    cut = matching.filter_by_keys(traces, group_keys(spark, sf_dir), "l_orderkey", "parts")
+    return cut.select("l_orderkey", F.array_join(F.transform("part", lambda x: x.cast("string")), ",").alias("parts"))
+
+
+@query(f"""WITH {LISTED}, t AS (SELECT *, CASE WHEN l_orderkey % 7 > 0 THEN 'set' || (l_orderkey % 4)::VARCHAR END AS set_name, l_orderkey % 3 AS kind FROM k),
+points AS (SELECT l_orderkey, (l_linenumber - 1)::INTEGER AS i FROM lineitem WHERE l_quantity > 45),
+picked AS (SELECT set_name, unnest(CASE kind WHEN 0 THEN CASE WHEN i < len(p) THEN [p[i + 1], s[i + 1]] ELSE [] END WHEN 1 THEN p ELSE CASE WHEN i % 2 = 0 THEN [p[i + 1]] ELSE [p[i + 1], p[1]] END END) AS key FROM points JOIN t USING (l_orderkey) WHERE set_name IS NOT NULL)
+SELECT set_name, key, count(*) AS n FROM picked GROUP BY ALL""")
+def points_through_traces(spark, sf_dir):
+    key = F.col("l_orderkey")
+    kind = F.when(key % 3 == 0, "nested").when(key % 3 == 1, "simple").otherwise("flat")
+    pairs = F.zip_with("part", "supp", lambda p, s: F.array(p, s))
+    traces = _order_keys(spark, sf_dir).select("l_orderkey", "part", pairs.alias("pairs"), kind.alias("kind"), F.when(key % 7 > 0, F.concat(F.lit("set"), (key % 4).cast("string"))).alias("set"))
+    i = F.col("l_linenumber") - 1
+    several = (key % 3 == 2) & (i % 2 == 1)
+    points = table(spark, sf_dir, "lineitem").filter("l_quantity > 45").select("l_orderkey", F.when(~several, i).alias("number"), F.when(several, F.array(i, F.lit(0))).alias("numbers"))
+    return matching.selected_keys(points, traces, "l_orderkey", "part", "number", "numbers", "kind", "pairs").select(F.col("set").alias("set_name"), "key", "n")
+
+
 @query("""SELECT event_id, d AS difference FROM (SELECT event_id, (2 - event_id % 5)::BIGINT AS d FROM events) WHERE abs(d) > 1""")
 def audit_ratings(spark, sf_dir):
     rated = rating_running(spark, sf_dir).withColumn("published", F.col("new_rating") + F.col("event_id") % 5 - 2)
@@ -583,3 +655,147 @@ def audit_chart(spark, sf_dir):
     ledger = reshape.game_index(table(spark, sf_dir, "orders"), "o_custkey", ["o_orderdate", "o_orderkey"]).select("o_custkey", "idx", "o_totalprice")
     chart = ledger.filter("idx % 10 > 0").withColumn("o_totalprice", F.when(F.col("idx") % 7 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
     return audits.chart_differences(ledger, chart, ["o_custkey", "idx"], "o_totalprice")
+
+
+# Keys of any size ---------------------------------------------------------------------------------
+
+
+@query(ORACLES["rating_running"])
+def rating_running_ranges(spark, sf_dir):
+    games = _event_games(spark, sf_dir)
+    return prefix.running_rating_any(games, ["user_id"], ["ts", "event_id"], "score", "opponent", "opening", "k").select("event_id", "user_id", "new_rating")
+
+
+@query("SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey) AS idx FROM orders")
+def game_index_ranges(spark, sf_dir):
+    return prefix.game_index_any(table(spark, sf_dir, "orders"), "o_orderstatus", ["o_orderdate", "o_orderkey"]).select("o_orderkey", "idx")
+
+
+@query(ORACLES["selection_accumulate"])
+def selection_accumulate_ranges(spark, sf_dir):
+    kept = prefix.accumulate_selection_any(table(spark, sf_dir, "events"), "user_id", "event_type", ["ts", "event_id"], F.col("event_type") == "signup")
+    return kept.select("user_id", "event_type", F.col("first_seen.event_id").alias("first_id"))
+
+
+# Audits that search -------------------------------------------------------------------------------
+
+#: Each order as a game of its customer against another, and that one's own row of it: one in seven is missing, and
+#: names, days and years slip at other rates.
+TWO_SIDED = """md AS (SELECT o_orderkey AS k, substr(md5(o_custkey::VARCHAR), 1, 10) AS a, substr(md5((o_orderkey % 97 + 1)::VARCHAR), 1, 10) AS b, o_orderdate::DATE AS day, CASE o_orderstatus WHEN 'F' THEN 1.0::DOUBLE WHEN 'P' THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS score FROM orders),
+g AS (SELECT 2 * k AS id, a AS player, b AS opponent, day, score FROM md
+  UNION ALL SELECT 2 * k + 1, CASE WHEN k % 5 = 0 THEN substr(b, 1, 3) || substr(b, 5) ELSE b END, a, (CASE WHEN k % 9 = 0 THEN day + INTERVAL 1 YEAR WHEN k % 4 = 1 THEN day + INTERVAL 2 DAY ELSE day END)::DATE, 1.0 - score FROM md WHERE k % 7 > 0)"""
+
+
+def _two_sided(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    k, score = F.col("o_orderkey"), F.when(F.col("o_orderstatus") == "F", 1.0).when(F.col("o_orderstatus") == "P", 0.5).otherwise(0.0)
+    name = lambda c: F.substring(F.md5(c.cast("string")), 1, 10)
+    a, b, day = name(F.col("o_custkey")), name(k % 97 + 1), F.to_date("o_orderdate")
+    slipped = F.when(k % 5 == 0, F.concat(F.substring(b, 1, 3), F.substring(b, 5, 10))).otherwise(b)
+    moved = F.when(k % 9 == 0, F.add_months(day, 12)).when(k % 4 == 1, F.date_add(day, 2)).otherwise(day)
+    one = o.select((2 * k).alias("id"), a.alias("player"), b.alias("opponent"), day.alias("day"), score.alias("score"))
+    return one.unionByName(o.filter(k % 7 > 0).select((2 * k + 1).alias("id"), slipped.alias("player"), a.alias("opponent"), moved.alias("day"), (1.0 - score).alias("score")))
+
+
+@query(f"WITH {TWO_SIDED} SELECT x.id, x.score + y.score AS total FROM g x JOIN g y ON y.player = x.opponent AND y.opponent = x.player AND y.day = x.day")
+def audit_totals(spark, sf_dir):
+    return audits.mirrored(_two_sided(spark, sf_dir), "player", "opponent", "day", "score").select("id", "total")
+
+
+@query(f"WITH {TWO_SIDED} SELECT id FROM g x WHERE opponent IN (SELECT player FROM g) AND NOT EXISTS (SELECT 1 FROM g y WHERE y.player = x.opponent AND y.opponent = x.player AND y.day = x.day)")
+def audit_unmirrored(spark, sf_dir):
+    games = _two_sided(spark, sf_dir)
+    return audits.unmirrored(games, games, "player", "opponent", "day").select("id")
+
+
+@query(f"""WITH RECURSIVE {TWO_SIDED},
+alone AS (SELECT * FROM g x WHERE NOT EXISTS (SELECT 1 FROM g y WHERE y.player = x.opponent AND y.opponent = x.player AND y.day = x.day)),
+posts AS (SELECT name, unnest(grams) AS gram, len(grams) AS n FROM (SELECT name, list_distinct([(' ' || lower(name) || ' ')[i:i + 2] for i in range(1, length(name) + 1)]) AS grams FROM (SELECT player AS name FROM alone UNION SELECT opponent FROM alone))),
+sim AS (SELECT p.name, q.name AS other, 2.0::DOUBLE * count(*) / (max(p.n) + max(q.n)) AS alike FROM posts p JOIN posts q USING (gram) GROUP BY 1, 2 HAVING 2.0::DOUBLE * count(*) / (max(p.n) + max(q.n)) >= 0.6),
+met AS (SELECT x.id, y.id AS other_id, least(p.alike, q.alike) AS alike, p.alike + q.alike AS both_alike, x.score + y.score AS total,
+  CASE WHEN abs(date_diff('day', x.day, y.day)) <= 3 THEN abs(date_diff('day', x.day, y.day)) WHEN month(x.day) = month(y.day) AND day(x.day) = day(y.day) THEN 4 END AS days
+  FROM alone x JOIN sim p ON p.name = x.player JOIN sim q ON q.name = x.opponent JOIN alone y ON y.opponent = p.other AND y.player = q.other AND x.id < y.id),
+pairs AS (SELECT *, row_number() OVER (ORDER BY alike DESC, both_alike DESC, days, id, other_id) AS rk FROM met WHERE days IS NOT NULL AND total = 1.0),
+r AS (
+  SELECT 0 AS step, rk, id, other_id FROM pairs
+  UNION ALL
+  SELECT step + 1, rk, id, other_id FROM r WHERE NOT EXISTS (
+    SELECT 1 FROM r t JOIN (SELECT node, min(rk) AS best FROM (SELECT id AS node, rk FROM r UNION ALL SELECT other_id, rk FROM r) GROUP BY node) u ON u.node = t.id AND u.best = t.rk
+    JOIN (SELECT node, min(rk) AS best FROM (SELECT id AS node, rk FROM r UNION ALL SELECT other_id, rk FROM r) GROUP BY node) v ON v.node = t.other_id AND v.best = t.rk
+    WHERE t.id IN (r.id, r.other_id) OR t.other_id IN (r.id, r.other_id))),
+least_of AS (SELECT step, node, min(rk) AS best FROM (SELECT step, id AS node, rk FROM r UNION ALL SELECT step, other_id, rk FROM r) GROUP BY ALL),
+taken AS (SELECT DISTINCT r.rk FROM r JOIN least_of u ON u.step = r.step AND u.node = r.id AND u.best = r.rk JOIN least_of v ON v.step = r.step AND v.node = r.other_id AND v.best = r.rk)
+SELECT id, other_id, alike, days::INTEGER AS days, total FROM pairs WHERE rk IN (SELECT rk FROM taken)""")
+def audit_near_mirror(spark, sf_dir):
+    return audits.nearly_mirrored(_two_sided(spark, sf_dir), "id", "player", "opponent", "day", "score")
+
+
+@query("""WITH RECURSIVE d AS (SELECT o_custkey, o_orderkey, o_orderdate::DATE AS day FROM orders WHERE o_orderkey % 11 > 0),
+g AS (SELECT o_custkey, list(day ORDER BY o_orderkey) AS d, list(o_orderkey ORDER BY o_orderkey) AS k FROM d GROUP BY 1),
+f AS (SELECT o_custkey, 1 AS i, [1] AS l FROM g
+  UNION ALL SELECT f.o_custkey, i + 1, list_append(l, 1 + coalesce(list_max([l[j] for j in range(1, i + 1) if g.d[j] <= g.d[i + 1]]), 0)) FROM f JOIN g ON g.o_custkey = f.o_custkey WHERE i < len(g.d)),
+whole AS (SELECT f.* FROM f JOIN g USING (o_custkey) WHERE i = len(d)),
+b AS (SELECT o_custkey, l, list_max(l) AS want, i + 1 AS place FROM whole
+  UNION ALL SELECT o_custkey, l, want - 1, list_max([j for j in range(1, place) if l[j] = want]) FROM b WHERE want >= 1),
+kept AS (SELECT g.k[b.place] AS o_orderkey FROM b JOIN g USING (o_custkey) WHERE b.place <= len(g.k))
+SELECT o_orderkey FROM d WHERE o_orderkey NOT IN (SELECT o_orderkey FROM kept)""")
+def audit_disorder(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.when(F.col("o_orderkey") % 11 > 0, F.to_date("o_orderdate")).alias("day"))
+    return audits.order_faults(o, "o_custkey", "o_orderkey", "day").select("o_orderkey")
+
+
+#: Orders by customer and half-year, where every third customer's first three rows of a half-year stand once more at
+#: the end of the next one; a few half-years have their closing set by an adjustment.
+COPIED = f"""{ORDER_GAMES},
+own AS (SELECT o_custkey, (2 * substr(period, 1, 4)::BIGINT + (period LIKE '%P2')::BIGINT) AS period_no, row_number() OVER (PARTITION BY o_custkey, period ORDER BY o_orderkey) AS pos, score, opp FROM games),
+listed AS (SELECT * FROM own UNION ALL SELECT o_custkey, period_no + 1, 100 + pos, score, opp FROM own WHERE o_custkey % 3 = 0 AND pos <= 3),
+met AS (SELECT x.o_custkey, x.period_no, x.pos, x.pos - y.pos AS shift, y.pos AS from_pos FROM listed x JOIN listed y ON y.o_custkey = x.o_custkey AND y.period_no + 1 = x.period_no AND y.score = x.score AND y.opp = x.opp),
+runs AS (SELECT *, pos - row_number() OVER (PARTITION BY o_custkey, period_no, shift ORDER BY pos) AS run FROM met),
+blocks AS (SELECT o_custkey, period_no, min(pos) AS first_pos, min(from_pos) AS from_pos, count(*) AS n FROM runs GROUP BY o_custkey, period_no, shift, run HAVING count(*) >= 2)"""
+
+
+def _copied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    games = _order_games(spark, sf_dir)
+    no = 2 * F.substring("period", 1, 4).cast("long") + F.col("period").endswith("P2").cast("long")
+    own = prefix.game_index_any(games.withColumn("place", F.struct("o_custkey", "period")), "place", ["o_orderkey"]).select("o_custkey", no.alias("period_no"), F.col("idx").alias("pos"), "score", "opponent")
+    again = own.filter("o_custkey % 3 = 0 AND pos <= 3").select("o_custkey", (F.col("period_no") + 1).alias("period_no"), (100 + F.col("pos")).alias("pos"), "score", "opponent")
+    return own.unionByName(again)
+
+
+@query(f"WITH {COPIED} SELECT * FROM blocks")
+def audit_copies(spark, sf_dir):
+    return audits.copied_blocks(_copied(spark, sf_dir), "o_custkey", "period_no", "pos", ["score", "opponent"])
+
+
+@query(f"""WITH {COPIED}, clean AS (SELECT * FROM listed l WHERE NOT EXISTS (SELECT 1 FROM blocks b WHERE b.o_custkey = l.o_custkey AND b.period_no = l.period_no AND l.pos BETWEEN b.first_pos AND b.first_pos + b.n - 1))
+SELECT o_custkey, period_no, count(*) AS n_games, CASE WHEN o_custkey % 11 = 0 AND period_no % 3 = 0 THEN 1500 + o_custkey % 100 ELSE CAST(floor(max(opening) + CAST(sum(CAST(k * (score - {EXPECTED.format(opp='opp', own='opening')}) AS DECIMAL(18,6))) AS DOUBLE) + 0.5) AS BIGINT) END AS closing FROM clean JOIN factors USING (o_custkey) GROUP BY o_custkey, period_no""")
+def repaired_closings(spark, sf_dir):
+    games = _copied(spark, sf_dir)
+    clean = audits.without_copies(games, audits.copied_blocks(games, "o_custkey", "period_no", "pos", ["score", "opponent"]), "o_custkey", "period_no", "pos")
+    closed = ratings.closing_rating(ratings.attach_periods(clean, _openings(spark, sf_dir), ["o_custkey"]), ["o_custkey", "period_no"], "score", "opponent", "opening", "k")
+    set_directly = clean.select("o_custkey", "period_no").distinct().filter("o_custkey % 11 = 0 AND period_no % 3 = 0").withColumn("adjusted", 1500 + F.col("o_custkey") % 100)
+    return ratings.with_adjustments(closed, set_directly, ["o_custkey", "period_no"]).select("o_custkey", "period_no", "n_games", "closing")
+
+
+# Feeds with stored state --------------------------------------------------------------------------
+
+
+@query("SELECT l_partkey AS key FROM lineitem WHERE l_quantity >= 25 INTERSECT SELECT l_partkey FROM lineitem WHERE l_discount >= 0.05 INTERSECT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R'")
+def stream_handles(spark, sf_dir):
+    """The three filters of ``handles_intersect`` set one after the other, a fourth set and cleared, the first set anew."""
+    line = table(spark, sf_dir, "lineitem")
+    state = stored.HandleFeed(spark, "long")
+    steps = [("quantity", "l_quantity >= 45"), ("discount", "l_discount >= 0.05"), ("flag", "l_returnflag = 'R'"), ("line", "l_linenumber = 1"), ("line", None), ("never", None), ("quantity", "l_quantity >= 25")]
+    for n, (handle, where) in enumerate(steps):
+        state.process_table(handle, None if where is None else line.filter(where).select(F.col("l_partkey").alias("key")), n)
+    return state.members(len(steps) - 1)
+
+
+@query(ORACLES["rating_chained"])
+def stream_chained(spark, sf_dir):
+    """Games in three batches, dealt by order number, so later batches change periods in the middle."""
+    games = _order_games(spark, sf_dir).join(_openings(spark, sf_dir).select("o_custkey"), "o_custkey", "left_semi")
+    state = stored.ChainedFeed(spark, _openings(spark, sf_dir).withColumnRenamed("o_custkey", "player"), "long")
+    for n in range(3):
+        state.process(games.filter(F.pmod(F.hash("o_orderkey"), F.lit(3)) == n).select(F.col("o_custkey").alias("player"), "period", "score", "opponent"), n)
+    return state.latest(2).withColumnRenamed("player", "o_custkey")
