@@ -799,3 +799,49 @@ def stream_chained(spark, sf_dir):
     for n in range(3):
         state.process(games.filter(F.pmod(F.hash("o_orderkey"), F.lit(3)) == n).select(F.col("o_custkey").alias("player"), "period", "score", "opponent"), n)
     return state.latest(2).withColumnRenamed("player", "o_custkey")
+
+
+# Forms that the queries above do not reach --------------------------------------------------------
+
+BUILT = """built AS (SELECT page_id, '<h2>Top ' || page_id::VARCHAR || '</h2><!-- <h3>Old</h3><a href="old.html">gone</a> -->' || html || '<H3 class="x">The  End</H3><a href=''end.html''>the <b>end</b></a>' AS h FROM pages)"""
+
+
+@query(rf"""WITH {BUILT}, a AS (SELECT page_id, regexp_extract_all(regexp_replace(h, '(?s)<!--.*?-->', '', 'g'), '(?is)(<h[1-6][^>]*>.*?</h[1-6]>|<a\s[^>]*href\s*=\s*["''][^"'']*["''][^>]*>.*?</a>)', 1) AS m FROM built),
+u AS (SELECT page_id, unnest(m) AS mark, unnest(range(len(m))) AS pos FROM a),
+t AS (SELECT *, lower(mark)[1:2] = '<h' AS head, trim(regexp_replace(regexp_replace(mark, '<[^>]*>', '', 'g'), '\s+', ' ', 'g')) AS plain FROM u),
+w AS (SELECT *, last_value(CASE WHEN head THEN plain END IGNORE NULLS) OVER (PARTITION BY page_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS heading FROM t)
+SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY pos)::INTEGER AS nr, regexp_extract(mark, '(?is)href\s*=\s*["'']([^"'']*)["'']', 1) AS href, plain AS text, heading FROM w WHERE NOT head""")
+def page_links_headed(spark, sf_dir):
+    """Links under their headings, without what stands in comments."""
+    text = lambda t: F.lit(t)
+    built = F.concat(text("<h2>Top "), F.col("page_id").cast("string"), text('</h2><!-- <h3>Old</h3><a href="old.html">gone</a> -->'), "html", text("<H3 class=\"x\">The  End</H3><a href='end.html'>the <b>end</b></a>"))
+    return sources.extract_links(table(spark, sf_dir, "pages").withColumn("html", built), "page_id", comments=False)
+
+
+@query("SELECT p_partkey, coalesce(nullif(CASE WHEN p_partkey % 3 = 0 THEN '' WHEN p_partkey % 3 = 1 THEN p_name END, ''), nullif(CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE '' END, ''), p_type) AS name FROM part")
+def first_names(spark, sf_dir):
+    key = F.col("p_partkey")
+    name = S.first_non_empty(F.when(key % 3 == 0, "").when(key % 3 == 1, F.col("p_name")), F.when(key % 2 == 0, F.col("p_brand")).otherwise(""), F.col("p_type"))
+    return table(spark, sf_dir, "part").select("p_partkey", name.alias("name"))
+
+
+#: First letters in a reader's order: letters first, then accents, whatever the case.
+LETTERS = ["a", "A", "\u00e1", "\u00c4", "b", "e", "\u00c9", "\u00ea", "n", "\u00f1", "o", "\u00d6", "z"]
+PLAIN_LETTERS = "aaaabeeennooz"
+
+
+@query(f"""WITH l(i, letter, plain) AS (VALUES {', '.join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(zip(LETTERS, PLAIN_LETTERS)))})
+SELECT c_custkey, letter || right(c_name, 9) AS name, row_number() OVER (ORDER BY plain, right(c_name, 9)) - 1 AS place FROM customer JOIN l ON i = c_custkey % {len(LETTERS)}""")
+def collated_accents(spark, sf_dir):
+    letters = F.array(*[F.lit(x) for x in LETTERS])
+    name = F.concat(F.get(letters, (F.col("c_custkey") % len(LETTERS)).cast("int")), F.substring("c_name", -9, 9))
+    return bands.places(table(spark, sf_dir, "customer").select("c_custkey", name.alias("name")), bands.reader_order("name")).select("c_custkey", "name", "place")
+
+
+@query(ORACLES["key_diff"])
+def key_diff_unique(spark, sf_dir):
+    """``key_diff`` of lists that are refused if a key is repeated."""
+    days = table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day")).distinct()
+    first = days.agg(F.min("day").alias("first"))
+    of = lambda n: days.join(F.broadcast(first), F.col("day") == F.date_add("first", n)).select("user_id")
+    return linked.key_diff(of(7), of(14), "user_id", unique=True)
