@@ -7,9 +7,10 @@
 * Every point is dropped down every tree, and the rows (tree, leaf, point) are the index.
 * A query walks all trees from one priority queue: the node whose worst margin on its path is best comes
   first, whichever tree it is of, until the leaves found hold ``search`` sample points.  As leaves grow with
-  the data, ``search`` is a share of it: ``share`` of the sample.  Near-isotropic vectors have no cells that hold
-  their neighbours, so a recall of 0.9 takes most rows there whatever the forest (figures in the README); vectors
-  with structure reach it with a smaller ``share``.
+  the data, ``search`` is a share of it: ``share`` of the sample.  It is fitted: ``PROBES`` points of the sample walk the
+  trees, and ``share`` is what finds ``RECALL`` of their nearest within the sample.  All rows together hold nearer
+  ones, which are found no later.  Near-isotropic vectors have no cells that hold their neighbours, so most rows are
+  visited there whatever the forest (figures in the README); vectors with structure take a smaller share.
 * Queries meet the points of their leaves by an equality join on (tree, leaf); leaf tables are salted into
   blocks of at most ``BLOCK`` points.  Each block is reranked exactly, in double precision, against the
   block's queries at once, and only its best few go on.
@@ -18,6 +19,7 @@
 from __future__ import annotations
 
 import heapq
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +33,8 @@ from .common import Scratch, read_table
 TREES = 4
 LEAF = 48
 SAMPLE = 8_192
-SHARE = 1.3  # of the sample, over all trees: each point counts once for every tree
+PROBES = 256  # points of the sample that the share is fitted on
+RECALL = 0.96  # of their nearest points within the sample that it has to find
 BLOCK = 2_000
 DEALT = 256  # queries of a task, and the most tasks they are dealt to
 PARTS = 20_000
@@ -86,22 +89,45 @@ class Forest:
             out[:, t] = -node - 1
         return out
 
-    def search(self, vector: np.ndarray, budget: float) -> list[tuple[int, int]]:
-        """(tree, leaf) in the order of one queue for all trees, until their sample points reach ``budget``."""
+    def walk(self, vector: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(tree, leaf, sample points of the leaves before) in the order of one queue for all trees."""
         margins = [planes @ vector - cuts for _, planes, cuts, _, _ in self.trees]
         queue = [(-np.inf, t, tree[0]) for t, tree in enumerate(self.trees)]
-        out, held = [], 0
-        while queue and held < budget:
+        held = 0
+        while queue:
             worst, t, node = heapq.heappop(queue)
             if node < 0:
-                out.append((t, -node - 1))
+                yield t, -node - 1, held
                 held += int(self.trees[t][4][-node - 1])
                 continue
             m = float(margins[t][node])
             left, right = self.trees[t][3][node]
             heapq.heappush(queue, (max(worst, m), t, int(left)))
             heapq.heappush(queue, (max(worst, -m), t, int(right)))
-        return out
+
+    def search(self, vector: np.ndarray, budget: float) -> list[tuple[int, int]]:
+        """The leaves of a walk until their sample points reach ``budget``."""
+        return [(t, leaf) for t, leaf, _ in itertools.takewhile(lambda x: x[2] < budget, self.walk(vector))]
+
+
+def fitted_share(forest: Forest, sample: np.ndarray, k: int, recall: float = RECALL) -> float:
+    """The least share of the sample at which probes find ``recall`` of their ``k`` nearest in it; all of it for a
+    sample of few points."""
+    if len(sample) <= k + 1:
+        return float(len(forest.trees))
+    where = forest.leaves(sample)
+    needed: list[int] = []
+    for p in np.linspace(0, len(sample) - 1, min(PROBES, len(sample))).astype(int):
+        near = sample @ sample[p]
+        near[p] = -np.inf
+        left = set(np.argpartition(-near, k)[:k].tolist())
+        for t, leaf, before in forest.walk(sample[p]):
+            met = [i for i in left if where[i, t] == leaf]
+            needed += [before] * len(met)
+            left.difference_update(met)
+            if not left:
+                break
+    return (float(np.quantile(needed, recall, method="higher")) + 1) / len(sample)
 
 
 def usable(vector: Column) -> Column:
@@ -135,17 +161,18 @@ def best_of_block(asked: pd.DataFrame, points: pd.DataFrame, k: int) -> pd.DataF
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE, share: float = SHARE) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE, share: float | None = None) -> DataFrame:
     """The ``k`` nearest rows of ``vectors`` for each row of ``queries``: query_id, rank, vec_id, score.
 
     Unusable vectors (see ``usable``), rows without id and vectors of another length than the query take no
     part.  A row with the query's id is its own row, not a candidate.  Of rows that repeat an id, a query is
-    the one with the smallest vector, and a candidate counts with its best.  Ties go to the smaller id.
+    the one with the smallest vector, and a candidate counts with its best.  Ties go to the smaller id.  Ids may be of
+    any type with an order, the same on both sides.
     Without queries or candidates the result is empty.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "neighbours")
-    pick = lambda df: df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").alias("v")).filter(F.col("id").isNotNull() & usable(F.col("v")))
+    pick = lambda df: df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{vector_col}`").alias("v")).filter(F.col("id").isNotNull() & usable(F.col("v")))
     # Spark limits each task's rows of a vector before the shuffle, so one that a third of all rows share
     # stays small
     first = F.row_number().over(Window.partitionBy("v").orderBy("id"))
@@ -157,10 +184,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vect
     for width, n in sorted(points.groupBy("width").count().collect()):
         own, ask = points.filter(F.col("width") == width), asked.filter(F.col("width") == width)
         rows = own.orderBy("point", "ids").limit(sample).select("v").toArrow().column(0).to_pylist()
-        part = _search(Forest(unit(matrix(rows)), trees, leaf), own, n, ask, k, share)
+        grown = unit(matrix(rows))
+        forest = Forest(grown, trees, leaf)
+        part = _search(forest, own, n, ask, k, fitted_share(forest, grown, k) if share is None else share)
         found = part if found is None else found.unionByName(part)
     if found is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        of = lambda df: df.schema[id_col].dataType.simpleString()
+        return spark.createDataFrame([], f"query_id {of(queries)}, rank int, vec_id {of(vectors)}, score double")
     return found.select("query_id", "rank", "vec_id", "score")
 
 
@@ -171,7 +201,7 @@ def _search(forest: Forest, points: DataFrame, n_points: int, asked: DataFrame,
     salts = max(1, -(-n_points * len(forest.trees) // (n_leaves * BLOCK)))
     n_asked = asked.count()
     parts = max(1, -(-int(n_asked * min(1.0, share / len(forest.trees)) * len(forest.trees)) // (len(forest.trees) * BLOCK)))
-    vector = points.schema["v"].dataType.simpleString()
+    vector, ids, asked_id = points.schema["v"].dataType.simpleString(), points.schema["ids"].dataType.simpleString(), asked.schema["id"].dataType.simpleString()
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -191,20 +221,20 @@ def _search(forest: Forest, points: DataFrame, n_points: int, asked: DataFrame,
                 yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in got], pa.int32()), pa.array([x for _, x in got], pa.int32()), *(c.take(again) for c in one.columns)], names=["tree", "leaf", "id", "v"])
 
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    leaves = points.select("v", "ids", "point").mapInArrow(index, f"tree int, leaf int, v {vector}, ids array<bigint>, point long")
+    leaves = points.select("v", "ids", "point").mapInArrow(index, f"tree int, leaf int, v {vector}, ids {ids}, point long")
     leaves = leaves.withColumn("salt", F.pmod("point", F.lit(salts)).cast("int")).withColumn("part", spread(parts))
     # walking the trees takes time, not bytes, so queries are dealt by their number
     dealt = asked.select("id", "v").repartition(min(PARTS, max(1, -(-n_asked // DEALT))), "id")
-    probes = dealt.mapInArrow(probe, f"tree int, leaf int, id long, v {vector}")
+    probes = dealt.mapInArrow(probe, f"tree int, leaf int, id {asked_id}, v {vector}")
     probes = probes.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")).withColumn("salt", spread(salts))
     key = ["tree", "leaf", "salt", "part"]
 
     def rerank(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
+            return pd.DataFrame({"query_id": left["id"][:0], "vec_id": pd.Series([], dtype=left["id"].dtype), "score": pd.Series([], dtype=float)})
         return best_of_block(left, right, k)
 
-    pairs = probes.groupBy(*key).cogroup(leaves.groupBy(*key)).applyInPandas(rerank, "query_id long, vec_id long, score double")
+    pairs = probes.groupBy(*key).cogroup(leaves.groupBy(*key)).applyInPandas(rerank, f"query_id {asked_id}, vec_id {ids[6:-1]}, score double")
     single = pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return single.withColumn("rank", rank).filter(F.col("rank") <= k)

@@ -40,3 +40,40 @@ def test_ties_copies_and_odd_vectors(spark):
     assert N.nearest(df.limit(0), df).count() == 0 and N.nearest(df, df.limit(0)).count() == 0
     few = df.filter("vec_id < 3").withColumnRenamed("embedding", "v")
     assert N.nearest(few, few, vector_col="v").count() == 6
+
+
+@pytest.mark.parametrize("n", [2_000, 40_000])
+def test_clustered_vectors_visit_few_rows(n):
+    """The share fitted on the sample, on clusters of 100 vectors: recall over all rows, and rows visited."""
+    rng = np.random.default_rng(n)
+    centres = rng.normal(size=(n // 100, 32))
+    rows = np.repeat(centres, 100, axis=0) + 0.3 * rng.normal(size=(n, 32))
+    rows = N.unit(rows[rng.permutation(n)])
+    sample = rows[: N.SAMPLE]
+    forest = N.Forest(sample, N.TREES, N.LEAF)
+    share = N.fitted_share(forest, sample, 5)
+    where = forest.leaves(rows)
+    hit = visited = 0
+    asked = range(0, n, n // 40)
+    for q in asked:
+        cosine = rows @ rows[q]
+        cosine[q] = -np.inf
+        near = np.argpartition(-cosine, 5)[:5]
+        seen = np.zeros(n, bool)
+        for t, leaf in forest.search(rows[q], share * forest.size):
+            seen |= where[:, t] == leaf
+        hit += int(seen[near].sum())
+        visited += int(seen.sum())
+    assert hit >= 0.9 * 5 * len(asked) and visited < 0.3 * n * len(asked)
+
+
+def test_text_ids(spark):
+    rng = np.random.default_rng(4)
+    rows = [(f"a-{i}", rng.normal(size=8).tolist()) for i in range(60)]
+    df = spark.createDataFrame(rows, "name string, embedding array<double>")
+    got = N.nearest(df, df.filter("name IN ('a-1', 'a-2')"), id_col="name").collect()
+    v = {n: np.array(x) / np.linalg.norm(x) for n, x in rows}
+    for q in ("a-1", "a-2"):
+        want = sorted((-(v[q] @ v[n]), n) for n in v if n != q)[:5]
+        assert len({r.vec_id for r in got if r.query_id == q} & {n for _, n in want}) >= 4
+    assert N.nearest(df.limit(0), df.limit(0), id_col="name").count() == 0
