@@ -65,9 +65,15 @@ PARAGRAPHS = {
     "Unlicense-Grant": "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
     "Zlib-Disclaimer": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
 }
-TEMPLATES = NOTICES | PARAGRAPHS
+#: Identifiers that stand in tags of source files.
+TAGGED = (
+    "0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "GPL-2.0-only", "GPL-2.0-or-later",
+    "GPL-3.0-only", "GPL-3.0-or-later", "ISC", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MPL-2.0", "Unlicense", "Zlib",
+)
+TAGS = {f"Tag-{name}": f"SPDX-License-Identifier: {name}" for name in TAGGED}
+TEMPLATES = NOTICES | PARAGRAPHS | TAGS
 FEW = 4  # keys of a template that are looked for as pairs of words
-BLANK = r"\n(?:[ \t\r]*\n)+"
+BLANK = r"\n(?:[^A-Za-z0-9\n]*\n)+"  # one or more lines without an ASCII letter or digit: empty, or comment marks alone
 
 
 def template_bigrams(text: str) -> list[str]:
@@ -147,7 +153,8 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Null and empty texts and units of fewer than two words match nothing; repeated rows repeat their rows; a
     null id is kept; other columns are left out, whatever their names; an empty table gives an empty one; texts
-    of any length are taken whole.  A notice inside a longer line or paragraph is not found by itself.
+    of any length are taken whole.  Paragraphs are divided by lines without letters and digits, so also by lines of
+    comment marks alone.  A notice inside a longer line or paragraph is not found by itself.
     """
     table = candidates(docs.sparkSession, templates or TEMPLATES, threshold)
     least = min((size_bounds(len(b), threshold)[0] for b in map(template_bigrams, (templates or TEMPLATES).values()) if b), default=1)

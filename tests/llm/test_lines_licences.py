@@ -71,3 +71,24 @@ def test_lines_with_clashing_names(spark):
     got = D.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} int" for n in names)))
     assert got.columns == ["doc_id", "text", *names, "n_lines", "n_removed"]
     assert {(r.doc_id, r.text, r._id, r.cut) for r in got.collect()} == {(1, "a\nb\nc", 0, 5), (2, "x", 0, 5), (3, None, 0, 5)}
+
+
+@pytest.mark.parametrize("mark", ["# ", "// ", " * ", "-- ", ";; "])
+def test_headers_as_they_stand_in_files(spark, mark):
+    """Each paragraph's header in a comment of a file of 200 lines, paragraphs divided by lines of comment marks alone."""
+    import textwrap
+
+    rows = []
+    for i, (name, text) in enumerate(sorted(L.PARAGRAPHS.items())):
+        head = [mark + x for x in textwrap.wrap(text, 66)]
+        above = [mark + "Copyright 2020 The Authors", mark.rstrip()]
+        code = [f"let value_{k} = compute({k}) + {k * 7}" for k in range(200 - len(head))]
+        rows.append((i, "\n".join([*above, *head, mark.rstrip(), "", *code])))
+    got = {(r.doc_id, r.licence) for r in L.scan_licences(spark.createDataFrame(rows, "doc_id int, text string")).filter("unit = 'paragraph' OR unit = 'line'").collect()}
+    assert {(i, name) for i, (name, text) in enumerate(sorted(L.PARAGRAPHS.items())) if len(text) > 66} <= got
+
+
+def test_tags(spark):
+    rows = [(i, f"#!/bin/sh\n# SPDX-License-Identifier: {name}\necho {i}") for i, name in enumerate(L.TAGGED)] + [(100, "/* SPDX-License-Identifier: Nobody */\nx"), (101, "// SPDX-License-Identifier: MIT */")]
+    got = {(r.doc_id, r.licence) for r in L.scan_licences(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert got == {(i, f"Tag-{name}") for i, name in enumerate(L.TAGGED)} | {(101, "Tag-MIT")}
