@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingloom.operators.prefix import running
-from ratingloom.sources.shared import saved
+from ratingloom.sources.shared import forget, saved
 
 
 def rating_differences(rated: DataFrame, computed: str, published: str, tolerance: int = 1) -> DataFrame:
@@ -103,7 +103,9 @@ def best_pairs(pairs: DataFrame, left: str, right: str, order: list[Column]) ->
         ranked = left_over.withColumn("_l", F.row_number().over(Window.partitionBy(left).orderBy(*order))).withColumn("_r", F.row_number().over(Window.partitionBy(right).orderBy(*order)))
         best = saved(ranked.filter("_l = 1 AND _r = 1").select(*names), "best-pairs")
         taken = best if taken is None else taken.unionByName(best)
-        left_over = saved(left_over.join(best.select(left), left, "left_anti").join(best.select(right), right, "left_anti"), "pairs")
+        rest = saved(left_over.join(best.select(left), left, "left_anti").join(best.select(right), right, "left_anti"), "pairs")
+        forget(left_over)
+        left_over = rest
     return left_over if taken is None else taken
 
 

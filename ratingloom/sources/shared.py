@@ -24,6 +24,14 @@ def saved(rows: DataFrame, label: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def forget(rows: DataFrame) -> None:
+    """Delete the files of a table that ``saved`` returned, which no later plan reads."""
+    spark = rows.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in rows.inputFiles()}:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def is_folder(spark: SparkSession, path: str) -> bool:
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory()
