@@ -12,7 +12,7 @@
 4. Short lists (``SHORT`` classes or fewer) are counted at once.  In a longer list every class first meets one of
    the list, its centre; classes that end up in one component need not meet again, which settles lists of copies in
    steps that grow with the list.  Lists that hold several components after ``ROUNDS`` such steps are split
-   by the next rarest common value where that makes fewer pairs, cut into blocks of ``BLOCK`` classes, and counted
+   by the next rarest common value where that makes fewer pairs, cut into blocks of ``BLOCK`` to ``LARGEST`` classes, and counted
    block against block, again but for pairs within one component.
 5. Components come from alternating large-star and small-star steps on tables; nothing of them reaches the
    driver but counts.
@@ -37,7 +37,8 @@ PERCENT = 80
 SHORT = 8  # classes of a list that are counted at once
 STAR = 64  # classes that meet a centre in one group
 ROUNDS = 2
-BLOCK = 250  # classes of a block, at most
+BLOCK = 250  # classes of a block in a list of up to 1,000
+LARGEST = 1_000  # classes of a block in any list; between the two, a list is cut into four
 BLOCK_SHINGLES = 500_000  # shingles of a block or group, but for a longer text
 HELD = 8_192  # rows that are counted at a time
 COLUMNS = 8_192  # of an incidence matrix at a time
@@ -347,9 +348,11 @@ def key(*parts: Column) -> Column:
     return F.xxhash64(*parts)
 
 
-def groups_of(size: str = "m", shingles: str = "shingles", most: int = BLOCK) -> Column:
-    """How many groups members are dealt to, by their number and their shingles."""
-    return F.greatest(F.ceil(F.col(size) / most), F.ceil(F.col(shingles) / BLOCK_SHINGLES), F.lit(1)).cast("int")
+def groups_of(size: str = "m", shingles: str = "shingles", most: int | None = None) -> Column:
+    """How many groups members are dealt to, by their number and their shingles.  Without ``most`` these are blocks: a
+    member is sent to each of them, so blocks grow with the list."""
+    held = F.least(F.lit(LARGEST), F.greatest(F.lit(BLOCK), F.ceil(F.col(size) / 4))) if most is None else F.lit(most)
+    return F.greatest(F.ceil(F.col(size) / held), F.ceil(F.col(shingles) / BLOCK_SHINGLES), F.lit(1)).cast("int")
 
 
 def stars(posts: DataFrame, labels: DataFrame | None, number: int, scratch: Scratch) -> DataFrame:
