@@ -12,7 +12,8 @@
 4. Short lists (``SHORT`` classes or fewer) are counted at once.  In a longer list every class first meets one of
    the list, its centre; classes that end up in one component need not meet again, which settles lists of copies in
    steps that grow with the list.  Lists that hold several components after ``ROUNDS`` such steps are split
-   by the next rarest common value where that makes fewer pairs, cut into blocks of ``BLOCK`` to ``LARGEST`` classes, and counted
+   by the next rarest common value where that makes fewer pairs, made one where they have nearly the same members, so
+   that these meet once and not in every list they share, cut into blocks of ``BLOCK`` to ``LARGEST`` classes, and counted
    block against block, again but for pairs within one component.
 5. Components come from alternating large-star and small-star steps on tables; nothing of them reaches the
    driver but counts.
@@ -37,6 +38,7 @@ PERCENT = 80
 SHORT = 8  # classes of a list that are counted at once
 STAR = 64  # classes that meet a centre in one group
 ROUNDS = 2
+UNIONS = 3  # orders in which lists of the same members are looked for
 BLOCK = 250  # classes of a block in a list of up to 1,000
 LARGEST = 1_000  # classes of a block in any list; between the two, a list is cut into four
 BLOCK_SHINGLES = 500_000  # shingles of a block or group, but for a longer text
@@ -381,9 +383,26 @@ def blocked(lists: DataFrame, scratch: Scratch) -> DataFrame:
     return met.select("g", (lo * F.col("blocks") + hi).cast("int").alias("part"), "at", (F.col("block") == hi).cast("int").alias("side"), "node")
 
 
+def families(lists: DataFrame, scratch: Scratch) -> DataFrame:
+    """``lists`` (g, at, node, n, pairs: what the list costs) with lists of nearly the same members made one, where all pairs
+    of the union are no more than the lists' own together.  Lists that have the same first member in an
+    order of the classes are tried, in ``UNIONS`` orders; pairs of a union count whatever their rarest common values."""
+    for number in range(UNIONS):
+        first = scratch.save(lists.groupBy("g").agg(F.min(F.xxhash64("node", F.lit(number))).alias("first"), F.first("pairs").alias("pairs")))
+        cost = first.groupBy("first").agg(F.sum("pairs").alias("pairs"), F.count(F.lit(1)).alias("several")).filter("several > 1")
+        size = lists.join(first.join(cost.select("first"), "first", "left_semi").select("g", "first"), "g").select("first", "node").distinct().groupBy("first").agg(F.count(F.lit(1)).cast("double").alias("m"))
+        chosen = size.join(cost, "first").filter("m * m <= pairs").select("first", (F.col("m") * F.col("m")).alias("all"))
+        chosen = scratch.save(first.select("g", "first").join(chosen, "first"))
+        if chosen.isEmpty():
+            continue
+        united = lists.join(chosen, "g").select(F.xxhash64("first", F.lit(number)).alias("g"), F.lit(0).alias("at"), "node", "n", F.col("all").alias("pairs")).distinct()
+        lists = scratch.save(lists.join(chosen, "g", "left_anti").unionByName(united))
+    return lists
+
+
 def residue(posts: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
     """All members of lists against each other.  A list of over ``BLOCK`` members is split by the next common
-    pair, where that halves the pairs at least."""
+    pair, where that halves the pairs at least, or made one with lists of the same members."""
     count = scratch.save(posts.groupBy("g").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > BLOCK))
     long = scratch.save(posts.join(count, "g"))
     if long.isEmpty():
@@ -392,8 +411,11 @@ def residue(posts: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame
     split = long.join(classes.select("node", "own"), "node").select("g", "at", "m", "node", "n", prefix(2, place).alias("pos", "p"))
     split = scratch.save(split.select("g", "m", (F.col("at") + (COORDINATES + 1) * (F.col("p.c") + 1)).cast("int").alias("at"), key(F.col("g"), F.col("p.c"), F.col("p.value")).alias("sub"), "node", "n"))
     pairs = split.groupBy("g", "m", "sub").agg(F.count(F.lit(1)).cast("double").alias("s")).groupBy("g", "m").agg(F.sum(F.col("s") * F.col("s")).alias("pairs"))
-    better = scratch.save(pairs.filter(2 * F.col("pairs") < F.col("m").cast("double") * F.col("m")).select("g"))
-    rest = posts.select("g", "at", "node", "n").join(better, "g", "left_anti")
+    better = scratch.save(pairs.filter(2 * F.col("pairs") < F.col("m").cast("double") * F.col("m")).select("g", "pairs"))
+    own = F.coalesce("pairs", F.col("m").cast("double") * F.col("m"))
+    lists = families(scratch.save(long.join(better, "g", "left").select("g", "at", "node", "n", own.alias("pairs"))), scratch).drop("pairs")
+    better = scratch.save(better.join(lists, "g", "left_semi").select("g"))
+    rest = posts.select("g", "at", "node", "n").join(count, "g", "left_anti").unionByName(lists.join(better, "g", "left_anti"))
     return blocked(rest.unionByName(split.join(better, "g", "left_semi").select(F.col("sub").alias("g"), "at", "node", "n")), scratch)
 
 

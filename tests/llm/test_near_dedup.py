@@ -119,3 +119,28 @@ def test_columns_with_clashing_names(spark):
     names = ["_id", "_print", "id", "print", "node", "label", "g"]
     docs = spark.createDataFrame([(2, text, *range(7)), (1, text, *range(7))], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
     assert [(r.doc_id, r._print) for r in N.drop_near_duplicates(docs).collect()] == [(1, 1)]
+
+
+def test_lists_of_one_family_meet_once(spark, monkeypatch):
+    """Copies with a few words of their own share most values, so that one list after another holds nearly all of them."""
+    monkeypatch.setattr(N, "BLOCK", 20)
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(240):
+        words = list(base)
+        for _ in range(rng.randint(2, 6)):
+            words[rng.randrange(120)] = f"x{rng.randrange(10**9)}"
+        rows.append((i, " ".join(words)))
+    sent, blocked = [], N.blocked
+
+    def watched(lists, scratch):
+        sent.append((lists.count(), lists.select("node").distinct().count()))
+        return blocked(lists, scratch)
+
+    monkeypatch.setattr(N, "blocked", watched)
+    found = N.near_components(spark.createDataFrame(rows, "doc_id long, text string"), width=4)
+    found = {r.id: (r.n_shingles, r.component_id) for r in found.collect()}
+    assert found == brute(rows, 4) and 1 < len({c for _, c in found.values()})
+    posts, classes = sent[-1]
+    assert len(sent) == 2 and posts <= 4 * classes
