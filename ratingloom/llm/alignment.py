@@ -21,7 +21,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain
+from itertools import accumulate, chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,7 @@ from .common import Scratch, batch, read_table, small_batches
 
 MEMO = 250_000  # segments that a worker remembers before it starts afresh
 KEPT = 400  # characters of the longest segment that it remembers
+JOINED = 50  # segments that are encoded as one text
 
 
 def default_pieces() -> str:
@@ -63,7 +64,7 @@ def aligned_groups(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     i = j = 0
     while i < len(a) and j < len(b):
-        run = stretch(a, i, b, j)
+        run = stretch(a, i, b, j) if a[i] == b[j] else 0
         out += [(i + k + 1, j + k + 1) for k in range(run)]
         i, j = i + run, j + run
         if i < len(a) and j < len(b):  # the shift ends here: the list that is behind moves until both meet
@@ -94,8 +95,16 @@ class Vocabularies:
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_a = merges(path_a).token
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
+        self.size_a = [len(self.bytes_a.get(i, b"")) for i in range(max(self.bytes_a, default=-1) + 1)]
+        self.size_b = list(map(len, self.bytes_b))
+        self.names = list(map(str, range(max(len(self.size_a), len(self.size_b)))))
         self.pairs = self._linkable()
 
+    def spelt(self, text: str, a: list[int], b: list[int]) -> bool:
+        """Whether the tokens' bytes are those of the text."""
+        raw = text.encode()
+        return b"".join(map(self.bytes_a.__getitem__, a)) == raw and b"".join(map(self.bytes_b.__getitem__, b)) == raw
+
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         if self.b.is_byte(i):
@@ -155,31 +164,54 @@ class Aligner:
         self.memo: dict[str, Segment] = {}
 
     def new_segments(self, texts: list[str]) -> list[Segment]:
-        """The segments space + text."""
-        own, out, links = self.own, [], []
+        """The segments space + text.  Those that begin and end with characters other than white space are encoded
+        ``JOINED`` at a time, with the spaces that they were cut at; one by one where that does not spell them."""
+        stable = [t and not t[0].isspace() and not t[-1].isspace() for t in texts]
+        joined = list(compress(texts, stable))
+        units = [joined[k : k + JOINED] for k in range(0, len(joined), JOINED)]
+        found: dict[str, Segment] = {}
+        again = self._walk(units + [[t] for t, s in zip(texts, stable) if not s], found)
+        self._walk([[t] for unit in again if len(unit) > 1 for t in unit], found)
+        return [found.get(t, WRONG) for t in texts]
+
+    def _walk(self, units: list[list[str]], known: dict[str, Segment]) -> list[list[str]]:
+        """Puts the segments of ``units`` into ``known``, walked end to end; gives back the units that are not spelt by
+        their tokens, or in which a segment does not end where tokens of both do."""
+        own = self.own
+        texts = [" ".join(unit) for unit in units]
         ids_b = own.b.encode(texts, num_threads=1)
         texts = [" " + t for t in texts]
         ids_a = [e.ids for e in own.a.encode_batch_fast(texts, add_special_tokens=False)]
-        for text, a, b in zip(texts, ids_a, ids_b):
-            parts_a, parts_b = [own.bytes_a[i] for i in a], [own.bytes_b[i] for i in b]
-            raw = text.encode()
-            if b"".join(parts_a) != raw or b"".join(parts_b) != raw:
-                out.append(WRONG)
-                continue
-            found = aligned_groups(list(accumulate(map(len, parts_a))), list(accumulate(map(len, parts_b))))
-            as_text, i, j = [], 0, 0
-            names_a, names_b = list(map(str, a)), list(map(str, b))
-            for to_i, to_j in found:
+        spelt = [own.spelt(text, a, b) for text, a, b in zip(texts, ids_a, ids_b)]
+        refused = [unit for unit, right in zip(units, spelt) if not right]
+        units = list(compress(units, spelt))
+        if not units:
+            return refused
+        all_a, all_b = list(chain.from_iterable(compress(ids_a, spelt))), list(chain.from_iterable(compress(ids_b, spelt)))
+        ends_a = list(accumulate(map(own.size_a.__getitem__, all_a)))
+        groups = aligned_groups(ends_a, list(accumulate(map(own.size_b.__getitem__, all_b))))
+        last = np.array(groups, np.int64) - 1
+        ends = np.array(ends_a, np.int64)[last[:, 0]]
+        segment_ends = np.cumsum([len(s.encode()) + 1 for unit in units for s in unit])
+        stops = np.searchsorted(ends, segment_ends, "right")
+        if (ends[stops - 1] != segment_ends).any():
+            return refused + [unit for unit in units if len(unit) > 1] + self._walk([unit for unit in units if len(unit) == 1], known)
+        names_a, names_b = list(map(own.names.__getitem__, all_a)), list(map(own.names.__getitem__, all_b))
+        as_text, i, j = [], 0, 0
+        for to_i, to_j in groups:
+            if to_i - i == 1 == to_j - j:
+                as_text.append(names_a[i] + "|" + names_b[j])
+            else:
                 as_text.append(f"{','.join(names_a[i:to_i])}|{','.join(names_b[j:to_j])}")
-                links.append(a[to_i - 1] << 32 | b[to_j - 1])
-                i, j = to_i, to_j
-            out.append((len(a), len(b), len(found), ";".join(as_text), b""))
-        numbers, at = np.searchsorted(own.pairs, np.array(links, np.int64)).astype("<i4").tobytes(), 0
-        for k, (n_a, n_b, n, as_text, _) in enumerate(out):
-            if n:
-                out[k] = (n_a, n_b, n, as_text, numbers[at : at + 4 * n])
-                at += 4 * n
-        return out
+            i, j = to_i, to_j
+        links = np.array(all_a, np.int64)[last[:, 0]] << 32 | np.array(all_b, np.int64)[last[:, 1]]
+        numbers = np.searchsorted(own.pairs, links).astype("<i4").tobytes()
+        sizes = np.diff(last[stops - 1], axis=0, prepend=-1).tolist()
+        at = 0
+        for segment, (n_a, n_b), to in zip(chain.from_iterable(units), sizes, stops.tolist()):
+            known[segment] = (n_a, n_b, to - at, ";".join(as_text[at:to]), numbers[4 * at : 4 * to])
+            at = to
+        return refused
 
     def align(self, texts: list[str | None]) -> list[list[Segment]]:
         """The segments of each text; none where the text is null or empty."""

@@ -113,3 +113,16 @@ def test_stretch_probes():
 def test_pairs_are_bounded():
     own = A.vocabularies(P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model"))
     assert 0 < len(own.pairs) <= sum(map(len, own.bytes_a.values())) + sum(map(len, own.bytes_b))
+
+
+def test_segments_are_encoded_many_at_a_time(monkeypatch):
+    """What a segment has does not depend on those it is encoded with; one that is not spelt spoils no other."""
+    own = A.Aligner(A.default_vocabulary(), A.default_pieces())
+    texts = [f"w{i}ord{i * i}" for i in range(200)] + ["don't", "'s", "１２", "é.", "<s>", "▁a", "a▁", "x\x00y", "ﬁ", "", "a\tb ", "a  b", "\n", "z" * 500]
+    alone = {t: own.new_segments([t])[0] for t in texts}
+    assert A.WRONG in alone.values() and own.new_segments([]) == []
+    encoded, walk = [], A.aligned_groups
+    monkeypatch.setattr(A, "aligned_groups", lambda a, b: encoded.append(len(a)) or walk(a, b))
+    assert own.new_segments(texts[:200]) == [alone[t] for t in texts[:200]]
+    assert len(encoded) == 1
+    assert own.new_segments(texts) == [alone[t] for t in texts]
