@@ -43,6 +43,12 @@ def round_half_up(c: Column, places: int) -> Column:
     return F.floor(c * f + 0.5) / F.lit(f)
 
 
+def round_half_away(c: Column) -> Column:
+    """A whole number with ties away from zero, as SQL's ``round`` has it; ``rint`` takes ties to the even one."""
+    near = F.rint(c)
+    return F.when(F.abs(c - near) == 0.5, c + F.signum(c) * 0.5).otherwise(near)
+
+
 def utc_day(millis: Column) -> Column:
     """yyyy-MM-dd of epoch milliseconds; the session's zone has to be UTC."""
     return F.date_format(F.timestamp_millis(millis), "yyyy-MM-dd")

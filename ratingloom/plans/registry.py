@@ -393,7 +393,7 @@ def stream_change(spark, sf_dir):
 
 @query("SELECT event_id, user_id, old_value, value FROM (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS old_value FROM (SELECT event_id, user_id, ts, round(value / 50) AS value FROM events)) WHERE value IS DISTINCT FROM old_value")
 def stream_change_numbers(spark, sf_dir):
-    rows = feeds.read_feed(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.rint(F.col("value") / 50).alias("value"))
+    rows = feeds.read_feed(spark, sf_dir, "events").select("user_id", "ts", "event_id", S.round_half_away(F.col("value") / 50).alias("value"))
     closable = feeds.Closable(rows, "ts")
     return feeds.drain(feeds.changes(closable.feed, "user_id", "ts", "event_id", "value"), closable=closable).select("event_id", "user_id", "old_value", "value")
 

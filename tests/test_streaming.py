@@ -1,11 +1,12 @@
 import datetime as dt
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from ratingloom.operators import linked
-from ratingloom.plans.registry import QUERIES
+from ratingloom.plans.registry import ORACLES, QUERIES
 from ratingloom.streaming import feeds
 
 ZERO = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
@@ -33,6 +34,17 @@ def test_nulls_between_batches(spark, tmp_path):
     assert feeds.drain(feeds.read_feed(spark, str(tmp_path), "t")).count() == 4
 
 
+def test_change_of_numbers_rounds_ties_as_its_sql(spark, tmp_path):
+    """Ties to either side of zero, values beside a tie, an unscored event and no number."""
+    values = [0.0, 25.0, 75.0, 125.0, 124.99, 24.999999999999996, 175.0, -10.0, -25.0, -75.0, -125.0, None, float("nan"), 25.0, 20.0]
+    rows = [(i, ZERO.replace(tzinfo=None) + dt.timedelta(minutes=i), user, v) for user in (0, 1) for i, v in ((100 * user + n, v) for n, v in enumerate(values[:: 1 - 2 * user]))]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, value double").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    got = QUERIES["stream_change_numbers"](spark, str(tmp_path)).collect()
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, con.sql(ORACLES["stream_change_numbers"]).fetchall()))
+
+
 KINDS = {
     "double": lambda rng: rng.choice([1.5, 2.5, float("nan"), None]),
     "timestamp": lambda rng: rng.choice([ZERO, ZERO + dt.timedelta(microseconds=7), None]),
