@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_right
 
 import pandas as pd
@@ -72,24 +73,93 @@ def grams(name: Column, q: int = GRAM) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - q + 1, F.lit(1))), lambda i: F.substr(text, i, F.lit(q))))
 
 
+#: Grams that names meet by at most, the most keys of a name beyond which it meets by fewer, the pairs a key's row may
+#: bring before more grams are tried, one in how many keys is counted for that, and rows broadcast at most.
+MEET_BY, MOST_KEYS, PAIRS_A_ROW, COUNTED, BROADCAST_ROWS = 3, 400, 16, 64, 100_000
+
+
+def _meeting(sizes: list[int], least: float, by: int) -> list[tuple[int, int, int, bool]]:
+    """n, level, prefix and own: by how many grams names of n grams meet others, and among how many of their rarest.
+
+    Names of n and m grams at ``least`` share need(n, m) grams, and the first ``level`` of these are among the first
+    n - need(n, m) + level of both.  Two sizes meet at the lesser of their own levels, so a size has rows for its own
+    level and, as a guest, for lower ones of sizes that it may be alike to.
+    """
+    need = lambda n, m: max(1, math.ceil(least * (n + m) / 2 - 1e-9))
+    partners = {n: [m for m in sizes if need(n, m) <= min(n, m)] for n in sizes}
+    own = {}
+    for n in sizes:
+        t = min(need(n, m) for m in partners[n])
+        own[n] = max([j for j in range(1, min(by, t) + 1) if math.comb(n - t + j, j) <= MOST_KEYS], default=1)
+    out = []
+    for n in sizes:
+        for level in sorted({min(own[n], own[m]) for m in partners[n]}):
+            t = min(need(n, m) for m in partners[n] if min(own[n], own[m]) == level)
+            out.append((n, level, n - t + level, level == own[n]))
+    return out
+
+
+def _keys(level: Column, prefix: Column) -> Column:
+    """Structs of key and the last gram's place: all ways to take ``level`` grams, in order, of the first ``prefix``."""
+    gram, many = (lambda i: F.element_at("grams", i)), (lambda a, b: F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<int>")))
+    key = lambda last, *chosen: F.struct(F.xxhash64(*[gram(i) for i in chosen]).alias("key"), last.alias("place"))
+    one = F.transform(many(F.lit(1), prefix), lambda i: key(i, i))
+    two = F.flatten(F.transform(many(F.lit(2), prefix), lambda j: F.transform(F.sequence(F.lit(1), j - 1), lambda i: key(j, i, j))))
+    three = F.flatten(F.flatten(F.transform(many(F.lit(3), prefix), lambda k: F.transform(F.sequence(F.lit(2), k - 1), lambda j: F.transform(F.sequence(F.lit(1), j - 1), lambda i: key(k, i, j, k))))))
+    return F.when(level == 1, one).when(level == 2, two).otherwise(three)
+
+
 def similar_names(names: DataFrame, name: str, least: float = ALIKE) -> DataFrame:
     """name, other and alike: pairs of different names (both ways) whose q-grams have a Dice coefficient of ``least``.
 
-    Names are posted under their rarest q-grams only: a pair at ``least`` must share one of the first
-    n - ceil(least * n / (2 - least)) + 1 of both, rarest first, so common q-grams bring no candidates together.
+    Names meet in keys of one, two or three of their rarest q-grams (``_meeting``); more names meet by more grams, so
+    that the pairs that meet grow with the rows of keys and not with the square of the names.  The pairs of a key
+    that are left by places and marks (bits of grams) are compared in full where they meet.
     """
+    spark = names.sparkSession
     sets = saved(names.select(F.col(name).alias("name")).filter("name IS NOT NULL").distinct().withColumn("grams", grams(F.col("name"))), "names")
-    each = sets.select("name", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
-    rarity = each.groupBy("gram").agg(F.count(F.lit(1)).alias("often"))
-    by_rarity = Window.partitionBy("name").orderBy("often", "gram")
-    prefix = F.col("n") - F.ceil(F.lit(least) * F.col("n") / (2 - least) - 1e-9) + 1
-    posts = saved(each.join(rarity, "gram").withColumn("nr", F.row_number().over(by_rarity)).filter(F.col("nr") <= prefix).select("name", "n", "gram"), "name-posts")
-    other = posts.withColumnsRenamed({"name": "other", "n": "m"})
-    fits = (F.col("name") < F.col("other")) & (F.least("n", "m") * 2 >= F.lit(least - 1e-9) * (F.col("n") + F.col("m")))
-    met = posts.join(other, "gram").filter(fits).select("name", "other").distinct()
-    both = met.join(sets, "name").join(sets.select(F.col("name").alias("other"), F.col("grams").alias("others")), "other")
-    alike = 2.0 * F.size(F.array_intersect("grams", "others")) / (F.size("grams") + F.size("others"))
-    pairs = both.select("name", "other", alike.alias("alike")).filter(F.col("alike") >= least)
+    each = sets.select("name", F.explode("grams").alias("gram"))
+    rarity = saved(each.groupBy("gram").agg(F.count(F.lit(1)).alias("often")), "rarity")
+    if rarity.count() <= BROADCAST_ROWS:
+        rarity = F.broadcast(rarity)
+    by_rarity = each.join(rarity, "gram").groupBy("name").agg(F.transform(F.array_sort(F.collect_list(F.struct("often", "gram"))), lambda g: g["gram"]).alias("grams"))
+    marks = F.aggregate("grams", F.lit(0).cast("long"), lambda bits, g: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(g), F.lit(63)).cast("int"))))
+    ranked = saved(by_rarity.select("name", "grams", F.size("grams").alias("n"), marks.alias("marks")), "name-grams")
+    sizes = sorted(r.n for r in ranked.select("n").distinct().collect())  # as many as lengths of names
+    meeting, posts, cost = [], None, None
+    for by in range(1, MEET_BY + 1):
+        trial = _meeting(sizes, least, by)
+        if trial == meeting or not sizes:
+            break
+        plan = F.broadcast(spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, trial))} AS t(n, level, prefix, own)"))
+        dealt = ranked.join(plan, "n").select("name", "n", "marks", "level", "own", F.explode(_keys(F.col("level"), F.col("prefix"))).alias("k"))
+        dealt = dealt.select("level", "own", "n", "name", "k.place", "k.key", "marks")
+        # a few of the keys, with all their rows, tell how many pairs there are
+        met = dealt.filter(F.pmod("key", F.lit(COUNTED)) == 0) if by > 1 else dealt
+        counted = met.groupBy("level", "key").agg(F.count(F.lit(1)).alias("c")).agg(F.sum("c").alias("rows"), F.sum(F.col("c") * (F.col("c") - 1) / 2).alias("pairs")).first()
+        rows, pairs = ((x or 0) * (COUNTED if by > 1 else 1) for x in counted)
+        if cost is not None and rows + pairs / PAIRS_A_ROW >= cost:
+            break
+        meeting, posts, cost = trial, dealt, rows + pairs / PAIRS_A_ROW
+        if pairs <= PAIRS_A_ROW * rows:
+            break
+    if posts is None:
+        return spark.createDataFrame([], "name string, other string, alike double")
+    guests = not all(own for *_, own in meeting)
+    once = F.col("x.name") < F.col("y.name")
+    if guests:
+        once = once | (~F.col("y.own") & (F.col("x.name") != F.col("y.name")))
+    # in common are no more than these, where the grams of the key are the first ones in common
+    left = lambda s: F.col(f"{s}.level") + F.col(f"{s}.n") - F.col(f"{s}.place")
+    shared = lambda s, t: F.col(f"{s}.n") - F.bit_count(F.col(f"{s}.marks").bitwiseAND(F.bitwise_not(F.col(f"{t}.marks"))))
+    need = F.ceil(F.lit(least) * (F.col("x.n") + F.col("y.n")) / 2 - 1e-9)
+    fits = once & (F.least(left("x"), left("y"), shared("x", "y"), shared("y", "x")) >= need)
+    same = (F.col("x.level") == F.col("y.level")) & (F.col("x.key") == F.col("y.key"))
+    met = (posts.filter("own") if guests else posts).alias("x").join(posts.alias("y"), same & fits)
+    # exploded, as a filter on it alone would go into the join's condition, where it is made for every pair
+    alike = 2.0 * F.size(F.array_intersect(grams(F.col("x.name")), grams(F.col("y.name")))) / (F.col("x.n") + F.col("y.n"))
+    pairs = met.select(F.least("x.name", "y.name").alias("name"), F.greatest("x.name", "y.name").alias("other"), F.explode_outer(F.array(alike)).alias("alike")).filter(F.col("alike") >= least).distinct()
+    pairs = saved(pairs, "similar")
     return pairs.unionByName(pairs.select(F.col("other").alias("name"), F.col("name").alias("other"), "alike"))
 
 
@@ -123,16 +193,31 @@ def nearly_mirrored(games: DataFrame, id_col: str, player: str, opponent: str, d
     names more alike (the lesser of the two, then the sum), fewer days, smaller ids; each game is in one pair at
     most.  id_col is unique; the smaller id comes first.
     """
-    own = games.select(F.col(id_col).alias("id"), F.col(player).alias("player"), F.col(opponent).alias("opponent"), F.col(day).alias("day"), F.col(score).alias("score"))
-    mirror = own.select(F.col("opponent").alias("player"), F.col("player").alias("opponent"), "day")
-    alone = saved(own.join(mirror, ["player", "opponent", "day"], "left_anti"), "alone")
+    own = games.select(F.col(id_col).alias("id"), F.col(player).alias("player"), F.col(opponent).alias("opponent"), F.col(day).alias("day"), F.col(score).alias("score")).dropna(subset=["player", "opponent", "day"])
+    # the rows of two players on a day meet once; who is the player of a row is kept as two marks
+    sides = own.select("id", F.least("player", "opponent").alias("one"), F.greatest("player", "opponent").alias("two"), (F.col("player") <= F.col("opponent")).alias("up"), (F.col("player") >= F.col("opponent")).alias("down"), "day", "score")
+    there = Window.partitionBy("one", "two", "day")
+    kept = sides.select("*", (F.max("up").over(there) & F.max("down").over(there)).alias("met")).filter("NOT met AND score IS NOT NULL")
+    alone = saved(kept.select("id", F.when(F.col("up"), F.col("one")).otherwise(F.col("two")).alias("player"), F.when(F.col("up"), F.col("two")).otherwise(F.col("one")).alias("opponent"), "day", "score"), "alone")
     names = alone.select(F.col("player").alias("name")).union(alone.select("opponent"))
-    alike = saved(similar_names(names, "name", least).unionByName(names.filter("name IS NOT NULL").distinct().select("name", F.col("name").alias("other"), F.lit(1.0).alias("alike"))), "alike")
-    wanted = alone.join(alike.select(F.col("name").alias("player"), F.col("other").alias("as_opponent"), F.col("alike").alias("a")), "player")
-    wanted = wanted.join(alike.select(F.col("name").alias("opponent"), F.col("other").alias("as_player"), F.col("alike").alias("b")), "opponent")
-    other = alone.select(F.col("id").alias("other_id"), F.col("player").alias("as_player"), F.col("opponent").alias("as_opponent"), F.col("day").alias("other_day"), F.col("score").alias("other_score"))
-    met = wanted.join(other, ["as_player", "as_opponent"]).filter(F.col("id") < F.col("other_id"))
-    scored = met.select("id", "other_id", F.least("a", "b").alias("alike"), (F.col("a") + F.col("b")).alias("both"), day_distance(F.col("day"), F.col("other_day"), band).alias("days"), (F.col("score") + F.col("other_score")).alias("total"))
+    similar = similar_names(names, "name", least).filter(F.col("other") < F.col("name"))
+    # two games meet at the lesser of each two names: a game is dealt to its names and to lesser ones that are like them
+    lesser = saved(similar.groupBy("name").agg(F.collect_list(F.struct(F.col("other").alias("key"), "alike", F.lit(False).alias("same"))).alias("lesser")), "lesser-names")
+    few = similar.count() <= BROADCAST_ROWS
+    dealt = alone
+    for c in ("player", "opponent"):
+        of = lesser.select(F.col("name").alias(c), "lesser")
+        itself = F.array(F.struct(F.col(c).alias("key"), F.lit(1.0).alias("alike"), F.lit(True).alias("same")))
+        every = F.when(F.col("lesser").isNull(), itself).otherwise(F.concat(itself, F.col("lesser")))
+        dealt = dealt.join(F.broadcast(of) if few else of, c, "left").withColumn(f"_{c}", F.explode(every)).drop("lesser")
+    mine, its = F.col("_player"), F.col("_opponent")
+    up = mine["key"] <= its["key"]
+    side = dealt.select("id", "day", "score", F.least(mine["key"], its["key"]).alias("one"), F.greatest(mine["key"], its["key"]).alias("two"), up.alias("up"), mine["alike"].alias("a"), mine["same"].alias("p"), its["alike"].alias("b"), its["same"].alias("o"))
+    x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    across = ((x("one") == x("two")) | (x("up") != y("up"))) & (x("p") | y("o")) & (x("o") | y("p"))
+    met = side.alias("x").join(side.alias("y"), (x("one") == y("one")) & (x("two") == y("two")) & across & (x("id") < y("id")))
+    a, b = F.least(x("a"), y("b")), F.least(x("b"), y("a"))
+    scored = met.select(x("id").alias("id"), y("id").alias("other_id"), F.least(a, b).alias("alike"), (a + b).alias("both"), day_distance(x("day"), y("day"), band).alias("days"), (x("score") + y("score")).alias("total"))
     pairs = scored.filter(F.col("days").isNotNull() & (F.col("total") == total))
     # a game may be on either side, so both ends take part in both rankings
     both_ways = pairs.unionByName(pairs.select(F.col("other_id").alias("id"), F.col("id").alias("other_id"), "alike", "both", "days", "total"))

@@ -88,6 +88,68 @@ def test_nearly_mirrored(spark):
     assert audits.nearly_mirrored(frame.limit(0), "id", "p", "o", "d", "s").count() == 0
 
 
+@pytest.mark.parametrize("least", [0.45, 0.6, 0.85])
+def test_names_meet_by_three_grams(spark, monkeypatch, least):
+    """More grams for more names, fewer for short and for long ones; forced here for a few names."""
+    monkeypatch.setattr(audits, "PAIRS_A_ROW", 1e-9)
+    monkeypatch.setattr(audits, "COUNTED", 1)
+    monkeypatch.setattr(audits, "MOST_KEYS", 60)
+    rng = random.Random(9)
+    names = {"".join(rng.choice("abcdef") for _ in range(rng.choice([1, 2, 3, 4, 7, 9, 12, 16, 40]))) for _ in range(120)}
+    for n in sorted(names):
+        at = rng.randrange(len(n))
+        names.add(n[:at] + n[at + 1 :])
+        names.add(n[:at] + "g" + n[at:])
+        names.add(n.upper())
+    got = [(r.name, r.other, r.alike) for r in audits.similar_names(spark.createDataFrame([(n,) for n in names], "n string"), "n", least).collect()]
+    want = {(a, b): dice(a, b) for p in combinations(sorted(names), 2) for a, b in (p, p[::-1]) if dice(a, b) >= least}
+    assert len(got) == len(want) and all(abs(want[a, b] - c) < 1e-12 for a, b, c in got)
+    sizes = sorted({len(grams) for grams in ({f" {n.lower()} "[i : i + 3] for i in range(max(1, len(n)))} for n in names)})
+    meeting = audits._meeting(sizes, least, 3)
+    assert {level for _, level, _, _ in meeting} == {1, 2, 3} and not all(own for *_, own in meeting)
+
+
+def test_names_that_meet_do_not_grow_with_their_square(spark):
+    """40,000 names of random digits share many grams and are hardly ever alike: bytes are shuffled for names, not for pairs."""
+
+    def written():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+        return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+    before = written()
+    names = spark.range(40_000).select(F.substring(F.md5(F.col("id").cast("string")), 1, 10).alias("n"))
+    assert audits.similar_names(names, "n").count() < 100
+    assert written() - before < 1_000 * 40_000
+
+
+def test_nearly_mirrored_by_greed(spark):
+    """Random games of a few names that are much alike, some against themselves, with names, dates and scores missing."""
+    rng = random.Random(12)
+    names = ["abcdefgh", "abcdefg", "abcdefghi", "bcdefgh", "Abcdefgh", "vwxyzuvs", "vwxyzuv", None]
+    days = [dt.date(2021, 3, 1), dt.date(2021, 3, 2), dt.date(2021, 3, 5), dt.date(2022, 3, 1), dt.date(2022, 3, 30), None]
+    games = [(i, rng.choice(names), rng.choice(names), rng.choice(days), rng.choice([0.0, 0.5, 1.0, None])) for i in range(90)]
+    alone = [x for x in games if None not in x[1:4] and not any((y[1], y[2], y[3]) == (x[2], x[1], x[3]) for y in games)]
+
+    def alike(a, b):
+        return 1.0 if a == b else dice(a, b)
+
+    pairs = []
+    for x, y in combinations([x for x in alone if x[4] is not None], 2):
+        a, b, apart = alike(x[1], y[2]), alike(x[2], y[1]), abs((x[3] - y[3]).days)
+        days_off = apart if apart <= 3 else 4 if (x[3].month, x[3].day) == (y[3].month, y[3].day) else None
+        if min(a, b) >= 0.6 and days_off is not None and x[4] + y[4] == 1.0:
+            pairs.append((-min(a, b), -(a + b), days_off, x[0], y[0]))
+    want, taken = [], set()
+    for least, _, days_off, i, j in sorted(pairs):
+        if not {i, j} & taken:
+            want.append((i, j, round(-least, 9), days_off, 1.0))
+            taken |= {i, j}
+    frame = spark.createDataFrame(games, "id int, p string, o string, d date, s double")
+    got = [(r.id, r.other_id, round(r.alike, 9), r.days, r.total) for r in audits.nearly_mirrored(frame, "id", "p", "o", "d", "s").collect()]
+    assert sorted(got) == sorted(want) and len(want) > 8
+
+
 def test_best_pairs_by_greed(spark):
     rng = random.Random(8)
     pairs = [(a, b, rng.randint(1, 5)) for a in range(12) for b in range(12) if rng.random() < 0.4]
